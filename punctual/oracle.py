@@ -145,3 +145,31 @@ def with_ctes(body: str, upto: str = "mart", extra: dict | None = None) -> str:
     for n, q in (extra or {}).items():
         parts.append(f"{n} AS ({q}\n)")
     return "WITH " + ",\n".join(parts) + "\n" + body
+
+
+def chain(suffix: str, pings_view: str, upto: str = "fact") -> dict:
+    """The pipeline CTEs renamed with ``suffix`` over another pings view."""
+    import re
+    names = ORDER[ORDER.index("route_stops"): ORDER.index(upto) + 1]
+    out = {}
+    for n in names:
+        body = PIPE[n]
+        for m in names:
+            body = re.sub(rf"\b{m}\b", f"{m}{suffix}", body)
+        body = re.sub(r"\bfx_pings\b", pings_view, body)
+        out[f"{n}{suffix}"] = body
+    return out
+
+
+HMS = ("concat(lpad(cast(l_partkey % 27 as varchar), 2, '0'), ':', "
+       "lpad(cast({minute} as varchar), 2, '0'), ':', "
+       "lpad(cast((l_partkey + l_suppkey) % 60 as varchar), 2, '0'))")
+
+SCHEDULE_VERSIONS = f"""
+select cast(l_orderkey as varchar) trip_id,
+       cast(1000 + (l_linenumber % 5) * 5 + o_custkey % 5 as varchar) stop_id,
+       cast(l_linenumber as int) stop_sequence,
+       {HMS.format(minute='l_suppkey * 7 % 60')} t1,
+       {HMS.format(minute='(l_suppkey * 7 + 1) % 60')} talt,
+       l_returnflag f, l_linenumber ln
+from lineitem join orders on l_orderkey = o_orderkey"""

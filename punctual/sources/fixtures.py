@@ -128,3 +128,37 @@ def raw_gtfs(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "routes":
         return raw_strings(routes(spark, sf_dir))
     raise ValueError(f"unknown GTFS table {name!r}")
+
+
+def schedule_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two published versions of the timetable, for change capture.
+
+    Version 1 lacks the rows of line items flagged 'A' (they are added in
+    version 2); version 2 lacks the rows flagged 'R' (removed) and moves the
+    time of every first stop (line number 1) by one minute.
+    """
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    j = li.join(o, li.l_orderkey == o.o_orderkey)
+
+    def hms(minute):
+        return F.concat(_two(F.col("l_partkey") % 27), F.lit(":"), _two(minute), F.lit(":"),
+                        _two((F.col("l_partkey") + F.col("l_suppkey")) % 60))
+
+    base = j.select(
+        F.col("l_orderkey").cast("string").alias("trip_id"),
+        (F.lit(1000) + (F.col("l_linenumber") % 5) * 5 + F.col("o_custkey") % 5)
+        .cast("string").alias("stop_id"),
+        F.col("l_linenumber").cast("int").alias("stop_sequence"),
+        hms(F.col("l_suppkey") * 7 % 60).alias("t1"),
+        hms((F.col("l_suppkey") * 7 + 1) % 60).alias("talt"),
+        "l_returnflag", "l_linenumber")
+    key = ["trip_id", "stop_id", "stop_sequence"]
+    # the line-item key repeats, so each version publishes one time per key
+    v1 = (base.where(F.col("l_returnflag") != "A").groupBy(*key)
+          .agg(F.min("t1").alias("scheduled_arrival_str")))
+    v2 = (base.where(F.col("l_returnflag") != "R").groupBy(*key)
+          .agg(F.min(F.when(F.col("l_linenumber") == 1, F.col("talt")).otherwise(F.col("t1")))
+               .alias("scheduled_arrival_str")))
+    return v1, v2
