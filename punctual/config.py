@@ -43,6 +43,9 @@ class ScaleConfig:
     # an as-of key (route, stop, time bucket) holding more arrivals than this
     # is split into salted sub-partitions, each with its own schedule copy
     asof_skew_rows: int = 2_000_000
+    # as-of time bucket (>= 2 x match window); timetable rows within a window
+    # of a bucket edge are copied into the neighbouring bucket
+    asof_bucket_s: int = 14_400
     # headway lag windows are computed per (group, time chunk) so one busy
     # stop never lands in one task; chunk length in seconds
     headway_chunk_s: int = 86_400

@@ -21,32 +21,37 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
 
 def nearest_asof(left: DataFrame, right: DataFrame, keys: list[str], left_t: str,
                  right_t: str, right_payload: list[str], window: int | None,
-                 skew_rows: int, salt_cols: list[str]) -> DataFrame:
-    """For each left row, the right row with the nearest time on the same keys.
+                 skew_rows: int, salt_cols: list[str], bucket_s: int = 14_400,
+                 right_tiebreak: list | None = None) -> DataFrame:
+    """For each left row, the right rows nearest in time on the same keys.
 
-    ``right`` must already hold at most one row per (keys, right_t). Returns
-    the left rows (those with a match within ``window`` seconds when given)
-    with ``prev_*`` / ``next_*`` payload of the nearest right rows at or
-    before / at or after ``left_t``; the caller picks between them.
+    Returns the left rows (only those with a right row within ``window``
+    seconds when a window is given) with ``_prev`` / ``_next``: structs
+    (``t`` + ``right_payload``) of the latest right row at or before and the
+    earliest at or after the left time. Among right rows with equal time the
+    smallest by ``right_tiebreak`` (columns, ascending, NULL first) is taken. The
+    caller picks between ``_prev`` and ``_next``.
 
-    Physical plan: left and right rows are unioned and each partition is
-    scanned twice in time order (ascending and descending) with a running
-    ``last(..., ignorenulls)``; no pair of rows is ever materialised. With a
-    ``window``, the partition key adds a time bucket of ``window`` seconds and
-    every right row is copied into its own and both neighbouring buckets, so
-    each bucket holds all right rows a left row in it can reach. Buckets of
-    a key that hold more than ``skew_rows`` left rows are salted: left rows
-    are hashed into ``ceil(n / skew_rows)`` sub-partitions and the bucket's
-    right rows are copied into each. The hot-bucket table is bounded by
-    (left rows / skew_rows) rows, so broadcasting it is safe.
+    Physical plan: left and right rows are unioned and every partition is
+    scanned twice in time order (ascending, then descending) with a running
+    ``last(..., ignorenulls)``; no pair of rows is ever built and no
+    ``unboundedFollowing`` frame is used. With a ``window`` the partition key
+    adds a time bucket of ``bucket_s`` seconds; a right row is copied into
+    every bucket whose left rows can reach it (its own, and a neighbour when
+    it lies within ``window`` of the edge: about 1 + 2 * window / bucket_s
+    copies). Buckets holding more than ``skew_rows`` left rows are salted:
+    their left rows are hashed into ``ceil(n / skew_rows)`` sub-partitions and
+    the bucket's right rows are copied into each. The hot-bucket table has at
+    most (left rows / skew_rows) rows, so broadcasting it is safe.
     """
     lt, rt = F.col(left_t), F.col(right_t)
     if window:
-        left = left.withColumn("_bk", F.floor(lt / F.lit(window)).cast("long"))
-        right = (right.withColumn("_bk0", F.floor(rt / F.lit(window)).cast("long"))
-                 .withColumn("_bk", F.explode(F.array(F.col("_bk0") - 1, F.col("_bk0"),
-                                                      F.col("_bk0") + 1)))
-                 .drop("_bk0"))
+        if bucket_s < 2 * window:
+            raise ValueError("bucket_s must be at least twice the window")
+        bk = lambda c: F.floor(c / F.lit(bucket_s)).cast("long")
+        left = left.withColumn("_bk", bk(lt))
+        right = right.withColumn("_bk", F.explode(F.array_distinct(F.array(
+            bk(rt - F.lit(window)), bk(rt), bk(rt + F.lit(window))))))
     else:
         left = left.withColumn("_bk", F.lit(0).cast("long"))
         right = right.withColumn("_bk", F.lit(0).cast("long"))
@@ -66,18 +71,25 @@ def nearest_asof(left: DataFrame, right: DataFrame, keys: list[str], left_t: str
              .drop("_ns"))
     pkeys = pkeys + ["_salt"]
 
+    ties = list(right_tiebreak or [])
+    tie_names = [f"_tb{i}" for i in range(len(ties))]
     payload = F.struct(rt.alias("t"), *[F.col(c) for c in right_payload])
-    r = right.select(*pkeys, rt.alias("_t"), F.lit(0).alias("_kind"), payload.alias("_r"))
+    r = right.select(*pkeys, rt.alias("_t"), F.lit(0).alias("_kind"), payload.alias("_r"),
+                     *[e.alias(n) for e, n in zip(ties, tie_names)])
     lcols = [c for c in left.columns if c not in pkeys]
     l_ = left.select(*pkeys, lt.alias("_t"), F.lit(1).alias("_kind"),
                      F.lit(None).cast(r.schema["_r"].dataType).alias("_r"),
+                     *[F.lit(None).cast(r.schema[n].dataType).alias(n) for n in tie_names],
                      F.struct(*[F.col(c) for c in lcols]).alias("_l"))
     u = r.withColumn("_l", F.lit(None).cast(l_.schema["_l"].dataType)).unionByName(l_)
+    # at equal time: right rows before left rows; among right rows the
+    # preferred one last, so the running ``last`` lands on it
+    prefer_last = [F.col(n).desc_nulls_last() for n in tie_names]
     frame = (Window.unboundedPreceding, Window.currentRow)
-    up = Window.partitionBy(*pkeys).orderBy(F.col("_t").asc(), F.col("_kind").asc()) \
-        .rowsBetween(*frame)
-    down = Window.partitionBy(*pkeys).orderBy(F.col("_t").desc(), F.col("_kind").asc()) \
-        .rowsBetween(*frame)
+    up = Window.partitionBy(*pkeys).orderBy(
+        F.col("_t").asc(), F.col("_kind").asc(), *prefer_last).rowsBetween(*frame)
+    down = Window.partitionBy(*pkeys).orderBy(
+        F.col("_t").desc(), F.col("_kind").asc(), *prefer_last).rowsBetween(*frame)
     u = (u.withColumn("_prev", F.last("_r", ignorenulls=True).over(up))
           .withColumn("_next", F.last("_r", ignorenulls=True).over(down))
           .where(F.col("_kind") == 1))

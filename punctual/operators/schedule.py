@@ -43,8 +43,8 @@ def schedule_seconds(stop_times: DataFrame, trips: DataFrame,
 
 
 def _schedule_points(schedule: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """One timetable point per (route, stop, second): among equal seconds the
-    lowest direction (NULL first), then the lowest time string wins."""
+    """Timetable points (route, stop, second, direction, time string); with
+    ``wrap_midnight`` also shifted copies one day earlier / later."""
     s = (schedule.where(F.col("route_id").isNotNull() & F.col("stop_id").isNotNull()
                         & F.col("sched_secs").isNotNull())
          .select("route_id", "stop_id", "sched_secs", "direction_id", "scheduled_arrival_str"))
@@ -55,11 +55,7 @@ def _schedule_points(schedule: DataFrame, cfg: PipelineConfig) -> DataFrame:
         earlier = s.where(F.col("sched_secs") < w) \
             .withColumn("sched_secs", F.col("sched_secs") + DAY_S)
         s = s.unionByName(later).unionByName(earlier)
-    pick = F.min(F.struct("direction_id", "scheduled_arrival_str")).alias("p")
-    return (s.groupBy("route_id", "stop_id", "sched_secs").agg(pick)
-            .select("route_id", "stop_id", "sched_secs",
-                    F.col("p.direction_id").alias("direction_id"),
-                    F.col("p.scheduled_arrival_str").alias("scheduled_arrival_str")))
+    return s
 
 
 def match_schedule(arrivals: DataFrame, schedule: DataFrame,
@@ -81,7 +77,10 @@ def match_schedule(arrivals: DataFrame, schedule: DataFrame,
                      right_t="sched_secs",
                      right_payload=["direction_id", "scheduled_arrival_str"],
                      window=cfg.window_s, skew_rows=cfg.scale.asof_skew_rows,
-                     salt_cols=["vehicle_id", "trip_id", "actual_arrival"])
+                     salt_cols=["vehicle_id", "trip_id", "actual_arrival"],
+                     bucket_s=cfg.scale.asof_bucket_s,
+                     # equal seconds: lowest direction (NULL first), then time string
+                     right_tiebreak=[F.col("direction_id"), F.col("scheduled_arrival_str")])
     m = pick_nearest(m, "actual_secs")
     m = m.select("vehicle_id", "route_id", "stop_id", "stop_name", "actual_arrival",
                  "actual_secs", F.col("_m.scheduled_arrival_str").alias("scheduled_arrival_str"),
