@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only when its row count is proven <= ``max_rows``.
 
-    The side is persisted first so the count and the join read the same
-    materialisation (recomputed from lineage if an executor is lost). Above
-    the bound the plain DataFrame is returned and Spark shuffles both sides
-    on the join keys (AQE splits skewed partitions).
+    The count is one small job over the (small) side. Above the bound the
+    plain DataFrame is returned and Spark shuffles both sides on the join
+    keys (AQE splits skewed partitions). The side is not cached: a cached
+    relation inside a plan blocks exchange reuse between the plan's
+    branches, which costs more than recomputing a small table.
     """
-    df = df.persist()
     n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 

@@ -29,6 +29,10 @@ def get_session(master: str | None = None, app: str = "punctual",
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if master and master.startswith("local"):
+        # one machine: keep CPU-heavy window stages spread over all cores
+        # even when a shuffle is only a few MB
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     spark.conf.set("spark.sql.session.timeZone", "UTC")

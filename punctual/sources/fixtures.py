@@ -19,10 +19,20 @@ from pyspark.sql import functions as F
 T0 = 1704067200
 TIME_COMPRESSION = 20
 EVENTS_PER_TRIP = 64
+# tables large enough to be worth spreading (dimension tables stay as read)
+SPREAD = {"lineitem", "orders", "events"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table. An input with fewer scan splits than the cluster has
+    cores (a single-row-group file) is spread round-robin, so the CPU-heavy
+    derivations behind the scan do not run in one task; inputs with enough
+    splits are read as they are."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores and name in SPREAD:
+        df = df.repartition(cores)
+    return df
 
 
 def stops(spark: SparkSession, sf_dir: str) -> DataFrame:
