@@ -131,13 +131,15 @@ def stop_map(fact: DataFrame, coords: DataFrame, route: str | None = None,
 def color_scale(geo: DataFrame, lo_q: float = COLOR_LO_Q, hi_q: float = COLOR_HI_Q) -> DataFrame:
     """Red-to-teal colour per row, scaled between two percentiles of the view.
 
-    The percentiles are one scalar subquery each (linear interpolation), so
-    no row is ever paired with another.
+    Both percentiles (linear interpolation) come from one scalar subquery
+    returning an array, so no row is ever paired with another and the view
+    is aggregated once for them. The view (one row per stop) is cached because
+    both the subquery and the projection read it.
     """
-    q = geo.select(F.percentile("on_time_pct", F.lit(lo_q)).alias("lo"),
-                   F.percentile("on_time_pct", F.lit(hi_q)).alias("hi"))
-    lo = q.select("lo").scalar()
-    hi = q.select("hi").scalar()
+    geo = geo.persist()
+    geo.count()
+    qs = geo.select(F.percentile("on_time_pct", F.array(F.lit(lo_q), F.lit(hi_q)))).scalar()
+    lo, hi = qs[0], qs[1]
     t = robust_score(F.col("on_time_pct"), lo, hi)
     (r0, g0, b0), (r1, g1, b1) = COLOR_WORST, COLOR_BEST
     return geo.select("stop_id", "on_time_pct", lerp_int(r0, r1, t).alias("r"),
