@@ -124,3 +124,25 @@ def test_stream_matches_batch_on_landed_snapshots(spark):
     assert got.count() == pings.count()
     assert got.exceptAll(pings.select(*got.columns)).count() == 0
     assert got.select(F.countDistinct("vehicle_id")).first()[0] > 1
+
+
+def test_stream_by_service_date_equals_batch(spark):
+    from tests.conftest import SF_SMALL
+    from punctual.config import PipelineConfig
+    from punctual.plans import transit as T
+    from punctual.sources import fixtures as fx
+    from punctual.streaming.positions import stream_incremental, stream_positions
+    from tests.helpers import rows
+    cfg = PipelineConfig(by_service_date=True)
+    inp = T.fixture_inputs(spark, SF_SMALL)
+    landing = os.path.join(_fresh(), "landing")
+    snap.land_snapshots(snap.snapshot_documents(fx.pings(spark, SF_SMALL)), landing)
+    store, fact, ck = (os.path.join(_fresh(), n) for n in ("store", "fact", "ck"))
+    q = stream_incremental(spark, stream_positions(spark, landing, max_files=1),
+                           T.route_stops(inp, cfg), T.schedule(inp), store, fact, ck, cfg)
+    q.awaitTermination()
+    assert mat.current_version(spark, fact) >= 2          # several micro-batches
+    got = mat.read_versioned(spark, fact).toPandas()
+    want = T.fact(inp, cfg).toPandas()
+    assert len(want) > 100
+    assert rows(got) == rows(want)
