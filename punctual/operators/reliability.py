@@ -141,3 +141,13 @@ def route_list(fact: DataFrame) -> DataFrame:
     """Distinct routes in natural order (shorter ids first)."""
     return (fact.select("route_id").where(F.col("route_id").isNotNull()).distinct()
             .orderBy(F.length("route_id"), F.col("route_id")))
+
+
+# fixed values: the display headers of the worst-routes table
+WORST_ROUTE_HEADERS = {"route_id": "Route", "arrivals": "Arrivals",
+                       "avg_delay_min": "Avg delay (min)", "on_time_pct": "On-time %"}
+
+
+def worst_routes_table(fact: DataFrame, min_n: int = MIN_ROUTE_ARRIVALS, k: int = 15) -> DataFrame:
+    """``worst_routes`` with presentation column names."""
+    return worst_routes(fact, min_n, k).withColumnsRenamed(WORST_ROUTE_HEADERS)

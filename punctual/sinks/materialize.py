@@ -165,3 +165,12 @@ def export_stop_coordinates(stops_raw: DataFrame, path: str) -> None:
 def publish_fact(fact: DataFrame, path: str) -> None:
     """Serving copy of the fact, partitioned by route for pruned reads."""
     write_full(fact.repartition("route_id"), path, partition_by=["route_id"])
+
+
+def union_batches(batches: list[DataFrame]) -> DataFrame:
+    """Append batches whose columns may differ, matching columns by name;
+    a column missing from a batch is NULL there (U-1)."""
+    out = batches[0]
+    for b in batches[1:]:
+        out = out.unionByName(b, allowMissingColumns=True)
+    return out

@@ -80,3 +80,14 @@ def stream_incremental(spark: SparkSession, positions: DataFrame, route_stops: D
     w = positions.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
+
+
+def load_raw_snapshots(spark: SparkSession, landing: str, raw_path: str, checkpoint: str,
+                       batch_files: int = 30) -> StreamingQuery:
+    """Load landed snapshot files into the raw table, at most ``batch_files``
+    files per append (K2), each file exactly once (the checkpoint records
+    which files were loaded), then stop."""
+    from ..sources.snapshots import stream_snapshots as _raw
+    return (_raw(spark, landing, batch_files).writeStream.format("parquet")
+            .option("path", raw_path).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())

@@ -146,3 +146,31 @@ def test_stream_by_service_date_equals_batch(spark):
     want = T.fact(inp, cfg).toPandas()
     assert len(want) > 100
     assert rows(got) == rows(want)
+
+
+def test_batched_raw_load_and_union_by_name(spark):
+    from tests.conftest import SF_SMALL
+    from punctual.sources import fixtures as fx
+    from punctual.streaming.positions import load_raw_snapshots
+    landing = os.path.join(_fresh(), "landing")
+    pings = fx.pings(spark, SF_SMALL)
+    snap.land_snapshots(snap.snapshot_documents(pings).repartition(6), landing)
+    raw, ck = os.path.join(_fresh(), "raw"), os.path.join(_fresh(), "ck")
+    q = load_raw_snapshots(spark, landing, raw, ck, batch_files=2)
+    q.awaitTermination()
+    assert q.lastProgress is not None
+    loaded = spark.read.parquet(raw)
+    assert loaded.count() == pings.count()
+    assert loaded.select(F.countDistinct("filename")).first()[0] >= 3
+    a = spark.createDataFrame([("1", 1)], "k string, x int")
+    b = spark.createDataFrame([(2.0, "2")], "y double, k string")
+    u = {r.k: (r.x, r.y) for r in mat.union_batches([a, b]).collect()}
+    assert u == {"1": (1, None), "2": (None, 2.0)}
+
+
+def test_worst_routes_table_headers(spark):
+    from punctual.operators.reliability import worst_routes_table
+    f = spark.createDataFrame([("R1", 1.0), ("R1", 9.0)], "route_id string, delay_minutes double")
+    t = worst_routes_table(f, min_n=1)
+    assert t.columns == ["Route", "Arrivals", "Avg delay (min)", "On-time %"]
+    assert t.collect()[0]["On-time %"] == 50.0
