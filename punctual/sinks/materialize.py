@@ -37,6 +37,15 @@ def append_batch(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.mode("append").format(fmt).save(path)
 
 
+def _checkpoint(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into ``spark.checkpoint.dir`` computing ``df`` once
+    (cached while the checkpoint files are written, then released)."""
+    df = df.persist()
+    out = df.checkpoint(eager=True)
+    df.unpersist()
+    return out
+
+
 def _exists(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
@@ -65,16 +74,14 @@ def append_incremental(spark: SparkSession, new_rows: DataFrame, path: str,
     if hw is not None:
         lim = hw - lookback if lookback else hw
         inc = new_rows.where(F.col(mark) > F.lit(lim))
-    inc = inc.checkpoint()
-    n = inc.count()
-    if n == 0:
-        return 0
     dates = inc.select(partition_col).distinct()
     touched = target.join(dates, partition_col, "left_semi")
-    merged = (touched.join(inc.select(key), key, "left_anti")
-              .unionByName(inc.select(*touched.columns)))
-    merged = merged.checkpoint()
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    merged = (touched.join(inc.select(key), key, "left_anti").withColumn("_new", F.lit(False))
+              .unionByName(inc.select(*touched.columns).withColumn("_new", F.lit(True))))
+    # cut lineage: the touched partitions are read here and replaced below
+    merged = _checkpoint(merged)
+    n = merged.where(F.col("_new")).count()
+    (merged.drop("_new").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
     return n
 
