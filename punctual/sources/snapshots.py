@@ -70,12 +70,22 @@ def raw_from_pings(pings: DataFrame) -> DataFrame:
                         entity_struct(pings).alias("entity"))
 
 
-def snapshot_documents(pings: DataFrame) -> DataFrame:
-    """One feed document per poll (bounded by fleet size), with ``date``."""
+def snapshot_documents(pings: DataFrame, max_entities: int = 10_000) -> DataFrame:
+    """Feed documents (header + entity list) for staged pings, with ``date``.
+
+    A poll with more than ``max_entities`` entities is split into
+    ``ceil(n / max_entities)`` documents with the same header time (vehicles
+    hashed across them), so no single row ever holds an unbounded list.
+    """
     ts = snapshot_ts(F.col("recorded_at"))
-    return (pings.withColumn("_snap", ts)
-            .groupBy("_snap")
-            .agg(F.collect_list(entity_struct(pings)).alias("entity"))
+    p = pings.withColumn("_snap", ts)
+    parts = (p.groupBy("_snap").count()
+             .select("_snap", F.ceil(F.col("count") / F.lit(max_entities)).cast("int")
+                     .alias("_np")))
+    p = (p.join(parts, "_snap")
+         .withColumn("_part", F.pmod(F.xxhash64("vehicle_id", "recorded_at"), F.col("_np"))))
+    return (p.groupBy("_snap", "_part")
+            .agg(F.collect_list(entity_struct(p)).alias("entity"))
             .select(F.struct(F.unix_timestamp("_snap").cast("string").alias("timestamp"))
                     .alias("header"),
                     "entity", F.date_format("_snap", "yyyy-MM-dd").alias("date")))

@@ -174,3 +174,16 @@ def test_worst_routes_table_headers(spark):
     t = worst_routes_table(f, min_n=1)
     assert t.columns == ["Route", "Arrivals", "Avg delay (min)", "On-time %"]
     assert t.collect()[0]["On-time %"] == 50.0
+
+
+def test_large_polls_split_into_bounded_documents(spark):
+    from tests.conftest import SF_SMALL
+    from punctual.sources import fixtures as fx
+    pings = fx.pings(spark, SF_SMALL)
+    docs = snap.snapshot_documents(pings, max_entities=2)
+    sizes = [r.n for r in docs.select(F.size("entity").alias("n")).collect()]
+    assert max(sizes) <= 6 and sum(sizes) == pings.count()
+    landing = os.path.join(_fresh(), "landing")
+    snap.land_snapshots(docs, landing)
+    raw = snap.read_snapshots(spark, landing)
+    assert raw.count() == pings.count()
