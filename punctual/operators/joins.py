@@ -9,14 +9,21 @@ from pyspark.sql import functions as F
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only when its row count is proven <= ``max_rows``.
 
-    The count is one small job over the (small) side. Above the bound the
-    plain DataFrame is returned and Spark shuffles both sides on the join
-    keys (AQE splits skewed partitions). The side is not cached: a cached
-    relation inside a plan blocks exchange reuse between the plan's
-    branches, which costs more than recomputing a small table.
+    The side is computed once into a reliable checkpoint (the shared folder
+    of ``spark.checkpoint.dir``); the count and the join both read it, so
+    the side is neither recomputed nor lost with an executor. Above the
+    bound the checkpointed DataFrame is returned un-hinted and Spark
+    shuffles both sides on the join keys (AQE splits skewed partitions).
+    It is not left cached: a cached relation inside a plan blocks exchange
+    reuse between the plan's branches.
     """
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    from ..session import shared_dir
+    shared_dir(df.sparkSession)           # checkpoint folder (set only when unset)
+    cached = df.persist()
+    side = cached.checkpoint(eager=True)
+    cached.unpersist()
+    n = side.count()
+    return F.broadcast(side) if n <= max_rows else side
 
 
 def nearest_asof(left: DataFrame, right: DataFrame, keys: list[str], left_t: str,
