@@ -170,8 +170,12 @@ def export_stop_coordinates(stops_raw: DataFrame, path: str) -> None:
 
 
 def publish_fact(fact: DataFrame, path: str) -> None:
-    """Serving copy of the fact, partitioned by route for pruned reads."""
-    write_full(fact.repartition("route_id"), path, partition_by=["route_id"])
+    """Serving copy of the fact, partitioned by route for pruned reads.
+
+    ``rebalance`` clusters rows by route so each route gets few files, while
+    AQE splits a route too large for one task across several writers.
+    """
+    write_full(fact.hint("rebalance", "route_id"), path, partition_by=["route_id"])
 
 
 def union_batches(batches: list[DataFrame]) -> DataFrame:

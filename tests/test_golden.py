@@ -188,3 +188,37 @@ def test_rounding_helpers_are_exact(spark):
     for r in out:
         want = exact(r.num, r.den, r.digits, r.he)
         assert r[f"r{r.digits}{int(r.he)}"] == pytest.approx(want, abs=0), (r, want)
+
+
+def test_agency_time_zone_shifts_second_of_day(spark):
+    arrivals = [("A", "R", "t", "S1", "n", ts("2024-01-15 15:02:00"))]   # 10:02 in Toronto (EST)
+    schedule = [("R", "S1", "10:00:00", 0), ("R", "S1", "15:00:00", 0)]
+    assert _match(spark, arrivals, schedule)["A"][0] == "15:00:00"
+    tz = PipelineConfig(agency_tz="America/Toronto")
+    assert _match(spark, arrivals, schedule, tz)["A"] == ("10:00:00", 0, 120, 2.0)
+
+
+def test_empty_view_gives_empty_or_null_results(spark):
+    f = _fact(spark, [("k1", "v", "R1", "S", "n", ts("2024-01-01 03:00:00"), "x", 0, 0, 0.0)])
+    k = pn.filtered_kpis(f, route="nope", hours=(6, 20)).collect()[0]
+    assert k.n == 0 and k.on_time_pct is None and k.avg_delay is None
+    r = rel.route_kpis(f, "nope").collect()[0]
+    assert (r.r_total, r.r_on_time, r.r_avg) == (0, 0.0, 0.0)
+    assert pn.on_time_by_hour(f, hours=(6, 20)).count() == 0
+    assert hwo.headway_stats(hwo.headways(f)).collect()[0].n == 0
+
+
+def test_publish_fact_partitions_by_route(spark):
+    import os
+    import tempfile
+    from punctual.sinks.materialize import publish_fact
+    rows = [(f"k{i}", "v", f"R{i % 3}", "S", "n", ts("2024-01-01 10:00:00"), "x", 0, 0, 0.0)
+            for i in range(30)]
+    out = os.path.join(tempfile.mkdtemp(prefix="punctual-test-"), "serving")
+    publish_fact(_fact(spark, rows), out)
+    assert sorted(d for d in os.listdir(out) if d.startswith("route_id=")) == \
+        ["route_id=R0", "route_id=R1", "route_id=R2"]
+    back = spark.read.parquet(out).where("route_id = 'R1'")
+    assert back.count() == 10
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "R1" in plan.split("PartitionFilters", 1)[1][:200]
