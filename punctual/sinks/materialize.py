@@ -53,6 +53,12 @@ def _exists(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def high_water_mark(spark: SparkSession, path: str, mark: str = "actual_arrival"):
+    """max(mark) of the target table, or None when it is absent or empty."""
+    target = _exists(spark, path)
+    return None if target is None else target.agg(F.max(mark)).first()[0]
+
+
 def append_incremental(spark: SparkSession, new_rows: DataFrame, path: str,
                        key: str = "trip_stop_id", mark: str = "actual_arrival",
                        partition_col: str = "arrival_date",
@@ -69,7 +75,7 @@ def append_incremental(spark: SparkSession, new_rows: DataFrame, path: str,
     if target is None:
         new_rows.write.mode("overwrite").partitionBy(partition_col).parquet(path)
         return spark.read.parquet(path).count()
-    hw = target.agg(F.max(mark)).first()[0]
+    hw = high_water_mark(spark, path, mark)
     inc = new_rows
     if hw is not None:
         lim = hw - lookback if lookback else hw
