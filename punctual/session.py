@@ -45,13 +45,15 @@ def shared_dir(spark: SparkSession) -> str:
     On a cluster this must be set (HDFS/S3/...). Only when it is unset, as in
     local tests, a private folder is created and registered.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not conf_dir:
+        # the setting itself cannot change at runtime; register a folder
+        # with the context instead
         conf_dir = tempfile.mkdtemp(prefix="punctual-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-        spark.sparkContext.setCheckpointDir(conf_dir)
+    if not sc.getCheckpointDir():
+        # DataFrame.checkpoint() writes under the context's folder
+        sc.setCheckpointDir(conf_dir)
     return conf_dir.rstrip("/")
 
 

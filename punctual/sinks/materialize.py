@@ -40,6 +40,8 @@ def append_batch(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 def _checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into ``spark.checkpoint.dir`` computing ``df`` once
     (cached while the checkpoint files are written, then released)."""
+    from ..session import shared_dir
+    shared_dir(df.sparkSession)
     df = df.persist()
     out = df.checkpoint(eager=True)
     df.unpersist()
