@@ -79,3 +79,12 @@ def test_restricted_incremental_equals_full_rebuild_append(spark):
         got, want = spark.read.parquet(a).toPandas(), spark.read.parquet(b).toPandas()
         assert len(want) > 100
         assert rows(got) == rows(want)
+
+
+def test_salted_nearest_gap_equals_default(spark):
+    from punctual.operators import profiling as prof
+    inp = T.fixture_inputs(spark, SF_SMALL)
+    a = T.arrivals(inp, PipelineConfig())
+    base = prof.nearest_gap(a, inp.stop_times, inp.trips, "102").first()[0]
+    salted = prof.nearest_gap(a, inp.stop_times, inp.trips, "102", skew_rows=1).first()[0]
+    assert base is not None and salted == base
