@@ -87,7 +87,7 @@ def nearest_gap(arrivals: DataFrame, stop_times: DataFrame, trips: DataFrame, ro
     t = trips.where(F.col("route_id") == route).select("trip_id")
     s = (stop_times.select("trip_id", "stop_id", "scheduled_arrival_str").join(t, "trip_id")
          .select("stop_id", hms_to_seconds(F.col("scheduled_arrival_str"), False).alias("s_secs"))
-         .where(F.col("s_secs").isNotNull() & F.col("stop_id").isNotNull()))
+         .where(F.col("stop_id").isNotNull()))
     m = nearest_asof(a, s, keys=["stop_id"], left_t="a_secs", right_t="s_secs",
                      right_payload=[], window=None, skew_rows=skew_rows,
                      salt_cols=["vehicle_id", "trip_id", "actual_arrival"])

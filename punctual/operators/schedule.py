@@ -45,8 +45,11 @@ def schedule_seconds(stop_times: DataFrame, trips: DataFrame,
 def _schedule_points(schedule: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """Timetable points (route, stop, second, direction, time string); with
     ``wrap_midnight`` also shifted copies one day earlier / later."""
-    s = (schedule.where(F.col("route_id").isNotNull() & F.col("stop_id").isNotNull()
-                        & F.col("sched_secs").isNotNull())
+    # rows whose time does not parse keep sched_secs NULL: the as-of scan
+    # never pairs them (no NULL-time partition holds arrivals). Filtering them
+    # here would be pushed below the joins into the scan and parse every
+    # time string before the data is spread.
+    s = (schedule.where(F.col("route_id").isNotNull() & F.col("stop_id").isNotNull())
          .select("route_id", "stop_id", "sched_secs", "direction_id", "scheduled_arrival_str"))
     if cfg.wrap_midnight:
         w = cfg.window_s

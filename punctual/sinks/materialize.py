@@ -82,14 +82,19 @@ def append_incremental(spark: SparkSession, new_rows: DataFrame, path: str,
     if hw is not None:
         lim = hw - lookback if lookback else hw
         inc = new_rows.where(F.col(mark) > F.lit(lim))
+    # the new rows feed three branches with different projections, which
+    # defeats exchange reuse: materialise them once
+    inc = _checkpoint(inc)
+    n = inc.count()
+    if n == 0:
+        return 0
     dates = inc.select(partition_col).distinct()
     touched = target.join(dates, partition_col, "left_semi")
-    merged = (touched.join(inc.select(key), key, "left_anti").withColumn("_new", F.lit(False))
-              .unionByName(inc.select(*touched.columns).withColumn("_new", F.lit(True))))
+    merged = (touched.join(inc.select(key), key, "left_anti")
+              .unionByName(inc.select(*touched.columns)))
     # cut lineage: the touched partitions are read here and replaced below
     merged = _checkpoint(merged)
-    n = merged.where(F.col("_new")).count()
-    (merged.drop("_new").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(path))
     return n
 

@@ -222,3 +222,17 @@ def test_publish_fact_partitions_by_route(spark):
     assert back.count() == 10
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "R1" in plan.split("PartitionFilters", 1)[1][:200]
+
+
+def test_unparseable_schedule_times_never_match(spark):
+    arrivals = [("A", "R", "t", "S1", "n", ts("2024-01-01 10:00:00")),
+                ("B", "R", "t", "S2", "n", ts("2024-01-01 10:00:00"))]
+    schedule = [("R", "S1", "bad", 0), ("R", "S1", "10:01:00", 1),
+                ("R", "S2", "10:xx:00", 0), ("R", "S2", "", 0)]
+    schema = "route_id string, stop_id string, scheduled_arrival_str string, direction_id int"
+    from punctual.functions.timefns import hms_to_seconds
+    sched = spark.createDataFrame(schedule, schema).withColumn(
+        "sched_secs", hms_to_seconds(F.col("scheduled_arrival_str")))
+    f = sch.stop_performance(sch.match_schedule(_arrivals(spark, arrivals), sched, CFG))
+    got = {r.vehicle_id: (r.scheduled_arrival_str, r.delay_seconds) for r in f.collect()}
+    assert got == {"A": ("10:01:00", -60)}
