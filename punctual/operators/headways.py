@@ -43,7 +43,11 @@ def headways(fact: DataFrame, lo: float = HEADWAY_MIN_LO, hi: float = HEADWAY_MI
          .withColumn("_ck", F.floor(F.col("_us") / F.lit(chunk_s * 1_000_000)).cast("long")))
     # equal times: the lowest key takes the gap, later peers get 0 (dropped)
     w = Window.partitionBy(*GROUP, "_ck").orderBy("_us", "trip_stop_id")
-    f = f.withColumn("_prev", F.lag("_us").over(w))
+    # three branches read this frame with different projections, which
+    # defeats exchange reuse; materialise it once (one row per arrival,
+    # recomputed from lineage if an executor is lost)
+    f = f.withColumn("_prev", F.lag("_us").over(w)).persist()
+    f.count()
     last_in_chunk = f.groupBy(*GROUP, "_ck").agg(F.max("_us").alias("_mx"))
     wc = Window.partitionBy(*GROUP).orderBy("_ck")
     prev_chunk = last_in_chunk.select(*GROUP, "_ck", F.lag("_mx").over(wc).alias("_pmx"))

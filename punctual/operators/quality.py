@@ -44,7 +44,8 @@ def _violation(ch: Check) -> F.Column:
 
 
 def run_checks(df: DataFrame, model: str, checks: list[Check]) -> DataFrame:
-    """Violations per check. Row checks share one aggregate over ``df``."""
+    """Violations per check. Row checks share one aggregate over ``df``; a
+    unique check is a second pass, so persist ``df`` when it is costly."""
     row_checks = [c for c in checks if c.test != "unique"]
     parts = []
     if row_checks:
