@@ -35,8 +35,3 @@ def hms_to_seconds(hms, with_seconds: bool = True) -> Column:
     if with_seconds:
         out = out + part(3)
     return out
-
-
-def arrival_hour(ts) -> Column:
-    c = ts if isinstance(ts, Column) else F.col(ts)
-    return F.hour(c)

@@ -11,10 +11,6 @@ from ..config import (MIN_ROUTE_ARRIVALS, MIN_STOP_ARRIVALS, ON_TIME_EARLY_MIN,
 from ..functions.flags import on_time_flag
 from ..functions.rounding import round_ratio
 
-MART_COLS = ["route_id", "stop_name", "direction_id", "total_arrivals", "avg_delay_min",
-             "earliest_min", "latest_min", "on_time_count", "on_time_pct"]
-
-
 def tenths(col: str = "delay_minutes"):
     """Whole tenths of a minute of a 1-dp delay (exact integer)."""
     return F.round(F.col(col) * 10).cast("long")

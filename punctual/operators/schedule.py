@@ -23,8 +23,6 @@ DAY_S = 86_400
 FACT_COLS = ["trip_stop_id", "vehicle_id", "route_id", "stop_id", "stop_name",
              "actual_arrival", "scheduled_arrival_str", "direction_id",
              "delay_seconds", "delay_minutes"]
-MATCHED_COLS = ["vehicle_id", "route_id", "stop_id", "stop_name", "actual_arrival",
-                "actual_secs", "scheduled_arrival_str", "sched_secs", "direction_id"]
 
 
 def schedule_seconds(stop_times: DataFrame, trips: DataFrame,
