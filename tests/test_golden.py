@@ -236,3 +236,36 @@ def test_unparseable_schedule_times_never_match(spark):
     f = sch.stop_performance(sch.match_schedule(_arrivals(spark, arrivals), sched, CFG))
     got = {r.vehicle_id: (r.scheduled_arrival_str, r.delay_seconds) for r in f.collect()}
     assert got == {"A": ("10:01:00", -60)}
+
+
+def test_span_days_counts_whole_24h_periods(spark):
+    f = _fact(spark, [("a", "v", "R", "S1", "n", ts("2024-01-01 23:00:00"), "x", 0, 0, 0.0),
+                      ("b", "v", "R", "S2", "n", ts("2024-01-02 22:59:59"), "x", 0, 0, 0.0)])
+    r = pn.scale_stats(f).collect()[0]
+    assert (r.total_arrivals, r.total_routes, r.total_stops, r.span_days) == (2, 1, 2, 1)
+    g = f.unionByName(_fact(spark, [("c", "v", "R2", "S1", "n", ts("2024-01-02 23:00:00"),
+                                     "x", 0, 0, 0.0)]))
+    assert pn.scale_stats(g).collect()[0].span_days == 2
+
+
+def test_delay_histograms_round_half_even_and_clip(spark):
+    d = [2.5, 3.5, -0.4, -2.5, 20.0, -16.6, 0.5]
+    f = _fact(spark, [(f"k{i}", "v", "R", "S", "n", ts("2024-01-01 10:00:00"), "x", 0, 0, x)
+                      for i, x in enumerate(d)])
+    got = {r.delay_bucket: r.arrivals for r in pn.delay_histogram(f).collect()}
+    assert got == {2.0: 1, 4.0: 1, 0.0: 2, -2.0: 1, 20.0: 1, -17.0: 1}
+    clipped = {r.delay_bucket: r.arrivals
+               for r in pn.clipped_delay_histogram(f, hours=(6, 20)).collect()}
+    assert clipped == {2.0: 1, 4.0: 1, 0.0: 2, -2.0: 1, 15.0: 1, -15.0: 1}
+    assert all(str(k) != "-0.0" for k in got)
+
+
+def test_worst_stops_sort_on_unrounded_share(spark):
+    def rows_for(name, n, on_time):
+        return [(f"{name}{i}", "v", "R", "S", name, ts("2024-01-01 10:00:00"), "x", 0, 0,
+                 0.0 if i < on_time else 9.0) for i in range(n)]
+    # 2/3 = 66.67 % and 667/1000 = 66.7 %: equal after rounding, ordered before it
+    f = _fact(spark, rows_for("A", 1000, 667) + rows_for("B", 3, 2) + rows_for("C", 3, 0)
+              + rows_for("D", 2, 0))                      # D: below the 3-arrival minimum
+    got = [(r.stop_name, r.arrivals, r.on_time_pct) for r in rel.worst_stops_view(f).collect()]
+    assert got == [("C", 3, 0.0), ("B", 3, 66.7), ("A", 1000, 66.7)]
