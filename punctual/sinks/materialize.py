@@ -198,3 +198,9 @@ def union_batches(batches: list[DataFrame]) -> DataFrame:
     for b in batches[1:]:
         out = out.unionByName(b, allowMissingColumns=True)
     return out
+
+
+def read_serving_fact(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The serving copy with the fact's own schema: ``route_id`` stays a
+    string instead of a partition type inferred from folder names."""
+    return spark.read.schema(schema).parquet(path)
