@@ -187,3 +187,14 @@ def test_large_polls_split_into_bounded_documents(spark):
     snap.land_snapshots(docs, landing)
     raw = snap.read_snapshots(spark, landing)
     assert raw.count() == pings.count()
+
+
+def test_stop_export_drops_missing_coordinates(spark):
+    raw = spark.createDataFrame(
+        [("1", "A", "43.6", "-79.4"), ("2", "B", None, "-79.4"), ("3", "C", "x", "-79.4"),
+         ("4", "D", "43.7", "")], "stop_id string, stop_name string, stop_lat string, "
+        "stop_lon string")
+    out = os.path.join(_fresh(), "stops")
+    mat.export_stop_coordinates(raw, out)
+    got = [(r.stop_id, r.stop_lat, r.stop_lon) for r in spark.read.parquet(out).collect()]
+    assert got == [("1", 43.6, -79.4)]
