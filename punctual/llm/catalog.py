@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from punctual.llm import secret_scan
 from punctual.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +29,8 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     content, pattern = bpe.public_vocabulary()
     return bpe.encode_decode(table(spark, sf_dir, "documents"), content, pattern)
+
+
+@query("op1_secret_scan", secret_scan.ORACLE)
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(spark, table(spark, sf_dir, "documents"), secret_scan.new_ledger(spark))
