@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from punctual.llm import secret_scan
+from punctual.llm import near_dedup, secret_scan
 from punctual.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,9 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_secret_scan", secret_scan.ORACLE)
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(spark, table(spark, sf_dir, "documents"), secret_scan.new_ledger(spark))
+
+
+@query("op2_near_dedup")
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"), size=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
