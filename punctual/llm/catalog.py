@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from punctual.llm import near_dedup, secret_scan
+from punctual.llm import near_dedup, quality_rules, secret_scan
 from punctual.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,3 +40,8 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(spark, table(spark, sf_dir, "documents"), size=2)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op5_quality_rules")
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.verdicts(spark, table(spark, sf_dir, "documents"))
