@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from punctual.llm import near_dedup, quality_rules, secret_scan
+from punctual.llm import near_dedup, quality_rules, repeat_spans, secret_scan
 from punctual.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,3 +45,8 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_quality_rules")
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op4_repeat_spans")
+def op4_repeat_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_spans.remove_repeats(spark, table(spark, sf_dir, "documents"), keep_first=False, full=False)
