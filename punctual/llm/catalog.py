@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from punctual.llm import near_dedup, quality_rules, repeat_spans, secret_scan
+from punctual.llm import decontaminate, near_dedup, quality_rules, repeat_spans, secret_scan
 from punctual.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -50,3 +50,9 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_repeat_spans")
 def op4_repeat_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_spans.remove_repeats(spark, table(spark, sf_dir, "documents"), keep_first=False, full=False)
+
+
+@query("op3_decontaminate")
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.matches(spark, docs, items, ["doc_id"])
