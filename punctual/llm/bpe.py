@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from punctual.llm.common import ship
+from punctual.llm.common import chunks, ship
 
 NO_RANK = np.int64(1) << 40
 
@@ -247,19 +247,4 @@ def public_vocabulary(name: str = "byte_bpe_50k.json") -> tuple[str, str]:
         return f.read(), public_tokenizers.PATTERN
 
 
-def chunks(column, chars: int = 2_000_000):
-    """(first row, rows) of runs of whole texts with about ``chars`` characters."""
-    import pyarrow.compute as pc
-
-    sizes = pc.fill_null(pc.utf8_length(column), 0).to_pylist()
-    at, total = 0, 0
-    for i, n in enumerate(sizes):
-        if i > at and total + n > chars:
-            yield at, i - at
-            at, total = i, 0
-        total += n
-    if len(sizes) > at:
-        yield at, len(sizes) - at
-
-
 ship(__name__)

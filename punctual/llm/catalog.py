@@ -7,8 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from punctual.llm import decontaminate, near_dedup, quality_rules, repeat_spans, secret_scan
-from punctual.llm.common import table
+from punctual.llm import decontaminate, language_id, near_dedup, quality_rules, repeat_spans, secret_scan
+from punctual.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -56,3 +56,8 @@ def op4_repeat_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.matches(spark, docs, items, ["doc_id"])
+
+
+@query("op6_language_id")
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(spark, table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1)
