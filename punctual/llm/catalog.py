@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from punctual.llm import decontaminate, language_id, near_dedup, quality_rules, repeat_spans, secret_scan
+from punctual.llm import decontaminate, language_id, lm_scoring, near_dedup, quality_rules, repeat_spans, secret_scan
 from punctual.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,8 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_language_id")
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(spark, table(spark, sf_dir, "documents"), fold("doc_id", 3) == 1)
+
+
+@query("op7_lm_scoring")
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score(spark, table(spark, sf_dir, "documents"), fold("doc_id", 10) == 0)
