@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from punctual.llm import decontaminate, language_id, lm_scoring, near_dedup, quality_rules, repeat_spans, secret_scan
+from punctual.llm import decontaminate, language_id, lm_scoring, near_dedup, quality_rules, repeat_spans, rule_ensemble, secret_scan, url_filter
 from punctual.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,15 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_lm_scoring")
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(spark, table(spark, sf_dir, "documents"), fold("doc_id", 10) == 0)
+
+
+@query("op8_rule_ensemble")
+def op8_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return rule_ensemble.classify(spark, docs, labels, fold("doc_id", 3) == 1)[0]
+
+
+@query("op10_url_filter", url_filter.ORACLE)
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    return url_filter.judge(spark, pages, url_filter.labelled_pages(pages, labels), ["page_id"]).drop("low")
