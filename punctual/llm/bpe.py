@@ -213,10 +213,10 @@ def encode_decode(docs: DataFrame, content: str, pattern: str, text: str = "text
     """Encode every whole text and decode the ids again.
 
     Returns ``key``, n_tokens, ids_sha256, decoded_sha256; with ``full`` also
-    ``ids`` (the decimal ids, joined by commas) and ``decoded``.
+    ``ids`` and ``decoded``.
     """
     kind = dict(docs.dtypes)[key]
-    schema = f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids string, decoded string" if full else "")
+    schema = f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if full else "")
 
     def run(batches):
         codec = Codec(content, pattern)
@@ -231,7 +231,8 @@ def encode_decode(docs: DataFrame, content: str, pattern: str, text: str = "text
                         pa.array([hashlib.sha256(x.encode()).hexdigest() for x in plain])]
                 names = [key, "n_tokens", "ids_sha256", "decoded_sha256"]
                 if full:
-                    cols += [pa.array(ids), pa.array(plain)]
+                    lists = [np.fromstring(x, np.int32, sep=",") if x else np.zeros(0, np.int32) for x in ids]
+                    cols += [pa.array(lists, pa.list_(pa.int32())), pa.array(plain)]
                     names += ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays(cols, names)
 

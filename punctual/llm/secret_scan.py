@@ -172,15 +172,16 @@ def cut_out(text: Column, spans: Column, mark: str) -> Column:
 def redact(spark: SparkSession, docs: DataFrame, ledger: str, text: str = "text", mark: str = "[secret]", salt: int = 16) -> DataFrame:
     """All rows and columns of ``docs``; the secrets in the text are replaced,
     and ``n_chars``, where there is one, counts the new text. A null text stays null."""
-    found = (scan(spark, docs.select(address(F.col(text)).alias("_id"), F.col(text).alias("_t")), ["_id"], ledger, text="_t")
-             .where(F.size("spans") > 0).groupBy("_id").agg(F.first("spans").alias("_spans"))
-             .withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))))
-    rows = docs.withColumns({"_blob": address(F.col(text)), "_salt": F.pmod(F.xxhash64(*[docs[c] for c in docs.columns if c != text]), F.lit(salt)).cast("int")})
-    clean = F.when(F.col("_spans").isNull(), F.col(text)).otherwise(cut_out(F.col(text), F.col("_spans"), mark))
-    out = rows.join(found.hint("shuffle_hash"), (F.col("_blob") == F.col("_id")) & (F.col("_salt") == F.col("_copy")), "left")
+    own = {"__blob": address(F.col(text)), "__salt": F.pmod(F.xxhash64(*[docs[c] for c in docs.columns if c != text], F.lit(0)), F.lit(salt)).cast("int")}
+    rows = docs.withColumns(own)
+    found = (scan(spark, rows.select("__blob", F.col(text).alias("__text")), ["__blob"], ledger, text="__text")
+             .where(F.size("spans") > 0).groupBy(F.col("__blob").alias("__id")).agg(F.first("spans").alias("__spans"))
+             .withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(salt - 1)))))
+    clean = F.when(F.col("__spans").isNull(), F.col(text)).otherwise(cut_out(F.col(text), F.col("__spans"), mark))
+    out = rows.join(found.hint("shuffle_hash"), (F.col("__blob") == F.col("__id")) & (F.col("__salt") == F.col("__copy")), "left")
     changed = {text: clean}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length(clean).cast(dict(docs.dtypes)["n_chars"]))
+        changed["n_chars"] = F.when(F.col("__spans").isNull(), F.col("n_chars")).otherwise(F.length(clean).cast(dict(docs.dtypes)["n_chars"]))
     return out.withColumns(changed).select(*docs.columns)
 
 
