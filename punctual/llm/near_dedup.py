@@ -9,9 +9,10 @@ densification, banded buckets, star-shaped candidate edges, exact confirmation.
    the least key, never all pairs. A pair is confirmed on the full sets:
    100 * |A and B| >= percent * |A or B|.
 3. Confirmed links are contracted to components. A bucket that still holds two
-   or more components drops its centre and proposes the next star, until no
-   bucket has any left: every pair of a bucket is either confirmed, rejected
-   or already in one component.
+   or more components drops its centre and proposes more stars, 4 of them, then
+   16 and so on, each against the classes of other components, until no bucket
+   has any left: every pair of a bucket is either confirmed, rejected or
+   already in one component.
 
 With 42 bands of 6 values a pair at the threshold of 0.8 shares no bucket with
 probability 3e-6. Classes are told apart by 64-bit hashes of their sets, so n
@@ -160,6 +161,20 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame | None:
                             .select(F.least("pu", "pv").alias("u"), F.greatest("pu", "pv").alias("v")).distinct(), "edges")
 
 
+def merge(spark: SparkSession, roots: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """The components ``roots`` (node, root) after more ``links`` (u, v)."""
+    if roots is not None:
+        for end in ("u", "v"):
+            at = roots.select(F.col("node").alias(end), F.col("root").alias("r"))
+            links = links.join(at, end, "left").withColumn(end, F.coalesce("r", end)).drop("r")
+    more = components(spark, links.where("u <> v").select("u", "v"))
+    if more is None or roots is None:
+        return roots if more is None else more
+    up = more.select(F.col("node").alias("root"), F.col("root").alias("up"))
+    old = roots.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root"))
+    return materialize(spark, old.unionByName(more.join(roots, "node", "left_anti")), "roots")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, size: int, percent: int = 80,
                     key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, th, n_shingles, component_id (least
@@ -171,26 +186,32 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, size: int, percent: in
     buckets = one.select("c", "n", "doc_id", F.explode("bands").alias("b"))
     # buckets with more than one class, and the class in their centre
     stars = buckets.groupBy("b").agg(F.min("c").alias("centre"), F.max("c").alias("most")).where("centre <> most").drop("most")
-    open_ = materialize(spark, buckets.join(stars, "b"), "buckets")
-    sets = materialize(spark, full_sets(spark, docs, open_.select("doc_id"), size, key, text).select("c", "h"), "sets")
-    links, roots = None, None
-    rest = open_.select("b", "c", "n", "centre")
+    rest = materialize(spark, buckets.join(stars, "b"), "buckets")
+    sets = materialize(spark, full_sets(spark, docs, rest.select("doc_id"), size, key, text).select("c", "h"), "sets")
+    roots = merge(spark, None, confirm(spark, rest.where("c <> centre").select("centre", "c"), sets, percent))
+    rest = rest.where("c <> centre").select("b", "c", "n").distinct()
+    centres = 4
     while True:
-        pairs = rest.where("c <> centre").groupBy("centre", "c").agg(F.min("n").alias("n"))
-        found = materialize(spark, confirm(pairs, sets, percent), "links")
-        links = found if links is None else links.unionByName(found)
-        roots = components(spark, links)
-        # what is left of each bucket without its centre, if it is of several components
-        rest = rest.where("c <> centre").drop("centre").distinct()
+        # what is left of the buckets that still hold several components
         if roots is not None:
             rest = rest.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
         else:
             rest = rest.withColumn("root", F.col("c"))
-        stars = (rest.groupBy("b").agg(F.min(F.struct("c", "root")).alias("s"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-                 .where("lo <> hi").select("b", F.col("s.c").alias("centre"), F.col("s.root").alias("centre_root")))
-        rest = materialize(spark, rest.join(stars, "b").where("c = centre OR root <> centre_root").select("b", "c", "n", "centre"), "buckets")
+        mixed = rest.groupBy("b").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("b")
+        rest = materialize(spark, rest.join(mixed, "b", "left_semi"), "buckets")
         if rest.isEmpty():
             break
+        # more stars for each: the least class of each of some parts
+        part = F.pmod(F.xxhash64("c", F.lit(centres)), F.lit(centres))
+        stars = (rest.groupBy("b", part.alias("g")).agg(F.min(F.struct("c", "n", "root")).alias("s"))
+                 .select("b", F.col("s.c").alias("centre"), F.col("s.n").alias("cn"), F.col("s.root").alias("cr")))
+        stars = materialize(spark, stars, "stars")
+        near = F.least("n", "cn") * 100 >= F.greatest("n", "cn") * percent
+        pairs = rest.join(stars, "b").where((F.col("root") != F.col("cr")) & near)
+        pairs = pairs.select(F.least("c", "centre").alias("centre"), F.greatest("c", "centre").alias("c"))
+        roots = merge(spark, roots, confirm(spark, pairs, sets, percent))
+        rest = rest.drop("root").join(stars.select("b", F.col("centre").alias("c")), ["b", "c"], "left_anti")
+        centres *= 4
     if roots is None:
         whole = classes.select("c", F.col("m").alias("component_id"))
     else:
@@ -202,15 +223,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, size: int, percent: in
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
-def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def confirm(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The (u, v) of ``pairs`` (centre, c) whose full sets are similar enough."""
     member = sets.select("c", F.col("h").alias("hv"))
     centre = sets.select(F.col("c").alias("centre"), F.col("h").alias("hu"))
-    both = pairs.join(member, "c").join(centre, "centre")
-    shared = F.size(F.array_intersect("hu", "hv"))
-    return (both.withColumn("shared", shared)
-            .where(F.col("shared") * 100 >= (F.size("hu") + F.size("hv") - F.col("shared")) * percent)
-            .select(F.least("centre", "c").alias("u"), F.greatest("centre", "c").alias("v")).distinct())
+    both = pairs.distinct().join(member, "c").join(centre, "centre")
+    good = (both.withColumn("shared", F.size(F.array_intersect("hu", "hv")))
+            .where(F.col("shared") * 100 >= (F.size("hu") + F.size("hv") - F.col("shared")) * percent))
+    return materialize(spark, good.select(F.col("centre").alias("u"), F.col("c").alias("v")).distinct(), "links")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
