@@ -133,6 +133,8 @@ def fit(x: np.ndarray, y: np.ndarray, features: tuple[str, ...] = tuple(FEATURES
             logit[rows] += rate * 4 * v
         for path, _, _ in nodes:
             rules.setdefault(simplify(path))
+    if not rules:
+        return Ensemble(features, base, ())
     rules = list(rules)
     return lasso(truth(x, rules), y, rules, features, base, penalty, steps)
 
