@@ -106,16 +106,22 @@ def word_hashes(buf: np.ndarray, s: np.ndarray, e: np.ndarray, codes: np.ndarray
 
 def batches_of_bytes(column, limit: int = 2_000_000):
     """Split an Arrow string column into runs of whole texts of about ``limit``
-    bytes: (first row, byte buffer, end offset of each text). Null is empty."""
-    texts = [b"" if t is None else t.encode("utf-8", "surrogatepass") for t in column.to_pylist()]
+    bytes: (first row, byte buffer, end offset of each text). Null is empty. The
+    buffers are views of the column, not copies."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    column = pc.fill_null(column, "")
+    if not len(column):
+        return
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    _, places, data = column.buffers()
+    offsets = np.frombuffer(places, kind)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     at = 0
-    while at < len(texts):
-        end, size = at, 0
-        while end < len(texts) and (end == at or size + len(texts[end]) <= limit):
-            size += len(texts[end])
-            end += 1
-        part = texts[at:end]
-        yield at, np.frombuffer(b"".join(part), np.uint8), np.cumsum([len(t) for t in part], dtype=np.int64)
+    while at < len(column):
+        end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+        yield at, data[offsets[at]:offsets[end]], offsets[at + 1:end + 1] - offsets[at]
         at = end
 
 

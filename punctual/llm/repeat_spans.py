@@ -35,7 +35,7 @@ from punctual.llm.common import batches_of_bytes, byte_codes, materialize, mix,
 
 GRAM = 40
 HOT = 256            # more different runs of one anchor than this are settled by counting windows
-SEGMENT = 1 << 20    # window starts looked at together
+SEGMENT = 1 << 19    # window starts looked at together
 _BASE = 0x9E3779B97F4A7C15 | 1
 _PLACE = np.uint64((1 << 24) - 1)
 _POWERS: list[np.ndarray] = []
@@ -275,7 +275,7 @@ def block_bytes(rows: DataFrame, length: int) -> DataFrame:
     return rows.select("doc_id", "th", "z", "runs").mapInArrow(run, f"doc_id {kind}, th long, a long, b long, lo int, n int, bytes binary")
 
 
-def compare(blocks: DataFrame, length: int, keep_first: bool, room: int = 1_000_000) -> DataFrame:
+def compare(blocks: DataFrame, length: int, keep_first: bool, room: int = 400_000) -> DataFrame:
     """doc_id, th, s, e (repeated windows) of the runs of cold anchors: each
     anchor's runs come to one task, a bounded number of bytes at a time."""
     kind = dict(blocks.dtypes)["doc_id"]
