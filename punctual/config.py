@@ -38,8 +38,8 @@ DEFAULT_HOURS = (6, 20)    # dashboard default hour-of-arrival filter
 class ScaleConfig:
     """Knobs that decide physical strategy, not results."""
 
-    # broadcast the (route, grid-cell) stop table only below this many rows
-    broadcast_max_rows: int = 2_000_000
+    # broadcast the (route, grid-cell) stop table only below this many bytes
+    broadcast_max_bytes: int = 64_000_000
     # an as-of key (route, stop, time bucket) holding more arrivals than this
     # is split into salted sub-partitions, each with its own schedule copy
     asof_skew_rows: int = 2_000_000
@@ -48,7 +48,7 @@ class ScaleConfig:
     asof_bucket_s: int = 14_400
     # headway lag windows are computed per (group, time chunk) so one busy
     # stop never lands in one task; chunk length in seconds
-    headway_chunk_s: int = 86_400
+    headway_chunk_s: int = 3_600
 
 
 @dataclass(frozen=True)

@@ -21,7 +21,8 @@ def delay_state(delay_minutes, early: float = 1, late: float = 5) -> Column:
 
 
 def clip(c: Column, lo: float, hi: float) -> Column:
-    return F.greatest(F.least(c, F.lit(hi)), F.lit(lo))
+    """c limited to lo..hi; NULL stays NULL (least and greatest skip NULLs)."""
+    return F.when(c.isNotNull(), F.greatest(F.least(c, F.lit(hi)), F.lit(lo)))
 
 
 def robust_score(x: Column, lo: Column, hi: Column) -> Column:

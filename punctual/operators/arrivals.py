@@ -9,7 +9,7 @@ Physical plan, per step:
   route's stops replicated into the 3x3 neighbourhood of their cell. With a
   cell edge longer than the radius the join is exact, and a route holding a
   third of all pings is spread over all its cells. The stop grid is broadcast
-  only after its row count is checked; above the bound the join shuffles on
+  only after its size is checked; above the bound the join shuffles on
   (route, cell), so no single route lands in one task.
 * ``nearest_stop``: one row per ping key by a ``min(struct(...))`` aggregate
   (partial aggregation before the shuffle collapses each ping's candidates
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..config import PipelineConfig
 from ..functions.geo import grid_cell, planar_distance_m
+from ..functions.timefns import local_ts
 from .joins import broadcast_if_small
 
 ROUTE_STOP_COLS = ["route_id", "stop_id", "stop_name", "stop_latitude", "stop_longitude"]
@@ -61,23 +62,18 @@ def stop_grid(rs: DataFrame, cfg: PipelineConfig) -> DataFrame:
                     "stop_id", "stop_name", "stop_latitude", "stop_longitude"))
 
 
-def proximity_join(pings: DataFrame, rs: DataFrame, cfg: PipelineConfig | None = None,
-                   grid: bool = True) -> DataFrame:
+def proximity_join(pings: DataFrame, rs: DataFrame, cfg: PipelineConfig | None = None) -> DataFrame:
     """Candidate (ping, stop) pairs on the ping's own route within the radius."""
     cfg = cfg or PipelineConfig()
     p = pings.select("vehicle_id", "route_id", "trip_id", "latitude", "longitude", "recorded_at")
     if cfg.target_route is not None:
         p = p.where(F.col("route_id") == cfg.target_route)
         rs = rs.where(F.col("route_id") == cfg.target_route)
-    if grid:
-        cell_m = cfg.radius_m + 1.0
-        p = (p.withColumn("cell_y", grid_cell(F.col("latitude"), cfg.m_lat, cell_m))
-              .withColumn("cell_x", grid_cell(F.col("longitude"), cfg.m_lon, cell_m)))
-        side = broadcast_if_small(stop_grid(rs, cfg), cfg.scale.broadcast_max_rows)
-        j = p.join(side, ["route_id", "cell_y", "cell_x"])
-    else:
-        side = broadcast_if_small(rs, cfg.scale.broadcast_max_rows)
-        j = p.join(side, "route_id")
+    cell_m = cfg.radius_m + 1.0
+    p = (p.withColumn("cell_y", grid_cell(F.col("latitude"), cfg.m_lat, cell_m))
+          .withColumn("cell_x", grid_cell(F.col("longitude"), cfg.m_lon, cell_m)))
+    side = broadcast_if_small(stop_grid(rs, cfg), cfg.scale.broadcast_max_bytes)
+    j = p.join(side, ["route_id", "cell_y", "cell_x"])
     dist = planar_distance_m(F.col("latitude"), F.col("longitude"),
                              F.col("stop_latitude"), F.col("stop_longitude"),
                              cfg.m_lat, cfg.m_lon)
@@ -96,17 +92,18 @@ def nearest_stop(candidates: DataFrame) -> DataFrame:
                     F.col("b.distance_m").alias("distance_m")))
 
 
-def actual_arrivals(nearest: DataFrame, by_service_date: bool = False) -> DataFrame:
+def actual_arrivals(nearest: DataFrame, by_service_date: bool = False,
+                    agency_tz: str | None = None) -> DataFrame:
     """First time each vehicle/trip was nearest to each stop.
 
     ``closest_distance_m`` is the minimum over the group, independent of the
     arrival ping. With ``by_service_date`` the arrival grain includes the
-    calendar date, so a trip id reused on another day is a new arrival.
+    calendar date (in the agency's zone), so a trip id reused on another day is a new arrival.
     """
     keys = ["vehicle_id", "route_id", "trip_id", "stop_id", "stop_name"]
     df = nearest
     if by_service_date:
-        df = df.withColumn("service_date", F.to_date("recorded_at"))
+        df = df.withColumn("service_date", F.to_date(local_ts("recorded_at", agency_tz)))
         keys = keys + ["service_date"]
     out = df.groupBy(*keys).agg(F.min("recorded_at").alias("actual_arrival"),
                                 F.min("distance_m").alias("closest_distance_m"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..config import (BUNCH_FACTOR, GAP_FACTOR, HEADWAY_HIST_CAP, HEADWAY_MIN_HI,
                       HEADWAY_MIN_LO, MIN_BUNCH_HEADWAYS)
 from ..functions.rounding import round_ratio
-from .panels import filter_view, share_pct
+from .panels import filter_view, share_pct, with_hour
 
 GROUP = ["route_id", "stop_id", "direction_id"]
 US_PER_MIN = 60_000_000
@@ -26,7 +26,7 @@ US_PER_MIN = 60_000_000
 
 def headways(fact: DataFrame, lo: float = HEADWAY_MIN_LO, hi: float = HEADWAY_MIN_HI,
              bunch: float = BUNCH_FACTOR, gap: float = GAP_FACTOR,
-             chunk_s: int = 86_400) -> DataFrame:
+             chunk_s: int = 3_600, agency_tz: str | None = None) -> DataFrame:
     """Per arrival: minutes since the previous arrival of its group, the
     group's median headway, and bunched / gapped flags.
 
@@ -36,8 +36,7 @@ def headways(fact: DataFrame, lo: float = HEADWAY_MIN_LO, hi: float = HEADWAY_MI
     f = fact
     for k in GROUP:
         f = f.where(F.col(k).isNotNull())
-    if "hour" not in f.columns:
-        f = f.withColumn("hour", F.hour("actual_arrival"))
+    f = with_hour(f, agency_tz)
     f = (f.select("trip_stop_id", *GROUP, "actual_arrival", "hour")
          .withColumn("_us", F.unix_micros("actual_arrival"))
          .withColumn("_ck", F.floor(F.col("_us") / F.lit(chunk_s * 1_000_000)).cast("long")))
@@ -68,20 +67,22 @@ def headway_stats(hw: DataFrame, route: str | None = None,
                   hours: tuple[int, int] | None = None) -> DataFrame:
     """Bunched %, gapped %, median headway and CV (sample std / mean).
 
-    Sums are taken over whole seconds so they are exact; the CV formula is
-    then a fixed sequence of double operations.
+    The sums of the gaps and of their squares are exact decimals at any number
+    of rows; the CV formula is then a fixed sequence of double operations.
     """
     h = filter_view(hw, route, hours)
-    x = F.col("headway_us") / F.lit(1e6)
+    x = F.col("headway_us").cast("decimal(19,0)")
     g = h.agg(F.count(F.lit(1)).alias("n"),
               F.sum(F.col("bunched").cast("int")).alias("_b"),
               F.sum(F.col("gapped").cast("int")).alias("_g"),
-              F.sum(x).alias("_s1"), F.sum(x * x).alias("_s2"),
+              F.sum(x).cast("decimal(38,0)").alias("_s1"), F.sum((x * x).cast("decimal(38,0)")).cast("decimal(38,0)").alias("_s2"),
               F.median("headway_us").alias("_med"))
     n = F.col("n").cast("double")
-    var = (F.col("_s2") - F.col("_s1") * F.col("_s1") / n) / (n - F.lit(1.0))
-    mean = F.col("_s1") / n
-    cv = F.when(F.col("n") > 1, F.sqrt(var) / mean)
+    # in seconds; the divisions are exact decimal ones
+    s1 = F.expr("cast(_s1 / cast(1000000 as decimal(7,0)) as double)")
+    s2 = F.expr("cast(_s2 / cast(1000000000000 as decimal(13,0)) as double)")
+    var = (s2 - s1 * s1 / n) / (n - F.lit(1.0))
+    cv = F.when(F.col("n") > 1, F.sqrt(var) / (s1 / n))
     return g.select(share_pct(F.col("_b"), F.col("n")).alias("bunched_pct"),
                     share_pct(F.col("_g"), F.col("n")).alias("gapped_pct"),
                     (F.col("_med") / F.lit(float(US_PER_MIN))).alias("median_headway_min"),
@@ -94,7 +95,7 @@ def headway_histogram(hw: DataFrame, route: str | None = None,
     """Counts of headways <= cap minutes, rounded half-even to whole minutes."""
     h = filter_view(hw, route, hours).where(F.col("headway_min") <= cap)
     return (h.select(F.bround("headway_min", 0).alias("headway_bucket"))
-            .groupBy("headway_bucket").agg(F.count(F.lit(1)).alias("headways")))
+            .groupBy("headway_bucket").agg(F.count(F.lit(1)).alias("headways")).orderBy("headway_bucket"))
 
 
 def route_bunching(hw: DataFrame, route: str | None = None,

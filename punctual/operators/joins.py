@@ -6,24 +6,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven <= ``max_rows``.
+def broadcast_if_small(df: DataFrame, max_bytes: int) -> DataFrame:
+    """Broadcast ``df`` only when its size is proven <= ``max_bytes``.
 
     The side is computed once into a reliable checkpoint (the shared folder
-    of ``spark.checkpoint.dir``); the count and the join both read it, so
-    the side is neither recomputed nor lost with an executor. Above the
-    bound the checkpointed DataFrame is returned un-hinted and Spark
-    shuffles both sides on the join keys (AQE splits skewed partitions).
-    It is not left cached: a cached relation inside a plan blocks exchange
-    reuse between the plan's branches.
+    of ``spark.checkpoint.dir``); the size (bytes of the rows as JSON text) and
+    the join both read it, so the side is neither recomputed nor lost with an
+    executor. Above the bound the checkpointed DataFrame is returned un-hinted
+    and Spark shuffles both sides on the join keys (AQE splits skewed
+    partitions). It is not left cached: a cached relation inside a plan blocks
+    exchange reuse between the plan's branches. The check is a job that runs
+    while the frame is built.
     """
     from ..session import shared_dir
     shared_dir(df.sparkSession)           # checkpoint folder (set only when unset)
     cached = df.persist()
     side = cached.checkpoint(eager=True)
     cached.unpersist()
-    n = side.count()
-    return F.broadcast(side) if n <= max_rows else side
+    size = side.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(side) if size <= max_bytes else side
 
 
 def nearest_asof(left: DataFrame, right: DataFrame, keys: list[str], left_t: str,
@@ -48,8 +49,11 @@ def nearest_asof(left: DataFrame, right: DataFrame, keys: list[str], left_t: str
     it lies within ``window`` of the edge: about 1 + 2 * window / bucket_s
     copies). Buckets holding more than ``skew_rows`` left rows are salted:
     their left rows are hashed into ``ceil(n / skew_rows)`` sub-partitions and
-    the bucket's right rows are copied into each. The hot-bucket table has at
-    most (left rows / skew_rows) rows, so broadcasting it is safe.
+    the bucket's right rows are copied into each (callers pass distinct right
+    points, so a bucket has at most one per second and payload). The hot-bucket
+    table has at most (left rows / skew_rows) rows of four short columns: with
+    skew_rows = 2,000,000 a million million left rows give 500,000 of them,
+    about 20 MB, which is the bound on what is broadcast.
     """
     lt, rt = F.col(left_t), F.col(right_t)
     if window:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..config import (COLOR_BEST, COLOR_HI_Q, COLOR_LO_Q, COLOR_WORST, DELAY_CLIP_MIN,
                       MIN_STOP_ARRIVALS, ON_TIME_EARLY_MIN, ON_TIME_LATE_MIN)
 from ..functions.flags import clip, delay_state, lerp_int, on_time_flag, robust_score
+from ..functions.timefns import local_ts
 from ..functions.rounding import exact_mean, int_div, round_ratio
 from .joins import broadcast_if_small
 from .reliability import tenths
@@ -26,14 +27,17 @@ def share_pct(cond_count, n) -> F.Column:
     return cond_count.cast("double") / n * F.lit(100.0)
 
 
-def with_hour(fact: DataFrame) -> DataFrame:
-    return fact if "hour" in fact.columns else fact.withColumn("hour", F.hour("actual_arrival"))
+def with_hour(fact: DataFrame, agency_tz: str | None = None) -> DataFrame:
+    """Adds ``hour`` of arrival (in the agency's zone) unless it is there."""
+    if "hour" in fact.columns:
+        return fact
+    return fact.withColumn("hour", F.hour(local_ts("actual_arrival", agency_tz)))
 
 
 def filter_view(fact: DataFrame, route: str | None = None,
-                hours: tuple[int, int] | None = None) -> DataFrame:
+                hours: tuple[int, int] | None = None, agency_tz: str | None = None) -> DataFrame:
     """Route equality and hour-of-arrival range (both optional)."""
-    f = with_hour(fact)
+    f = with_hour(fact, agency_tz)
     if hours is not None:
         f = f.where(F.col("hour").between(hours[0], hours[1]))
     if route is not None:
@@ -74,15 +78,15 @@ def filtered_kpis(fact: DataFrame, route: str | None = None,
 def delay_histogram(fact: DataFrame, route: str | None = None,
                     hours: tuple[int, int] | None = None, clip_min: float | None = None,
                     rounded: bool = True) -> DataFrame:
-    """Arrival counts per delay value: optionally clipped, rounded half-even."""
+    """Arrival counts per delay value, in its order: optionally clipped, rounded half-even."""
     f = filter_view(fact, route, hours) if (route or hours) else fact
     x = F.col("delay_minutes")
     if clip_min is not None:
         x = clip(x, -clip_min, clip_min)
     if rounded:
         x = F.bround(x, 0)
-    return (f.select(x.alias("delay_bucket")).where(F.col("delay_bucket").isNotNull())
-            .groupBy("delay_bucket").agg(F.count(F.lit(1)).alias("arrivals")))
+    return (f.where(F.col("delay_minutes").isNotNull()).select(x.alias("delay_bucket"))
+            .groupBy("delay_bucket").agg(F.count(F.lit(1)).alias("arrivals")).orderBy("delay_bucket"))
 
 
 def clipped_delay_histogram(fact: DataFrame, route: str | None = None,
@@ -100,17 +104,18 @@ def with_delay_state(fact: DataFrame, early: float = ON_TIME_EARLY_MIN,
 
 def on_time_by_hour(fact: DataFrame, route: str | None = None,
                     hours: tuple[int, int] | None = None, early: float = ON_TIME_EARLY_MIN,
-                    late: float = ON_TIME_LATE_MIN) -> DataFrame:
-    f = filter_view(fact, route, hours)
+                    late: float = ON_TIME_LATE_MIN, agency_tz: str | None = None) -> DataFrame:
+    """On-time share per hour of arrival, in hour order."""
+    f = filter_view(fact, route, hours, agency_tz)
     g = f.groupBy("hour").agg(F.count(F.lit(1)).alias("_n"),
                               F.sum(on_time_flag(F.col("delay_minutes"), early, late)).alias("_c"))
-    return g.select("hour", share_pct(F.col("_c"), F.col("_n")).alias("on_time_pct"))
+    return g.select("hour", share_pct(F.col("_c"), F.col("_n")).alias("on_time_pct")).orderBy("hour")
 
 
 def stop_map(fact: DataFrame, coords: DataFrame, route: str | None = None,
              hours: tuple[int, int] | None = None, min_n: int = MIN_STOP_ARRIVALS,
              early: float = ON_TIME_EARLY_MIN, late: float = ON_TIME_LATE_MIN,
-             broadcast_max_rows: int = 2_000_000) -> DataFrame:
+             broadcast_max_bytes: int = 64_000_000) -> DataFrame:
     """Per-stop on-time % joined to stop coordinates (stops with >= min_n).
 
     ``stop_name`` is the smallest name seen for the stop (deterministic).
@@ -121,7 +126,7 @@ def stop_map(fact: DataFrame, coords: DataFrame, route: str | None = None,
               F.sum(on_time_flag(F.col("delay_minutes"), early, late)).alias("_c"),
               F.min("stop_name").alias("stop_name"))
          .where(F.col("arrivals") >= min_n))
-    c = broadcast_if_small(coords.select("stop_id", "stop_lat", "stop_lon"), broadcast_max_rows)
+    c = broadcast_if_small(coords.select("stop_id", "stop_lat", "stop_lon"), broadcast_max_bytes)
     return (g.join(c, "stop_id")
             .select("stop_id", "stop_name", "arrivals",
                     round_ratio(F.col("_c") * 100, F.col("arrivals"), 1, True).alias("on_time_pct"),

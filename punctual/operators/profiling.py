@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.rounding import int_div
-from ..functions.timefns import hms_to_seconds, second_of_day
+from ..functions.timefns import epoch_to_ts, hms_to_seconds, local_ts, second_of_day
 from .joins import nearest_asof, pick_nearest
 
 
@@ -27,16 +27,18 @@ def activity_by_hour(df: DataFrame, ts: str = "recorded_at",
     aggs = [F.count(F.lit(1)).alias("readings")]
     if id_col:
         aggs.append(F.count_distinct(id_col).alias("buses"))
-    return df.groupBy(F.hour(ts).alias("hour")).agg(*aggs)
+    return df.groupBy(F.hour(ts).alias("hour")).agg(*aggs).orderBy("hour")
 
 
 def arrivals_by_hour(arrivals: DataFrame, ts: str = "actual_arrival") -> DataFrame:
-    return arrivals.groupBy(F.hour(ts).alias("hour")).agg(F.count(F.lit(1)).alias("arrivals"))
+    """Arrivals per hour of day, in hour order."""
+    return arrivals.groupBy(F.hour(ts).alias("hour")).agg(F.count(F.lit(1)).alias("arrivals")).orderBy("hour")
 
 
 def raw_counts(raw: DataFrame) -> DataFrame:
-    """Rows and distinct snapshot files of the raw landing table."""
-    return raw.agg(F.count(F.lit(1)).alias("total_rows"),
+    """Rows, distinct polls and distinct snapshot files of the raw landing table
+    (a poll may be written as several files)."""
+    return raw.agg(F.count(F.lit(1)).alias("total_rows"), F.count_distinct("snapshot_ts").alias("polls"),
                    F.count_distinct("filename").alias("snapshot_files"))
 
 
@@ -74,24 +76,44 @@ def latest_positions(positions: DataFrame, route: str, n: int = 5) -> DataFrame:
 
 
 def nearest_gap(arrivals: DataFrame, stop_times: DataFrame, trips: DataFrame, route: str,
-                hours: tuple[int, ...] = (0, 1), skew_rows: int = 2_000_000) -> DataFrame:
+                hours: tuple[int, ...] = (0, 1), agency_tz: str | None = None) -> DataFrame:
     """Smallest gap (minutes, 1 dp) between an arrival in ``hours`` and any
     timetable entry of ``route`` at the same stop, at minute resolution.
 
-    Each arrival's nearest entry comes from the as-of scan (no pair of rows
-    is built); the result is the global minimum.
+    Both sides are reduced to their distinct (stop, minute) first: at most
+    1,440 arrival and 1,620 timetable minutes per stop meet in the as-of scan,
+    however many rows there are. The result is the global minimum.
     """
-    a = (arrivals.where(F.hour("actual_arrival").isin(*hours))
-         .select("stop_id", "vehicle_id", "trip_id", "actual_arrival",
-                 second_of_day(F.col("actual_arrival"), with_seconds=False).alias("a_secs")))
+    at = local_ts("actual_arrival", agency_tz)
+    a = (arrivals.where(F.hour(at).isin(*hours))
+         .select("stop_id", second_of_day(at, with_seconds=False).alias("a_secs")).distinct())
     t = trips.where(F.col("route_id") == route).select("trip_id")
     s = (stop_times.select("trip_id", "stop_id", "scheduled_arrival_str").join(t, "trip_id")
          .select("stop_id", hms_to_seconds(F.col("scheduled_arrival_str"), False).alias("s_secs"))
-         .where(F.col("stop_id").isNotNull()))
+         .where(F.col("stop_id").isNotNull() & F.col("s_secs").isNotNull()).distinct())
     m = nearest_asof(a, s, keys=["stop_id"], left_t="a_secs", right_t="s_secs",
-                     right_payload=[], window=None, skew_rows=skew_rows,
-                     salt_cols=["vehicle_id", "trip_id", "actual_arrival"])
+                     right_payload=[], window=None, skew_rows=1_000_000, salt_cols=["a_secs"])
     m = pick_nearest(m, "a_secs").where(F.col("_m").isNotNull())
     g = m.agg(F.min(F.abs(F.col("a_secs") - F.col("_m.t"))).cast("long").alias("_g"))
     tenths = int_div(F.col("_g") * 2 + 6, F.lit(12).cast("long"))
     return g.select((tenths.cast("double") / F.lit(10.0)).alias("nearest_gap_min"))
+
+
+def route_lookup(routes: DataFrame, short_name: str) -> DataFrame:
+    """The routes that carry a short name."""
+    return routes.where(F.col("route_short_name") == short_name).select("route_id", "route_short_name", "route_long_name")
+
+
+def route_listing(routes: DataFrame, n: int = 20) -> DataFrame:
+    """The first ``n`` routes by id (a listing with a limit)."""
+    return routes.orderBy("route_id").limit(n).select("route_id", "route_short_name", "route_long_name")
+
+
+def raw_freshness(raw: DataFrame, route: str | None = None) -> DataFrame:
+    """Rows, vehicles, polls and reading times of the raw layer, of all routes or one."""
+    v = "entity.vehicle"
+    if route is not None:
+        raw = raw.where(F.col(f"{v}.trip.routeId") == route)
+    at = epoch_to_ts(F.col(f"{v}.timestamp"))
+    return raw.agg(F.count(F.lit(1)).alias("readings"), F.count_distinct(f"{v}.vehicle.id").alias("vehicles"),
+                   F.count_distinct("snapshot_ts").alias("polls"), F.min(at).alias("earliest"), F.max(at).alias("latest"))

@@ -56,7 +56,9 @@ def _schedule_points(schedule: DataFrame, cfg: PipelineConfig) -> DataFrame:
         earlier = s.where(F.col("sched_secs") < w) \
             .withColumn("sched_secs", F.col("sched_secs") + DAY_S)
         s = s.unionByName(later).unionByName(earlier)
-    return s
+    # a point is met by many trips: distinct points bound every as-of bucket by
+    # the seconds of its time span, however large the timetable grows
+    return s.distinct()
 
 
 def match_schedule(arrivals: DataFrame, schedule: DataFrame,

@@ -45,7 +45,7 @@ def nearest(inp: Inputs, cfg: PipelineConfig) -> DataFrame:
 
 
 def arrivals(inp: Inputs, cfg: PipelineConfig) -> DataFrame:
-    return arr.actual_arrivals(nearest(inp, cfg), cfg.by_service_date)
+    return arr.actual_arrivals(nearest(inp, cfg), cfg.by_service_date, cfg.agency_tz)
 
 
 def schedule(inp: Inputs) -> DataFrame:
@@ -88,6 +88,7 @@ def incremental_fact(spark: SparkSession, inp: Inputs, path: str,
     """
     from pyspark.sql import functions as F
 
+    from ..functions.timefns import local_ts
     from ..sinks.materialize import append_incremental, high_water_mark
     cfg = cfg or PipelineConfig()
     mark = high_water_mark(spark, path)
@@ -95,8 +96,41 @@ def incremental_fact(spark: SparkSession, inp: Inputs, path: str,
     if mark is not None:
         since = mark - lookback if lookback else mark
         if cfg.by_service_date:
-            pings = pings.where(F.to_date("recorded_at") >= F.to_date(F.lit(since)))
-        active = pings.where(F.col("recorded_at") > F.lit(since)).select("vehicle_id").distinct()
-        pings = pings.join(active, "vehicle_id", "left_semi")
+            # from the start of the mark's day: a plain comparison with a
+            # literal, which reaches the scan of a stored ping table
+            day = spark.range(1).select(F.date_trunc("day", local_ts(F.lit(since), cfg.agency_tz)).alias("d"))
+            start = day.select(F.to_utc_timestamp("d", cfg.agency_tz) if cfg.agency_tz else F.col("d")).first()[0]
+            pings = pings.where(F.col("recorded_at") >= F.lit(start))
+        active = (pings.where(F.col("recorded_at") > F.lit(since))
+                  .select(F.col("vehicle_id").alias("_active")).distinct())
+        # a NULL vehicle is a vehicle like any other
+        pings = pings.join(active, F.col("vehicle_id").eqNullSafe(F.col("_active")), "left_semi")
     restricted = Inputs(inp.stops, inp.trips, inp.stop_times, inp.routes, pings)
-    return append_incremental(spark, fact(restricted, cfg), path, lookback=lookback)
+    return append_incremental(spark, fact(restricted, cfg), path, lookback=lookback, since=mark)
+
+
+def load_build_test(spark: SparkSession, inp: Inputs, landing: str, raw_path: str, out: str,
+                    checkpoint: str, cfg: PipelineConfig) -> DataFrame:
+    """Load landed snapshots into the raw table, build the fact and the mart
+    from it as tables, run the declared tests and raise on any violation
+    (D4); each step runs only after the one before it has succeeded."""
+    from ..operators import quality as dq
+    from ..operators.staging import flatten_positions
+    from ..sinks.materialize import write_full
+    from ..sources.snapshots import RAW_SCHEMA
+    from ..streaming.positions import load_raw_snapshots
+
+    load_raw_snapshots(spark, landing, raw_path, checkpoint).awaitTermination()
+    pings = flatten_positions(spark.read.schema(RAW_SCHEMA).parquet(raw_path))
+    loaded = Inputs(inp.stops, inp.trips, inp.stop_times, inp.routes, pings)
+    write_full(fact(loaded, cfg), f"{out}/fct_stop_performance")
+    f = spark.read.parquet(f"{out}/fct_stop_performance")
+    write_full(rel.route_reliability(f, cfg.early, cfg.late), f"{out}/fct_route_reliability")
+    m = spark.read.parquet(f"{out}/fct_route_reliability")
+    results = dq.run_checks(f, "fct_stop_performance", [
+        dq.not_null("trip_stop_id"), dq.unique("trip_stop_id"), dq.not_null("stop_name"),
+        dq.not_null("delay_minutes"), dq.accepted_range("delay_minutes", -30, 30)])
+    results = results.unionByName(dq.run_checks(m, "fct_route_reliability", [
+        dq.not_null("on_time_pct"), dq.accepted_range("on_time_pct", 0, 100)]))
+    dq.assert_passing(results)
+    return results

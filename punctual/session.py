@@ -23,6 +23,8 @@ def get_session(master: str | None = None, app: str = "punctual",
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # keep CPU-heavy window stages spread even when a shuffle is small
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -30,10 +32,6 @@ def get_session(master: str | None = None, app: str = "punctual",
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    if master and master.startswith("local"):
-        # one machine: keep CPU-heavy window stages spread over all cores
-        # even when a shuffle is only a few MB
-        builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
@@ -49,6 +47,8 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         # the setting itself cannot change at runtime; register a folder
         # with the context instead
         conf_dir = tempfile.mkdtemp(prefix="punctual-ckpt-")

@@ -33,10 +33,6 @@ def write_full(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w.save(path)
 
 
-def append_batch(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    df.write.mode("append").format(fmt).save(path)
-
-
 def _checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into ``spark.checkpoint.dir`` computing ``df`` once
     (cached while the checkpoint files are written, then released)."""
@@ -48,36 +44,48 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return out
 
 
-def _exists(spark: SparkSession, path: str) -> DataFrame | None:
+def _exists(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The table at ``path``; None only if the path isn't there. With a
+    ``schema`` a table without any file is an empty table."""
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
-def high_water_mark(spark: SparkSession, path: str, mark: str = "actual_arrival"):
-    """max(mark) of the target table, or None when it is absent or empty."""
-    target = _exists(spark, path)
-    return None if target is None else target.agg(F.max(mark)).first()[0]
+def high_water_mark(spark: SparkSession, path: str, mark: str = "actual_arrival",
+                    partition_col: str = "arrival_date"):
+    """max(mark) of the target table, or None when it is absent or empty. The
+    table is partitioned by the mark's date: only the newest one is read."""
+    target = _exists(spark, path, f"{mark} timestamp, {partition_col} date")
+    if target is None:
+        return None
+    newest = target.agg(F.max(partition_col)).first()[0]  # from the partition values
+    if newest is None:
+        return target.agg(F.max(mark)).first()[0]
+    return target.where(F.col(partition_col) == F.lit(newest)).agg(F.max(mark)).first()[0]
 
 
 def append_incremental(spark: SparkSession, new_rows: DataFrame, path: str,
                        key: str = "trip_stop_id", mark: str = "actual_arrival",
                        partition_col: str = "arrival_date",
-                       lookback: dt.timedelta | None = None) -> int:
+                       lookback: dt.timedelta | None = None, since=None) -> int:
     """Append rows newer than the target's high-water mark, replacing rows
     with the same key (delete + insert). Returns the rows taken.
 
     First run (no table): full build. ``lookback`` re-admits rows up to that
     much older than the mark (late arrivals). An existing but empty target
-    admits everything.
+    admits everything. ``since`` is the mark if the caller has read it. Rows
+    without a key never replace others (a NULL key equals none).
     """
     new_rows = new_rows.withColumn(partition_col, F.to_date(F.col(mark)))
-    target = _exists(spark, path)
+    target = _exists(spark, path, new_rows.schema)
     if target is None:
         new_rows.write.mode("overwrite").partitionBy(partition_col).parquet(path)
-        return spark.read.parquet(path).count()
-    hw = high_water_mark(spark, path, mark)
+        return spark.read.schema(new_rows.schema).parquet(path).count()
+    hw = since if since is not None else high_water_mark(spark, path, mark, partition_col)
     inc = new_rows
     if hw is not None:
         lim = hw - lookback if lookback else hw
@@ -88,8 +96,8 @@ def append_incremental(spark: SparkSession, new_rows: DataFrame, path: str,
     n = inc.count()
     if n == 0:
         return 0
-    dates = inc.select(partition_col).distinct()
-    touched = target.join(dates, partition_col, "left_semi")
+    dates = [r[0] for r in inc.select(partition_col).distinct().collect()]  # the new rows' days
+    touched = target.where(F.col(partition_col).isin(dates))
     merged = (touched.join(inc.select(key), key, "left_anti")
               .unionByName(inc.select(*touched.columns)))
     # cut lineage: the touched partitions are read here and replaced below
@@ -117,9 +125,9 @@ def read_versioned(spark: SparkSession, path: str) -> DataFrame | None:
     return None if v is None else spark.read.parquet(f"{path}/v={v}")
 
 
-def commit_version(spark: SparkSession, df: DataFrame, path: str) -> int:
+def commit_version(spark: SparkSession, df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
     v = (current_version(spark, path) or 0) + 1
-    df.write.mode("overwrite").parquet(f"{path}/v={v}")
+    write_full(df, f"{path}/v={v}", partition_by)
     spark.createDataFrame([(v, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))], _LOG) \
         .write.mode("append").parquet(f"{path}/_log")
     return v
@@ -133,44 +141,62 @@ def _null_safe_eq(a: DataFrame, b: DataFrame, cols: list[str]):
     return cond
 
 
+class DuplicateKeyError(RuntimeError):
+    pass
+
+
+def _assert_unique(df: DataFrame, key: list[str], what: str) -> None:
+    twice = df.groupBy(*key).count().where("count > 1").limit(1).collect()
+    if twice:
+        raise DuplicateKeyError(f"{what}: the key {key} is not unique, e.g. {twice[0].asDict()}")
+
+
+def read_scd2(spark: SparkSession, path: str) -> DataFrame | None:
+    """The whole history: the open rows of the last run and the rows that each
+    run closed."""
+    v = current_version(spark, path)
+    if v is None:
+        return None
+    rows = spark.read.option("basePath", path).parquet(*[f"{path}/v={i}" for i in range(1, v + 1)])
+    return rows.where((F.col("state") == "closed") | (F.col("v") == v)).drop("state", "v")
+
+
 def scd2_snapshot(spark: SparkSession, source: DataFrame, path: str, key: list[str],
                   check_cols: list[str], ts, invalidate_hard_deletes: bool = False) -> int:
     """Slowly-changing-dimension (type 2) history with the ``check`` strategy.
 
     Each source row version carries ``valid_from`` / ``valid_to``; a change in
     any ``check_cols`` closes the open version at ``ts`` and opens a new one.
-    Keys missing from the source stay open unless
-    ``invalidate_hard_deletes``. Returns the committed version number.
+    Keys missing from the source stay open unless ``invalidate_hard_deletes``.
+    A run writes the open rows and the rows it closed (``state=open`` and
+    ``state=closed`` below ``v=<run>``) in one pass; rows closed by earlier runs
+    are neither read nor written again. Raises if the key is not unique in the
+    source. Returns the committed version number.
     """
     ts = F.lit(ts).cast("timestamp")
     cols = source.columns
-    hist = read_versioned(spark, path)
-    if hist is None:
-        out = source.select(*cols, ts.alias("valid_from"),
-                            F.lit(None).cast("timestamp").alias("valid_to"))
-        return commit_version(spark, out, path)
-    closed = hist.where(F.col("valid_to").isNotNull())
-    h = hist.where(F.col("valid_to").isNull()).withColumn("_h", F.lit(True)).alias("h")
-    s = source.withColumn("_s", F.lit(True)).alias("s")
-    j = h.join(s, _null_safe_eq(h, s, key), "full_outer")
-    both = F.col("h._h").isNotNull() & F.col("s._s").isNotNull()
-    same = None
-    for c in check_cols:
-        e = F.col(f"h.{c}").eqNullSafe(F.col(f"s.{c}"))
-        same = e if same is None else same & e
-    changed = both & ~same
-    only_h = F.col("h._h").isNotNull() & F.col("s._s").isNull()
-    only_s = F.col("h._h").isNull() & F.col("s._s").isNotNull()
-    close_h = changed | (only_h & F.lit(invalidate_hard_deletes))
-    hist_side = j.where(F.col("h._h").isNotNull()).select(
-        *[F.col(f"h.{c}").alias(c) for c in cols], F.col("h.valid_from").alias("valid_from"),
-        F.when(close_h, ts).otherwise(F.col("h.valid_to")).alias("valid_to"))
-    new_side = j.where(changed | only_s).select(
-        *[F.col(f"s.{c}").alias(c) for c in cols], ts.alias("valid_from"),
-        F.lit(None).cast("timestamp").alias("valid_to"))
-    out = closed.select(*cols, "valid_from", "valid_to").unionByName(hist_side) \
-        .unionByName(new_side)
-    return commit_version(spark, out, path)
+    _assert_unique(source, key, "source")
+    last = current_version(spark, path)
+    if last is None:
+        out = source.select(*cols, ts.alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"))
+    else:
+        hist = spark.read.parquet(f"{path}/v={last}").where("state = 'open'").drop("state")
+        h = hist.withColumn("_h", F.lit(True)).alias("h")
+        s = source.withColumn("_s", F.lit(True)).alias("s")
+        j = h.join(s, _null_safe_eq(h, s, key), "full_outer")
+        there, here = F.col("h._h").isNotNull(), F.col("s._s").isNotNull()
+        same = F.lit(True)
+        for c in check_cols:
+            same = same & F.col(f"h.{c}").eqNullSafe(F.col(f"s.{c}"))
+        closes = there & ((here & ~same) | (~here & F.lit(invalidate_hard_deletes)))
+        never = F.lit(None).cast("timestamp")
+        old = F.struct(*[F.col(f"h.{c}").alias(c) for c in cols], F.col("h.valid_from").alias("valid_from"),
+                       F.when(closes, ts).otherwise(never).alias("valid_to"))
+        new = F.struct(*[F.col(f"s.{c}").alias(c) for c in cols], ts.alias("valid_from"), never.alias("valid_to"))
+        both = F.array(F.when(there, old), F.when(here & (~there | ~same), new))
+        out = j.select(F.explode(both).alias("r")).where("r IS NOT NULL").select("r.*")
+    out = out.withColumn("state", F.when(F.col("valid_to").isNull(), "open").otherwise("closed"))
+    return commit_version(spark, out, path, ["state"])
 
 
 def export_stop_coordinates(stops_raw: DataFrame, path: str) -> None:

@@ -70,20 +70,21 @@ def raw_from_pings(pings: DataFrame) -> DataFrame:
                         entity_struct(pings).alias("entity"))
 
 
-def snapshot_documents(pings: DataFrame, max_entities: int = 10_000) -> DataFrame:
+def snapshot_documents(pings: DataFrame, document_entities: int = 10_000) -> DataFrame:
     """Feed documents (header + entity list) for staged pings, with ``date``.
 
-    A poll with more than ``max_entities`` entities is split into
-    ``ceil(n / max_entities)`` documents with the same header time (vehicles
-    hashed across them), so no single row ever holds an unbounded list.
+    ``document_entities`` is a layout parameter: a poll with more entities is
+    written as several documents with the same header time, which is the poll's
+    id (counts and the latest poll go by it, not by files), so no single row
+    holds an unbounded list. Pings without a time form the poll without a time,
+    under a null date.
     """
     ts = snapshot_ts(F.col("recorded_at"))
     p = pings.withColumn("_snap", ts)
     parts = (p.groupBy("_snap").count()
-             .select("_snap", F.ceil(F.col("count") / F.lit(max_entities)).cast("int")
-                     .alias("_np")))
-    p = (p.join(parts, "_snap")
-         .withColumn("_part", F.pmod(F.xxhash64("vehicle_id", "recorded_at"), F.col("_np"))))
+             .select(F.col("_snap").alias("_s"), F.ceil(F.col("count") / F.lit(document_entities)).cast("int").alias("_np")))
+    p = (p.join(parts, F.col("_snap").eqNullSafe(F.col("_s"))).drop("_s")
+         .withColumn("_part", F.pmod(F.xxhash64("vehicle_id", "recorded_at", "trip_id"), F.col("_np"))))
     return (p.groupBy("_snap", "_part")
             .agg(F.collect_list(entity_struct(p)).alias("entity"))
             .select(F.struct(F.unix_timestamp("_snap").cast("string").alias("timestamp"))
@@ -96,44 +97,73 @@ def land_snapshots(docs: DataFrame, path: str, mode: str = "append") -> None:
     docs.write.mode(mode).partitionBy("date").json(path)
 
 
+RAW_SCHEMA = T.StructType([T.StructField("filename", T.StringType()),
+                           T.StructField("snapshot_ts", T.TimestampType()),
+                           T.StructField("date", T.StringType()),
+                           T.StructField("entity", ENTITY)])
+
+
 def docs_to_raw(docs: DataFrame) -> DataFrame:
-    """Feed documents -> one row per entity with the source file name."""
-    extra = [F.col("date").cast("string").alias("date")] if "date" in docs.columns else []
+    """Feed documents -> one row per entity with the source file name and the
+    date of its folder (null without one)."""
+    day = F.regexp_extract(F.col("_metadata.file_path"), r"/date=(\d{4}-\d{2}-\d{2})/", 1)
     return docs.select(F.col("_metadata.file_path").alias("filename"),
                        F.timestamp_seconds(F.col("header.timestamp").try_cast("long"))
-                       .alias("snapshot_ts"), *extra,
+                       .alias("snapshot_ts"), F.when(day != "", day).alias("date"),
                        F.explode("entity").alias("entity"))
 
 
-def read_snapshots(spark: SparkSession, path: str, required: bool = True,
-                   path_glob: str | None = "*.json", multiline: bool = False) -> DataFrame:
-    """Raw landing table: filename, snapshot_ts, [date,] entity (one row per
-    entity; an empty entity list gives no row). A missing optional path
-    gives an empty table; a missing required path raises."""
-    reader = spark.read.schema(SNAPSHOT_SCHEMA).option("multiLine", multiline)
-    if path_glob:
-        reader = reader.option("pathGlobFilter", path_glob)
+def document_reader(reader, multiline: bool, path_glob: str | None, failfast: bool):
+    """Snapshot JSON at any depth below a folder; a truncated document fails
+    the read, or is left to ``document_quality`` to count."""
+    reader = (reader.schema(SNAPSHOT_SCHEMA).option("multiLine", multiline).option("recursiveFileLookup", True)
+              .option("mode", "FAILFAST" if failfast else "PERMISSIVE"))
+    return reader.option("pathGlobFilter", path_glob) if path_glob else reader
+
+
+def read_snapshots(spark: SparkSession, path: str, required: bool = True, path_glob: str | None = "*.json",
+                   multiline: bool = False, failfast: bool = True) -> DataFrame:
+    """Raw landing table: filename, snapshot_ts, date, entity (one row per
+    entity; an empty entity list gives no row), from files at any depth. A
+    missing optional path gives an empty table; a missing required path raises."""
     try:
-        docs = reader.json(path)
-    except AnalysisException:
-        if required:
+        docs = document_reader(spark.read, multiline, path_glob, failfast).json(path)
+    except AnalysisException as e:
+        if required or e.getCondition() != "PATH_NOT_FOUND":
             raise
-        schema = T.StructType([T.StructField("filename", T.StringType()),
-                               T.StructField("snapshot_ts", T.TimestampType()),
-                               T.StructField("entity", ENTITY)])
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], RAW_SCHEMA)
     return docs_to_raw(docs)
 
 
+def document_quality(spark: SparkSession, path: str, path_glob: str | None = "*.json") -> DataFrame:
+    """What a tolerant read of the landing folder would lose: documents,
+    corrupt ones, entities, and entities whose latitude, longitude or time is
+    there but does not parse (one row)."""
+    reader = spark.read.option("recursiveFileLookup", True)
+    lines = (reader.option("pathGlobFilter", path_glob) if path_glob else reader).text(path).where("trim(value) <> ''")
+    # every value of the document as text, so that a failed cast shows
+    loose = ("header struct<timestamp:string>, entity array<struct<id:string,vehicle:struct<"
+             "position:struct<latitude:string,longitude:string>,timestamp:string>>>, _corrupt string")
+    docs = lines.select(F.from_json("value", loose, {"columnNameOfCorruptRecord": "_corrupt"}).alias("d"))
+
+    def failed(get, kind):
+        return F.size(F.filter("d.entity", lambda e: get(e).isNotNull() & get(e).try_cast(kind).isNull()))
+    v = "vehicle"
+    return (docs.agg(
+        F.count(F.lit(1)).alias("documents"), F.count("d._corrupt").alias("corrupt_documents"),
+        F.coalesce(F.sum(F.when(F.col("d._corrupt").isNull(), F.coalesce(F.size("d.entity"), F.lit(0)))), F.lit(0)).alias("entities"),
+        *[F.coalesce(F.sum(F.when(F.col("d._corrupt").isNull(), F.coalesce(failed(get, kind), F.lit(0)))), F.lit(0)).alias(f"bad_{name}") for name, get, kind in (
+            ("latitude", lambda e: e[v]["position"]["latitude"], "double"),
+            ("longitude", lambda e: e[v]["position"]["longitude"], "double"),
+            ("time", lambda e: e[v]["timestamp"], "long"))]))
+
+
 def stream_snapshots(spark: SparkSession, path: str, max_files: int = 30,
                      path_glob: str | None = "*.json") -> DataFrame:
     """Streaming raw landing table over a landing folder; each micro-batch
     takes at most ``max_files`` new files."""
-    reader = (spark.readStream.schema(SNAPSHOT_SCHEMA)
-              .option("maxFilesPerTrigger", max_files))
-    if path_glob:
-        reader = reader.option("pathGlobFilter", path_glob)
-    return docs_to_raw(reader.json(path))
+    reader = spark.readStream.option("maxFilesPerTrigger", max_files)
+    return docs_to_raw(document_reader(reader, False, path_glob, True).json(path))
 
 
 def latest_snapshot(raw: DataFrame, route: str | None = None) -> DataFrame:

@@ -8,12 +8,13 @@ The incremental fact (T2) is a ``foreachBatch`` sink. Every grouping of the
 model (nearest stop, first arrival, nearest schedule) is keyed by vehicle,
 so a batch only changes facts of the vehicles that appear in it: positions
 of those vehicles are re-read from the position store, their facts are
-rebuilt and swapped in by delete + insert. With ``by_service_date`` the unit
-is (vehicle, day) and the store (partitioned by day) is pruned to the days in
-the batch, so a batch's cost no longer grows with the stream's history. The
-result equals a full rebuild after every batch; replays of an epoch are
-idempotent (the epoch's position partitions are overwritten, the fact version
-is written to a fresh folder and committed to a log only at the end).
+rebuilt and swapped in by delete + insert. The fact is kept in versions per
+day. With ``by_service_date`` the unit is (vehicle, day): the batch's days, a
+literal list, prune the store's and the fact's partitions, so what a batch
+reads and writes does not grow with the stream's history. With the original
+arrival grain a touched vehicle's whole history is re-read and the days it
+appears in are written again. The result equals a full rebuild after every
+batch; replays of an epoch are idempotent.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from ..config import PipelineConfig
 from ..operators import arrivals as arr
 from ..operators import schedule as sch
 from ..operators.staging import POSITION_COLS, flatten_positions
-from ..sinks.materialize import commit_version, read_versioned
+from ..functions.timefns import local_ts
+from ..sinks.materialize import _checkpoint, _exists, write_full
 from ..sources.snapshots import stream_snapshots
 
 def stream_positions(spark: SparkSession, landing: str, max_files: int = 30) -> DataFrame:
@@ -34,6 +36,20 @@ def stream_positions(spark: SparkSession, landing: str, max_files: int = 30) ->
     return flatten_positions(stream_snapshots(spark, landing, max_files))
 
 
+def read_fact(spark: SparkSession, fact_path: str) -> DataFrame | None:
+    """The streamed fact: of every day the last version written; None before
+    the first batch. The log has one row per batch and day it touched."""
+    log = _exists(spark, f"{fact_path}/_log")
+    if log is None:
+        return None
+    last = (log.groupBy("day").agg(F.max_by(F.struct("version", "rows"), "version").alias("v"))
+            .select("day", "v.version", "v.rows").collect())  # one row per day
+    parts = [f"{fact_path}/v={r.version}/service_date={r.day}" for r in sorted(last) if r.rows]
+    if not parts:
+        return None
+    return spark.read.parquet(*parts)
+
+
 def update_fact(spark: SparkSession, batch: DataFrame, epoch_id: int, store: str,
                 fact_path: str, route_stops: DataFrame, schedule: DataFrame,
                 cfg: PipelineConfig) -> None:
@@ -41,41 +57,86 @@ def update_fact(spark: SparkSession, batch: DataFrame, epoch_id: int, store: str
 
     The rebuild unit is the vehicle (default, the original arrival grain has
     no date, so a vehicle's whole history is re-read) or, with
-    ``cfg.by_service_date``, the (vehicle, service date) pair: every grouping
-    of the model then stays within one day, and the date-partitioned store
-    prunes the scan to the touched days.
+    ``cfg.by_service_date``, the (vehicle, service date) pair: then only the
+    batch's days of the store are read and only they are written again. A
+    version holds the days it changed; the log that names them is appended
+    last, so a failed batch changes nothing and a replay writes the same.
     """
-    pos = (batch.select(*POSITION_COLS)
-           .withColumn("service_date", F.to_date("recorded_at"))
-           .withColumn("epoch", F.lit(epoch_id)))
+    day = F.coalesce(F.to_date(local_ts("recorded_at", cfg.agency_tz)).cast("string"), F.lit("none"))
+    pos = batch.select(*POSITION_COLS).withColumn("service_date", day).withColumn("epoch", F.lit(epoch_id))
     (pos.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("service_date", "epoch").parquet(store))
+    # the batch's own part of the store: the sources are read once
+    stored = spark.read.schema(pos.schema).parquet(store)
+    own = stored.where(F.col("epoch") == epoch_id)
+    days = [r[0] for r in own.select("service_date").distinct().collect()]  # days of one batch
     unit = ["vehicle_id", "service_date"] if cfg.by_service_date else ["vehicle_id"]
-    touched = pos.select(*unit).distinct()
-    history = spark.read.parquet(store).join(touched, unit, "left_semi")
+    touched = own.select(*[F.col(c).alias(f"_{c}") for c in unit]).distinct()
+
+    def same(columns):
+        on = F.lit(True)
+        for c, e in zip(unit, columns):
+            on = on & e.eqNullSafe(F.col(f"_{c}"))
+        return on
+
+    history = stored.where(F.col("service_date").isin(days)) if cfg.by_service_date else stored
+    history = history.join(touched, same([F.col(c) for c in unit]), "left_semi")
     cand = arr.proximity_join(history.select(*POSITION_COLS), route_stops, cfg)
-    a = arr.actual_arrivals(arr.nearest_stop(cand), cfg.by_service_date)
+    a = arr.actual_arrivals(arr.nearest_stop(cand), cfg.by_service_date, cfg.agency_tz)
     fresh = sch.stop_performance(sch.match_schedule(a, schedule, cfg))
-    old = read_versioned(spark, fact_path)
+    arrival_day = F.to_date(local_ts("actual_arrival", cfg.agency_tz)).cast("string")
+    fresh = fresh.withColumn("service_date", arrival_day)
+    old, rewritten = read_fact(spark, fact_path), set(days) if cfg.by_service_date else set()
     if old is None:
         out = fresh
     else:
-        o = old.withColumn("service_date", F.to_date("actual_arrival"))
-        out = o.join(touched, unit, "left_anti").select(*old.columns).unionByName(fresh)
-    commit_version(spark, out, fact_path)
+        old = old.withColumn("service_date", arrival_day)
+        if cfg.by_service_date:
+            old = old.where(F.col("service_date").isin(days))
+        else:
+            # days in which a touched vehicle has, or had, a fact
+            gone = old.join(touched, same([F.col("vehicle_id")]), "left_semi").select("service_date")
+            fresh = _checkpoint(fresh)
+            hit = gone.union(fresh.select("service_date")).distinct()
+            rewritten = {r[0] for r in hit.collect()}  # one row per day
+            old = old.where(F.col("service_date").isin(sorted(rewritten)))
+        kept = old.join(touched, same([F.col(c) for c in unit]), "left_anti")
+        out = kept.unionByName(fresh)
+    version = epoch_id + 1
+    write_full(out, f"{fact_path}/v={version}", ["service_date"])
+    written = spark.read.schema(out.schema).parquet(f"{fact_path}/v={version}")
+    rows = {r[0]: r[1] for r in written.groupBy("service_date").count().collect()}
+    log = [(version, d, rows.get(d, 0)) for d in sorted(rewritten | set(rows))]
+    (spark.createDataFrame(log, "version long, day string, rows long")
+     .write.mode("append").parquet(f"{fact_path}/_log"))
+
+
+def remove_superseded(spark: SparkSession, fact_path: str) -> int:
+    """Delete the day folders that a later version replaced; returns how many.
+    For use when no reader holds an older listing."""
+    log = _exists(spark, f"{fact_path}/_log")
+    if log is None:
+        return 0
+    last = log.groupBy("day").agg(F.max("version").alias("top"))
+    old = log.select("version", "day").distinct().join(last, "day").where("version < top").collect()  # batches x days
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for r in old:
+        path = jvm.org.apache.hadoop.fs.Path(f"{fact_path}/v={r.version}/service_date={r.day}")
+        path.getFileSystem(conf).delete(path, True)
+    return len(old)
 
 
 def stream_incremental(spark: SparkSession, positions: DataFrame, route_stops: DataFrame,
                        schedule: DataFrame, store: str, fact_path: str, checkpoint: str,
                        cfg: PipelineConfig | None = None,
                        available_now: bool = True) -> StreamingQuery:
-    """Start the incremental fact stream; returns the running query."""
+    """Start the incremental fact stream; returns the running query. The
+    timetable is read anew by every batch."""
     cfg = cfg or PipelineConfig()
-    rs = route_stops.persist()
-    sc = schedule.persist()
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        update_fact(spark, batch, epoch_id, store, fact_path, rs, sc, cfg)
+        update_fact(spark, batch, epoch_id, store, fact_path, route_stops, schedule, cfg)
 
     w = positions.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")

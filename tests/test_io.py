@@ -60,7 +60,7 @@ def test_scd2_changed_unchanged_new_deleted(spark):
         mat.scd2_snapshot(spark, v2, path, key, chk, t2, invalidate_hard_deletes=hard)
         got = sorted((r.trip_id, r.scheduled_arrival_str, str(r.valid_from)[:10],
                       None if r.valid_to is None else str(r.valid_to)[:10])
-                     for r in mat.read_versioned(spark, path).collect())
+                     for r in mat.read_scd2(spark, path).collect())
         deleted_to = "2024-01-02" if hard else None
         assert got == sorted([("1", "10:00:00", "2024-01-01", None),
                               ("12", "11:00:00", "2024-01-01", "2024-01-02"),
@@ -131,7 +131,8 @@ def test_stream_by_service_date_equals_batch(spark):
     from punctual.config import PipelineConfig
     from punctual.plans import transit as T
     from punctual.sources import fixtures as fx
-    from punctual.streaming.positions import stream_incremental, stream_positions
+    from punctual.streaming.positions import (read_fact, remove_superseded, stream_incremental,
+                                              stream_positions)
     from tests.helpers import rows
     cfg = PipelineConfig(by_service_date=True)
     inp = T.fixture_inputs(spark, SF_SMALL)
@@ -141,8 +142,15 @@ def test_stream_by_service_date_equals_batch(spark):
     q = stream_incremental(spark, stream_positions(spark, landing, max_files=1),
                            T.route_stops(inp, cfg), T.schedule(inp), store, fact, ck, cfg)
     q.awaitTermination()
-    assert mat.current_version(spark, fact) >= 2          # several micro-batches
-    got = mat.read_versioned(spark, fact).toPandas()
+    log = spark.read.parquet(f"{fact}/_log")
+    assert log.select("version").distinct().count() >= 2          # several micro-batches
+    # a batch writes again only the days it holds
+    days = spark.read.parquet(store).select("epoch", "service_date").distinct()
+    extra = log.join(days, (log.version == days.epoch + 1) & (log.day == days.service_date.cast("string")), "left_anti")
+    assert extra.count() == 0
+    got = read_fact(spark, fact).toPandas()
+    assert remove_superseded(spark, fact) >= 0
+    assert rows(read_fact(spark, fact).toPandas()) == rows(got)
     want = T.fact(inp, cfg).toPandas()
     assert len(want) > 100
     assert rows(got) == rows(want)
@@ -180,7 +188,7 @@ def test_large_polls_split_into_bounded_documents(spark):
     from tests.conftest import SF_SMALL
     from punctual.sources import fixtures as fx
     pings = fx.pings(spark, SF_SMALL)
-    docs = snap.snapshot_documents(pings, max_entities=2)
+    docs = snap.snapshot_documents(pings, document_entities=2)
     sizes = [r.n for r in docs.select(F.size("entity").alias("n")).collect()]
     assert max(sizes) <= 6 and sum(sizes) == pings.count()
     landing = os.path.join(_fresh(), "landing")
@@ -198,3 +206,57 @@ def test_stop_export_drops_missing_coordinates(spark):
     mat.export_stop_coordinates(raw, out)
     got = [(r.stop_id, r.stop_lat, r.stop_lon) for r in spark.read.parquet(out).collect()]
     assert got == [("1", 43.6, -79.4)]
+
+
+def test_csv_quotes_and_first_match(spark):
+    from punctual.sources import gtfs
+    d = _fresh()
+    for sub_dir, name in (("b", "second"), ("a", 'Queen ""East"" St, Stop')):
+        os.makedirs(os.path.join(d, sub_dir, "deep"))
+        with open(os.path.join(d, sub_dir, "deep", "stops.txt"), "w") as fh:
+            fh.write(f'stop_id,stop_name,stop_lat,stop_lon\n1,"{name}",43.6,-79.4\n')
+    got = gtfs.read_gtfs(spark, d, "stops").collect()
+    assert [tuple(r) for r in got] == [("1", 'Queen "East" St, Stop', "43.6", "-79.4")]
+    assert gtfs.read_gtfs(spark, d, "routes") is None
+    with pytest.raises(FileNotFoundError):
+        gtfs.read_gtfs(spark, d, "routes", required=True)
+
+
+def test_truncated_documents_are_not_lost_silently(spark):
+    d = os.path.join(_fresh(), "x", "date=2024-01-01")
+    os.makedirs(d)
+    doc = json.dumps({"header": {"timestamp": "1704103230"}, "entity": [{"id": "e", "vehicle": {
+        "vehicle": {"id": "V"}, "position": {"latitude": 43.7, "longitude": -79.3}, "timestamp": "1704103230"}}]})
+    with open(os.path.join(d, "s.json"), "w") as fh:
+        fh.write(doc + "\n" + doc[:60] + "\n")
+    root = os.path.dirname(os.path.dirname(d))
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
+        snap.read_snapshots(spark, root).collect()
+    assert snap.read_snapshots(spark, root, failfast=False).select("date").collect()[0][0] == "2024-01-01"
+    q = snap.document_quality(spark, root).first()
+    assert (q.documents, q.corrupt_documents, q.entities) == (2, 1, 1)
+
+
+def test_scd2_needs_a_unique_key(spark):
+    df = spark.createDataFrame([("1", "a"), ("1", "b")], "k string, v string")
+    with pytest.raises(mat.DuplicateKeyError):
+        mat.scd2_snapshot(spark, df, os.path.join(_fresh(), "s"), ["k"], ["v"], "2024-01-01")
+
+
+def test_only_a_missing_path_means_a_first_run(spark):
+    path = os.path.join(_fresh(), "t")
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.parquet"), "w") as fh:
+        fh.write("not parquet")
+    df = _fact_rows(spark, [("a", ts("2024-01-01 10:00:00"), 1.0)])
+    with pytest.raises(Exception):
+        mat.append_incremental(spark, df, path)
+    assert os.path.exists(os.path.join(path, "part-0.parquet"))
+
+
+def test_all_failing_checks_are_named(spark):
+    res = spark.createDataFrame([("m", f"c{i}", "not_null", 1) for i in range(30)],
+                                "model string, column_name string, test string, violations long")
+    with pytest.raises(dq.DataQualityError) as e:
+        dq.assert_passing(res)
+    assert all(f"c{i} " in str(e.value) for i in range(30))

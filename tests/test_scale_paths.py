@@ -4,6 +4,8 @@ broadcast bound, route-only join vs grid join, headway chunk size."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from punctual.config import PipelineConfig, ScaleConfig
 from punctual.operators import headways as hwo
 from punctual.plans import transit as T
@@ -30,7 +32,7 @@ def test_narrow_buckets_equal_default(spark):
 
 def test_shuffle_join_beyond_broadcast_bound(spark):
     base = _fact(spark, PipelineConfig())
-    shuffled = _fact(spark, PipelineConfig(scale=ScaleConfig(broadcast_max_rows=0)))
+    shuffled = _fact(spark, PipelineConfig(scale=ScaleConfig(broadcast_max_bytes=0)))
     assert rows(shuffled) == rows(base)
 
 
@@ -38,8 +40,14 @@ def test_grid_join_equals_route_join(spark):
     from punctual.operators import arrivals as arr
     inp = T.fixture_inputs(spark, SF_SMALL)
     rs = T.route_stops(inp, PipelineConfig())
-    grid = arr.proximity_join(inp.pings, rs, PipelineConfig(), grid=True).toPandas()
-    plain = arr.proximity_join(inp.pings, rs, PipelineConfig(), grid=False).toPandas()
+    from punctual.functions.geo import planar_distance_m
+    cfg = PipelineConfig()
+    grid = arr.proximity_join(inp.pings, rs, cfg).toPandas()
+    # every ping of a route against every stop of it (small tables only)
+    d = planar_distance_m(F.col("latitude"), F.col("longitude"), F.col("stop_latitude"),
+                          F.col("stop_longitude"), cfg.m_lat, cfg.m_lon)
+    plain = (inp.pings.join(rs, "route_id").withColumn("distance_m", d).where("distance_m <= 50")
+             .select(*arr.CANDIDATE_COLS).toPandas())
     assert len(grid) > 100
     assert rows(grid) == rows(plain)
 
@@ -63,8 +71,6 @@ def test_restricted_incremental_equals_full_rebuild_append(spark):
     import os
     import tempfile
 
-    from pyspark.sql import functions as F
-
     from punctual.sinks.materialize import append_incremental
     inp = T.fixture_inputs(spark, SF_SMALL)
     cut = inp.pings.select(F.percentile(F.unix_seconds("recorded_at"), 0.6)).first()[0]
@@ -81,10 +87,28 @@ def test_restricted_incremental_equals_full_rebuild_append(spark):
         assert rows(got) == rows(want)
 
 
-def test_salted_nearest_gap_equals_default(spark):
+def test_nearest_gap_over_a_repeated_timetable(spark):
     from punctual.operators import profiling as prof
     inp = T.fixture_inputs(spark, SF_SMALL)
     a = T.arrivals(inp, PipelineConfig())
     base = prof.nearest_gap(a, inp.stop_times, inp.trips, "102").first()[0]
-    salted = prof.nearest_gap(a, inp.stop_times, inp.trips, "102", skew_rows=1).first()[0]
-    assert base is not None and salted == base
+    # the timetable ten times over changes neither the result nor what meets in a bucket
+    many = inp.stop_times
+    for _ in range(9):
+        many = many.unionByName(inp.stop_times)
+    again = prof.nearest_gap(a, many, inp.trips, "102").first()[0]
+    assert base is not None and again == base
+
+
+def test_timetable_points_do_not_grow_with_trips(spark):
+    from punctual.operators import schedule as sch
+    inp = T.fixture_inputs(spark, SF_SMALL)
+    one = T.schedule(inp)
+    ten = one
+    for _ in range(9):
+        ten = ten.unionByName(one)
+
+    def largest(s):
+        points = sch._schedule_points(s, PipelineConfig())
+        return points.groupBy("route_id", "stop_id").count().agg(F.max("count")).first()[0]
+    assert largest(ten) == largest(one)
