@@ -72,8 +72,9 @@ class Priors:
     host: float
 
 
-#: strongest and weakest prior, as the correlation of two pages of one member
-LEAST, MOST = 0.001, 0.9
+#: strongest and weakest prior, as the correlation of two pages of one member (so a
+#: prior is worth 49 pages at most: the outcomes of a member itself always count)
+LEAST, MOST = 0.02, 0.9
 
 
 def strength(members: DataFrame) -> float:
@@ -132,7 +133,7 @@ def spread_join(spark: SparkSession, rows: DataFrame, small: DataFrame, key: str
 
 
 def judge(spark: SparkSession, pages: DataFrame, outcomes: DataFrame, keys: list[str], url: str = "url",
-          rules: tuple[tuple[str, str], ...] = RULES, max_bad: float = 0.2) -> DataFrame:
+          rules: tuple[tuple[str, str], ...] = RULES, max_bad: float = 0.4) -> DataFrame:
     """``keys``, host, path, rule (or null), verdict and the host's lower bound
     ``low`` for every row of ``pages``. ``outcomes`` has the url and bad (0/1)."""
     pages = pages.select(*keys, host(F.col(url)).alias("host"), path(F.col(url)).alias("path"))
@@ -155,7 +156,7 @@ def labelled_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
             .join(known, "doc_id").select("url", "bad"))
 
 
-def _oracle(max_bad: float = 0.2, z: float = 1.645) -> str:
+def _oracle(max_bad: float = 0.4, z: float = 1.645) -> str:
     rules = ", ".join(f"('{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{r}', '{v}')" for r, v in RULES)
 
     def strength_of(t: str) -> str:
