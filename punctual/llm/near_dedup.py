@@ -5,14 +5,16 @@ densification, banded buckets, star-shaped candidate edges, exact confirmation.
    by one hash; the least value of each bin is kept, and an empty bin copies
    the first non-empty bin of its own random order. Bands of these values give
    bucket keys. Texts with equal sets form one class.
-2. Each bucket proposes a star: every other class of it against the one with
-   the least key, never all pairs. A pair is confirmed on the full sets:
+2. Each bucket proposes a star: all its classes against one, never all pairs.
+   In the centre is the class that meets the most others over all its buckets
+   (the original of a group whose copies differ more from each other than from
+   it). A pair is confirmed on the full sets:
    100 * |A and B| >= percent * |A or B|.
-3. Confirmed links are contracted to components. A bucket that still holds two
-   or more components drops its centre and proposes more stars, 4 of them, then
-   16 and so on, each against the classes of other components, until no bucket
-   has any left: every pair of a bucket is either confirmed, rejected or
-   already in one component.
+3. Confirmed links are contracted to components. Classes that a bucket's centre
+   did not take are held against three other classes of the bucket, drawn by
+   hash, and then among themselves, star by star, until none is left or three
+   rounds in a row confirm nothing. Rows grow with the buckets' rows, not with
+   the square of a bucket.
 
 With 42 bands of 6 values a pair at the threshold of 0.8 shares no bucket with
 probability 3e-6. Classes are told apart by 64-bit hashes of their sets, so n
@@ -36,6 +38,8 @@ from punctual.llm.common import LOWER, batches_of_bytes, byte_codes, materialize
 
 BANDS, ROWS = 42, 6
 BINS = BANDS * ROWS
+STARS = 3   # further centres for the classes that a bucket's first one did not take
+QUIET = 3   # rounds without a link that end the stars among the rest
 FILTER_BITS = 1 << 23  # of the scan's filter of doc ids: 1 MB at any input size
 
 
@@ -175,6 +179,14 @@ def merge(spark: SparkSession, roots: DataFrame | None, links: DataFrame) -> Dat
     return materialize(spark, old.unionByName(more.join(roots, "node", "left_anti")), "roots")
 
 
+def with_root(rows: DataFrame, roots: DataFrame | None, column: str, name: str) -> DataFrame:
+    """``rows`` with the component of the class in ``column``."""
+    if roots is None:
+        return rows.withColumn(name, F.col(column))
+    at = roots.select(F.col("node").alias(column), F.col("root").alias("__r"))
+    return rows.join(at, column, "left").withColumn(name, F.coalesce("__r", column)).drop("__r")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, size: int, percent: int = 80,
                     key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, th, n_shingles, component_id (least
@@ -184,34 +196,44 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, size: int, percent: in
     one = (signed.join(classes.withColumnRenamed("c", "cc").hint("shuffle_hash"), (F.col("c") == F.col("cc")) & F.col("doc_id").eqNullSafe(F.col("m")))
            .select("c", "n", "doc_id", "bands"))
     buckets = one.select("c", "n", "doc_id", F.explode("bands").alias("b"))
-    # buckets with more than one class, and the class in their centre
-    stars = buckets.groupBy("b").agg(F.min("c").alias("centre"), F.max("c").alias("most")).where("centre <> most").drop("most")
-    rest = materialize(spark, buckets.join(stars, "b"), "buckets")
+    shared = buckets.groupBy("b").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("size")).where("lo <> hi")
+    rest = materialize(spark, buckets.join(shared.select("b", "size"), "b"), "buckets")
     sets = materialize(spark, full_sets(spark, docs, rest.select("doc_id"), size, key, text).select("c", "h"), "sets")
-    roots = merge(spark, None, confirm(spark, rest.where("c <> centre").select("centre", "c"), sets, percent))
-    rest = rest.where("c <> centre").select("b", "c", "n").distinct()
-    centres = 4
-    while True:
-        # what is left of the buckets that still hold several components
-        if roots is not None:
-            rest = rest.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-        else:
-            rest = rest.withColumn("root", F.col("c"))
-        mixed = rest.groupBy("b").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("b")
-        rest = materialize(spark, rest.join(mixed, "b", "left_semi"), "buckets")
+    rest = rest.select("b", "c", "n", "size").distinct()
+
+    # stars: in the centre the class that meets the most others, then others by hash
+    met = rest.groupBy("c").agg(F.sum("size").alias("met"))
+    rest = rest.drop("size").join(met, "c")
+    others = [f"c{i}" for i in range(1, 1 + STARS)]
+    stars = materialize(spark, rest.groupBy("b").agg(
+        F.max_by("c", F.col("met")).alias("c0"), *[F.min_by("c", F.xxhash64("c", "b", F.lit(x))).alias(x) for x in others]), "stars")
+    near = lambda n: F.least("n", n) * 100 >= F.greatest("n", n) * percent
+    first = rest.join(stars.select("b", "c0"), "b").where("c <> c0").select(F.least("c", "c0").alias("centre"), F.greatest("c", "c0").alias("c"))
+    roots = merge(spark, None, confirm(spark, first, sets, percent))
+
+    # classes that their star's centre did not take: against the other centres
+    for x in ["c0", *others]:
+        stars = with_root(stars, roots, x, f"r{x[1:]}")
+    out = with_root(rest.join(stars, "b"), roots, "c", "root").where("root <> r0 AND c <> c0")
+    out = materialize(spark, out, "outliers")
+    more = out.withColumn("o", F.explode(F.array(*[F.struct(F.col(x).alias("c"), F.col(f"r{x[1:]}").alias("r")) for x in others])))
+    more = more.where("o.r <> root").select(F.least("c", "o.c").alias("centre"), F.greatest("c", "o.c").alias("c"))
+    roots = merge(spark, roots, confirm(spark, more, sets, percent))
+
+    # and among themselves, star by star
+    rest, quiet = out.select("b", "c", "n", "met"), 0
+    while quiet < QUIET:
+        rest = with_root(rest, roots, "c", "root")
+        stars = (rest.groupBy("b").agg(F.max_by(F.struct("c", "root", "n"), "met").alias("s"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+                 .where("lo <> hi").select("b", F.col("s.c").alias("c0"), F.col("s.root").alias("r0"), F.col("s.n").alias("n0")))
+        rest = materialize(spark, rest.join(stars, "b").where("c <> c0"), "outliers")
         if rest.isEmpty():
             break
-        # more stars for each: the least class of each of some parts
-        part = F.pmod(F.xxhash64("c", F.lit(centres)), F.lit(centres))
-        stars = (rest.groupBy("b", part.alias("g")).agg(F.min(F.struct("c", "n", "root")).alias("s"))
-                 .select("b", F.col("s.c").alias("centre"), F.col("s.n").alias("cn"), F.col("s.root").alias("cr")))
-        stars = materialize(spark, stars, "stars")
-        near = F.least("n", "cn") * 100 >= F.greatest("n", "cn") * percent
-        pairs = rest.join(stars, "b").where((F.col("root") != F.col("cr")) & near)
-        pairs = pairs.select(F.least("c", "centre").alias("centre"), F.greatest("c", "centre").alias("c"))
-        roots = merge(spark, roots, confirm(spark, pairs, sets, percent))
-        rest = rest.drop("root").join(stars.select("b", F.col("centre").alias("c")), ["b", "c"], "left_anti")
-        centres *= 4
+        pairs = rest.where((F.col("root") != F.col("r0")) & near("n0"))
+        links = confirm(spark, pairs.select(F.least("c", "c0").alias("centre"), F.greatest("c", "c0").alias("c")), sets, percent)
+        quiet = quiet + 1 if links.isEmpty() else 0
+        roots = merge(spark, roots, links)
+        rest = with_root(with_root(rest.drop("root", "r0"), roots, "c", "root"), roots, "c0", "r0").where("root <> r0").select("b", "c", "n", "met")
     if roots is None:
         whole = classes.select("c", F.col("m").alias("component_id"))
     else:
