@@ -18,12 +18,8 @@ def _c(x) -> Column:
 
 
 def int_div(a: Column, b: Column) -> Column:
-    """Integer quotient of a non-negative long by a positive long.
-
-    ``a - a % b`` is an exact multiple of ``b``, so the division is exact
-    (results stay far below 2**53 here).
-    """
-    return ((a - a % b) / b).cast("long")
+    """Integer quotient of a non-negative long by a positive long."""
+    return F.call_function("div", a, b)
 
 
 def round_ratio(num, den, digits: int, half_even: bool = False) -> Column:
