@@ -26,10 +26,10 @@ class Inputs:
     pings: DataFrame
 
 
-def fixture_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    return Inputs(stops=fx.stops(spark, sf_dir), trips=fx.trips(spark, sf_dir),
+def fixture_inputs(spark: SparkSession, sf_dir: str, routes: int = 5) -> Inputs:
+    return Inputs(stops=fx.stops(spark, sf_dir), trips=fx.trips(spark, sf_dir, routes),
                   stop_times=fx.stop_times(spark, sf_dir), routes=fx.routes(spark, sf_dir),
-                  pings=fx.pings(spark, sf_dir))
+                  pings=fx.pings(spark, sf_dir, routes))
 
 
 def route_stops(inp: Inputs, cfg: PipelineConfig) -> DataFrame:

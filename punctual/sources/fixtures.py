@@ -45,12 +45,13 @@ def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("r_name").alias("route_long_name"))
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged trips: trip_id, route_id, service_id, trip_headsign, direction_id."""
+def trips(spark: SparkSession, sf_dir: str, routes: int = 5) -> DataFrame:
+    """Staged trips: trip_id, route_id, service_id, trip_headsign, direction_id.
+    ``routes`` (a multiple of five) is the number of routes they are dealt to."""
     o = table(spark, sf_dir, "orders")
     return o.select(
         F.col("o_orderkey").cast("string").alias("trip_id"),
-        (F.lit(100) + F.col("o_custkey") % 5).cast("string").alias("route_id"),
+        (F.lit(100) + F.col("o_custkey") % routes).cast("string").alias("route_id"),
         F.col("o_orderpriority").alias("service_id"),
         F.col("o_orderstatus").alias("trip_headsign"),
         (F.col("o_custkey") % 2).cast("int").alias("direction_id"),
@@ -80,14 +81,14 @@ def stop_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def pings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def pings(spark: SparkSession, sf_dir: str, routes: int = 5) -> DataFrame:
     """Staged vehicle positions: route_id, trip_id, vehicle_id, latitude,
     longitude, recorded_at. NULL trip ids occur (error events)."""
     e = table(spark, sf_dir, "events")
     secs = F.lit(T0) + F.expr(
         f"(unix_timestamp(ts) - {T0}) div {TIME_COMPRESSION}")
     return e.select(
-        (F.lit(100) + F.col("user_id") % 5).cast("string").alias("route_id"),
+        (F.lit(100) + F.col("user_id") % routes).cast("string").alias("route_id"),
         F.when(F.col("event_type") == "error", F.lit(None).cast("string"))
         .otherwise(F.concat(F.col("user_id").cast("string"), F.lit("-"),
                             F.expr(f"event_id div {EVENTS_PER_TRIP}").cast("string")))
