@@ -48,67 +48,96 @@ def codes(words: list[str]) -> np.ndarray:
 
 
 def hash_step(h: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Hash of a string with one more character in front."""
+    """Hash of a string with one more character at its end."""
     return mix(h * np.uint64(0x9E3779B97F4A7C15) + c + np.uint64(1))
 
 
 class Pieces:
-    """Finds the pieces that end at each place of a word."""
+    """Finds the pieces that begin at each place of a word: a table of all
+    beginnings of pieces tells when no longer piece can follow."""
 
     def __init__(self, pieces: list[str]):
         self.size = len(pieces)  # the id of the unknown piece
-        self.longest = max(map(len, pieces), default=1)
-        h = np.zeros(len(pieces), np.uint64)
-        lens = np.array([len(p) for p in pieces])
-        flat, start = codes(pieces), np.cumsum(lens) - lens
-        for k in range(self.longest):  # from the last character to the first
+        ids = {p: i for i, p in enumerate(pieces)}
+        parts = sorted({p[:k] for p in pieces for k in range(1, len(p) + 1)}, key=len)
+        value = np.array([ids.get(p, -1) for p in parts], np.int32)
+        lens = np.array([len(p) for p in parts], np.int64)
+        h, flat, start = np.zeros(len(parts), np.uint64), codes(parts), np.cumsum(lens) - lens
+        for k in range(int(lens.max()) if len(parts) else 0):
             some = np.flatnonzero(lens > k)
-            h[some] = hash_step(h[some], flat[start[some] + lens[some] - 1 - k])
-        self.ids = np.argsort(h)
-        self.hashes = h[self.ids]
+            h[some] = hash_step(h[some], flat[start[some] + k])
+        # slots by the hash's first bits; those that share a slot go to the next table
+        bits = max(10, int(len(parts)).bit_length() + 4)
+        self.shift, self.hashes, self.value = np.uint64(64 - bits), np.append(h, np.uint64(0)), np.append(value, np.int32(-2))
+        self.tables, left = [], np.arange(len(parts))
+        while len(left):
+            slot = h[left] >> self.shift
+            _, first = np.unique(slot, return_index=True)
+            table = np.full(1 << bits, len(parts), np.int32)
+            table[slot[first]] = left[first]
+            self.tables.append(table)
+            left = np.delete(left, first)
+
+    def look_up(self, h: np.ndarray) -> np.ndarray:
+        """Piece id; -1 for the beginning of a piece only; -2 for neither."""
+        out = np.full(len(h), -2, np.int32)
+        slot = h >> self.shift
+        for table in self.tables:
+            at = table[slot]
+            hit = self.hashes[at] == h
+            out[hit] = self.value[at[hit]]
+        return out
 
-    def lattice(self, words: list[str]) -> np.ndarray:
-        """[word, end - 1, length - 1] -> piece id or -1, for words of one length."""
+    def lattice(self, words: list[str]):
+        """(words, length, [(start, length, rows, pieces)]) for words of one
+        length: every piece that lies in a word, starts ascending. A character
+        that is no piece is the unknown piece."""
         m = len(words[0])
         c = codes(words).reshape(len(words), m)
-        out = np.full((len(words), m, min(m, self.longest)), -1, np.int32)
-        for end in range(1, m + 1):
-            h = np.zeros(len(words), np.uint64)
-            for k in range(1, min(end, self.longest) + 1):
-                h = hash_step(h, c[:, end - k])
-                at = np.minimum(np.searchsorted(self.hashes, h), self.size - 1)
-                out[:, end - 1, k - 1] = np.where(self.hashes[at] == h, self.ids[at], -1)
-        first = out[:, :, 0]
-        first[first < 0] = self.size
-        return out
+        out = []
+        for start in range(m):
+            rows, h = np.arange(len(words)), np.zeros(len(words), np.uint64)
+            for k in range(1, m - start + 1):
+                h = hash_step(h, c[rows, start + k - 1])
+                piece = self.look_up(h)
+                if k == 1:
+                    out.append((start, 1, rows, np.where(piece >= 0, piece, self.size)))
+                elif (is_piece := piece >= 0).any():
+                    out.append((start, k, rows[is_piece], piece[is_piece]))
+                longer = piece > -2
+                rows, h = rows[longer], h[longer]
+                if not len(rows):
+                    break
+        return len(words), m, out
+
+
+def forward(lattice, prob: np.ndarray) -> np.ndarray:
+    """[word, place, language]: probability of all segmentations up to a place.
+    ``prob`` is [piece, language], with a row for the unknown piece at its end."""
+    n, m, pieces = lattice
+    alpha = np.zeros((m + 1, n, prob.shape[1]))
+    alpha[0] = 1
+    for start, k, rows, piece in pieces:
+        alpha[start + k][rows] += alpha[start][rows] * prob[piece]
+    return alpha.transpose(1, 0, 2)
 
 
-def forward(lattice: np.ndarray, prob: np.ndarray) -> np.ndarray:
-    """[word, place, language]: probability of all segmentations up to a place.
-    ``prob`` is [piece, language]; its last row but one is the unknown piece,
-    its last row 0 (for places without a piece)."""
-    n, m, longest = lattice.shape
-    alpha = np.zeros((n, m + 1, prob.shape[1]))
-    alpha[:, 0] = 1
-    for end in range(1, m + 1):
-        for k in range(1, min(end, longest) + 1):
-            alpha[:, end] += alpha[:, end - k] * prob[lattice[:, end - 1, k - 1]]
-    return alpha
-
-
-def expected(lattice: np.ndarray, prob: np.ndarray, weight: np.ndarray, out: np.ndarray) -> None:
+def expected(lattice, prob: np.ndarray, weight: np.ndarray, out: np.ndarray) -> None:
     """Add to ``out`` [piece, language] the expected piece counts of words that
     occur ``weight`` [word, language] times."""
-    n, m, longest = lattice.shape
-    alpha = forward(lattice, prob)
+    n, m, pieces = lattice
+    alpha = forward(lattice, prob).transpose(1, 0, 2)
     beta = np.zeros_like(alpha)
-    beta[:, m] = weight / np.maximum(alpha[:, m], 1e-300)
-    for end in range(m, 0, -1):
-        for k in range(1, min(end, longest) + 1):
-            piece = lattice[:, end - 1, k - 1]
-            flow = prob[piece] * beta[:, end]
-            np.add.at(out, piece, alpha[:, end - k] * flow)
-            beta[:, end - k] += flow
+    beta[m] = weight / np.maximum(alpha[m], 1e-300)
+    flows = []
+    for start, k, rows, piece in reversed(pieces):
+        flow = prob[piece] * beta[start + k][rows]
+        beta[start][rows] += flow
+        flows.append(alpha[start][rows] * flow)
+    ids = np.concatenate([piece for *_, piece in reversed(pieces)])
+    flow = np.concatenate(flows)
+    for k in range(out.shape[1]):
+        out[:, k] += np.bincount(ids, flow[:, k], len(out))
 
 
 def by_length(words: list[str], part: int = 20_000):
@@ -135,8 +164,7 @@ def count_pieces(docs: DataFrame, pieces: list[str], languages: list[str], prob:
         import regex
 
         find, table = regex.compile(r"\p{L}+").findall, Pieces(pieces)
-        padded = np.vstack((prob, np.zeros((1, prob.shape[1]))))
-        total = np.zeros_like(padded)
+        total = np.zeros_like(prob)
         seen: dict[str, np.ndarray] = {}
 
         def flush():
@@ -149,7 +177,7 @@ def count_pieces(docs: DataFrame, pieces: list[str], languages: list[str], prob:
                         counts[w] = c
             words = list(counts)
             for at, part in by_length(words):
-                expected(table.lattice(part), padded, np.array([counts[words[i]] for i in at]), total)
+                expected(table.lattice(part), prob, np.array([counts[words[i]] for i in at]), total)
             seen.clear()
 
         for batch in batches:
@@ -161,7 +189,7 @@ def count_pieces(docs: DataFrame, pieces: list[str], languages: list[str], prob:
                 if len(seen) > REMEMBER:
                     flush()
         flush()
-        piece, lang = np.nonzero(total[:-1])
+        piece, lang = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(lang), pa.array(total[piece, lang])], ["piece", "lang", "n"])
 
     sums = docs.mapInArrow(run, "piece long, lang long, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n"))
@@ -199,7 +227,7 @@ class Scorer:
         import regex
 
         self.find, self.table = regex.compile(r"\p{L}+").findall, Pieces(pieces)
-        self.prob = np.vstack((prob, np.zeros((1, prob.shape[1]))))
+        self.prob = prob
         self.place: dict[str, int] = {}
         self.rows = np.zeros((0, prob.shape[1] + 1))
 
