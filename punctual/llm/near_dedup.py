@@ -10,11 +10,17 @@ densification, banded buckets, star-shaped candidate edges, exact confirmation.
    (the original of a group whose copies differ more from each other than from
    it). A pair is confirmed on the full sets:
    100 * |A and B| >= percent * |A or B|.
-3. Confirmed links are contracted to components. Classes that a bucket's centre
-   did not take are held against three other classes of the bucket, drawn by
-   hash, and then among themselves, star by star, until none is left or three
-   rounds in a row confirm nothing. Rows grow with the buckets' rows, not with
-   the square of a bucket.
+3. Confirmed links are contracted to components. While a bucket holds two or
+   more components, more of its classes become centres: those outside its
+   largest component, about 4 of them, then 32, 256 and so on, drawn by hash. Each
+   centre is held against all classes of other components in the bucket, taken
+   by a star before or not, and then leaves it. This ends when no bucket holds
+   two components: every pair of a bucket is confirmed, rejected or within one
+   component.
+4. Before the full sets are joined, pairs whose sizes or parity sketches rule out
+   the similarity are left out: bit k of a sketch is the parity of the number of
+   shingles that hash to k, so sketches differ in no more bits than the sets do
+   in shingles. Both filters are exact.
 
 With 42 bands of 6 values a pair at the threshold of 0.8 shares no bucket with
 probability 3e-6. Classes are told apart by 64-bit hashes of their sets, so n
@@ -38,8 +44,7 @@ from punctual.llm.common import LOWER, batches_of_bytes, byte_codes, materialize
 
 BANDS, ROWS = 42, 6
 BINS = BANDS * ROWS
-STARS = 3   # further centres for the classes that a bucket's first one did not take
-QUIET = 3   # rounds without a link that end the stars among the rest
+SKETCH = 8  # 64-bit words of a class's parity sketch
 FILTER_BITS = 1 << 23  # of the scan's filter of doc ids: 1 MB at any input size
 
 
@@ -70,6 +75,12 @@ def class_key(g: np.ndarray) -> int:
     return int(mix(np.array([mix(g ^ np.uint64(0x5851F42D4C957F2D)).sum() + np.uint64(len(g))], np.uint64)).view(np.int64)[0])
 
 
+def parity_sketch(g: np.ndarray) -> np.ndarray:
+    """SKETCH 64-bit words; each bit is the parity of the hashes that fall on it."""
+    counts = np.bincount((mix(g) >> np.uint64(32)).astype(np.int64) % (64 * SKETCH), minlength=64 * SKETCH)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 class Signer:
     def __init__(self, bands: int = BANDS, rows: int = ROWS):
         self.bands, self.rows, self.bins = bands, rows, bands * rows
@@ -97,24 +108,26 @@ class Signer:
 
 def sign(docs: DataFrame, size: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, th (hash of the text), n (set size), c (class, null for an empty
-    set) and its bucket keys."""
+    set), its bucket keys and its parity sketch."""
     kind = dict(docs.dtypes)[key]
 
     def run(batches):
         codes, signer = byte_codes(11), Signer()
         for batch in batches:
             for at, buf, ends in batches_of_bytes(batch.column(2)):
-                n, c, bands = [], [], []
+                n, c, bands, sketch = [], [], [], []
                 for g in shingle_sets(buf, ends, size, codes):
                     n.append(len(g))
                     c.append(class_key(g) if len(g) else None)
                     bands.append(signer.keys(g) if len(g) else None)
+                    sketch.append(parity_sketch(g) if len(g) else None)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(ends)), batch.column(1).slice(at, len(ends)), pa.array(n, pa.int64()),
-                     pa.array(c, pa.int64()), pa.array(bands, pa.list_(pa.int64()))], ["doc_id", "th", "n", "c", "bands"])
+                     pa.array(c, pa.int64()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))],
+                    ["doc_id", "th", "n", "c", "bands", "sketch"])
 
     rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(F.col(text)).alias("th"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, th long, n long, c long, bands array<long>")
+    return rows.mapInArrow(run, f"doc_id {kind}, th long, n long, c long, bands array<long>, sketch array<long>")
 
 
 def full_sets(spark: SparkSession, docs: DataFrame, wanted: DataFrame, size: int, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -187,10 +200,10 @@ def with_root(rows: DataFrame, roots: DataFrame | None, column: str, name: str)
     return rows.join(at, column, "left").withColumn(name, F.coalesce("__r", column)).drop("__r")
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, size: int, percent: int = 80,
-                    key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: doc_id, th, n_shingles, component_id (least
-    doc_id of its group), kept (doc_id = component_id)."""
+def grouped(spark: SparkSession, docs: DataFrame, size: int, percent: int = 80,
+            key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: c (class, null without shingles), doc_id, th,
+    n, root (the class that names its component), component_id."""
     signed = materialize(spark, sign(docs, size, key, text), "signed")
     classes = signed.where("c IS NOT NULL").groupBy("c").agg(F.min("doc_id").alias("m"))
     one = (signed.join(classes.withColumnRenamed("c", "cc").hint("shuffle_hash"), (F.col("c") == F.col("cc")) & F.col("doc_id").eqNullSafe(F.col("m")))
@@ -201,45 +214,48 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, size: int, percent: in
     sets = materialize(spark, full_sets(spark, docs, rest.select("doc_id"), size, key, text).select("c", "h"), "sets")
     rest = rest.select("b", "c", "n", "size").distinct()
 
-    # stars: in the centre the class that meets the most others, then others by hash
+    # stars: in the centre the class that meets the most others
     met = rest.groupBy("c").agg(F.sum("size").alias("met"))
-    rest = rest.drop("size").join(met, "c")
-    others = [f"c{i}" for i in range(1, 1 + STARS)]
-    stars = materialize(spark, rest.groupBy("b").agg(
-        F.max_by("c", F.col("met")).alias("c0"), *[F.min_by("c", F.xxhash64("c", "b", F.lit(x))).alias(x) for x in others]), "stars")
-    near = lambda n: F.least("n", n) * 100 >= F.greatest("n", n) * percent
-    first = rest.join(stars.select("b", "c0"), "b").where("c <> c0").select(F.least("c", "c0").alias("centre"), F.greatest("c", "c0").alias("c"))
+    stars = rest.join(met, "c").groupBy("b").agg(F.max_by("c", F.struct("met", "c")).alias("c0"))
+    rest = rest.join(stars, "b").where("c <> c0")
+    first = rest.select(F.least("c", "c0").alias("centre"), F.greatest("c", "c0").alias("c"))
     roots = merge(spark, None, confirm(spark, first, sets, percent))
 
-    # classes that their star's centre did not take: against the other centres
-    for x in ["c0", *others]:
-        stars = with_root(stars, roots, x, f"r{x[1:]}")
-    out = with_root(rest.join(stars, "b"), roots, "c", "root").where("root <> r0 AND c <> c0")
-    out = materialize(spark, out, "outliers")
-    more = out.withColumn("o", F.explode(F.array(*[F.struct(F.col(x).alias("c"), F.col(f"r{x[1:]}").alias("r")) for x in others])))
-    more = more.where("o.r <> root").select(F.least("c", "o.c").alias("centre"), F.greatest("c", "o.c").alias("c"))
-    roots = merge(spark, roots, confirm(spark, more, sets, percent))
-
-    # and among themselves, star by star
-    rest, quiet = out.select("b", "c", "n", "met"), 0
-    while quiet < QUIET:
+    # more centres from outside each bucket's largest component, until none holds two
+    sketches = signed.where("c IS NOT NULL").groupBy("c").agg(F.first("sketch").alias("sketch"))
+    rest, centres = rest.select("b", "c", "n").join(sketches, "c"), 4
+    while True:
         rest = with_root(rest, roots, "c", "root")
-        stars = (rest.groupBy("b").agg(F.max_by(F.struct("c", "root", "n"), "met").alias("s"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-                 .where("lo <> hi").select("b", F.col("s.c").alias("c0"), F.col("s.root").alias("r0"), F.col("s.n").alias("n0")))
-        rest = materialize(spark, rest.join(stars, "b").where("c <> c0"), "outliers")
+        most = rest.groupBy("b", "root").agg(F.count("*").alias("k")).groupBy("b").agg(
+            F.max(F.struct("k", "root")).alias("s"), F.sum("k").alias("k"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+        most = most.where("lo <> hi").select("b", F.col("s.root").alias("most"), (F.col("k") - F.col("s.k")).alias("others"))
+        drawn = F.pmod(F.xxhash64("c", "b", F.lit(centres)), F.col("others")) < centres
+        rest = materialize(spark, rest.join(most, "b").select("b", "c", "n", "sketch", "root", ((F.col("root") != F.col("most")) & drawn).alias("centre")), "mixed")
         if rest.isEmpty():
             break
-        pairs = rest.where((F.col("root") != F.col("r0")) & near("n0"))
+        stars = rest.where("centre").select("b", F.col("c").alias("c0"), F.col("root").alias("r0"), F.col("n").alias("n0"), F.col("sketch").alias("sketch0"))
+        near = F.least("n", "n0") * 100 >= F.greatest("n", "n0") * percent
+        apart = sum((F.bit_count(F.get("sketch", F.lit(i)).bitwiseXOR(F.get("sketch0", F.lit(i)))) for i in range(SKETCH)), F.lit(0))
+        close = apart * (100 + percent) <= (F.col("n") + F.col("n0")) * (100 - percent)
+        a, b = rest.alias("a"), stars.alias("b")
+        pairs = a.join(b, (F.col("a.b") == F.col("b.b")) & (F.col("root") != F.col("r0")) & near & close)
         links = confirm(spark, pairs.select(F.least("c", "c0").alias("centre"), F.greatest("c", "c0").alias("c")), sets, percent)
-        quiet = quiet + 1 if links.isEmpty() else 0
         roots = merge(spark, roots, links)
-        rest = with_root(with_root(rest.drop("root", "r0"), roots, "c", "root"), roots, "c0", "r0").where("root <> r0").select("b", "c", "n", "met")
+        rest = rest.where("NOT centre").select("b", "c", "n", "sketch")
+        centres *= 8
     if roots is None:
-        whole = classes.select("c", F.col("m").alias("component_id"))
+        whole = classes.select("c", F.col("c").alias("root"), F.col("m").alias("component_id"))
     else:
         owned = classes.join(roots.withColumnRenamed("node", "c"), "c", "left").withColumn("root", F.coalesce("root", "c"))
-        whole = owned.select("c", "root").join(owned.groupBy("root").agg(F.min("m").alias("component_id")), "root").select("c", "component_id")
-    out = signed.select("doc_id", "th", "n", "c").join(whole, "c", "left")
+        whole = owned.select("c", "root").join(owned.groupBy("root").agg(F.min("m").alias("component_id")), "root").select("c", "root", "component_id")
+    return signed.select("doc_id", "th", "n", "c").join(whole, "c", "left")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, size: int, percent: int = 80,
+                    key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of ``docs``: doc_id, th, n_shingles, component_id (least
+    doc_id of its group), kept (doc_id = component_id)."""
+    out = grouped(spark, docs, size, percent, key, text)
     component = F.when(F.col("c").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "th", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))

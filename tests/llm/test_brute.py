@@ -81,6 +81,34 @@ def test_chains_and_stars_lose_no_link(spark):
     assert order(map(tuple, got)) == order(groups(rows, 2))
 
 
+def test_links_of_one_bucket_without_a_common_original(spark, monkeypatch):
+    """All texts share every bucket: links between a class that the first star took
+    and one that it did not, and rare links among many different texts, are found."""
+    from punctual.llm import near_dedup
+
+    rng = random.Random(3)
+
+    def changed(w, places, tag):
+        return [f"{tag}_{i}" if i in places else x for i, x in enumerate(w)]
+
+    rows = []
+    for g in range(1):
+        base = [f"w{g}_{i}" for i in range(120)]
+        rows.append((1000 * g, " ".join(base)))
+        for v in range(15):  # near the base, each near one more that is not
+            a = changed(base, set(range(v, v + 12)), f"a{g}_{v}")
+            d = changed(a, set(range(v + 14, v + 26)), f"d{g}_{v}")
+            rows += [(1000 * g + 2 * v + 1, " ".join(a)), (1000 * g + 2 * v + 2, " ".join(d))]
+    for v in range(12):  # pairs, unlike all others
+        w = [f"p{v}_{i}" for i in range(100)]
+        rows += [(9000 + 2 * v, " ".join(w)), (9001 + 2 * v, " ".join(changed(w, set(rng.sample(range(100), 3)), "q")))]
+    keys = near_dedup.Signer.keys
+    monkeypatch.setattr(near_dedup.Signer, "keys", lambda self, g: keys(self, g)[:1] * 0 + 1)
+    got = near_dedup.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), 1)
+    got = got.select("doc_id", "n_shingles", "component_id", "kept").collect()
+    assert order(map(tuple, got)) == order(groups(rows, 1))
+
+
 def test_signature_agreement_estimates_similarity():
     from punctual.llm.near_dedup import Signer
 
