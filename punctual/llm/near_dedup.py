@@ -273,14 +273,21 @@ def confirm(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: int
 
 def keep_one(spark: SparkSession, docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each group of near duplicates (the least doc_id,
-    one of it where an id is repeated); all columns."""
-    found = near_duplicates(spark, docs, size, percent).where("kept")
-    found = found.groupBy(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).agg(F.count("*").alias("__n"))
+    null last, then the least text hash; one of rows equal in both); all columns.
+    Texts without a shingle are groups of equal id and text."""
+    found = grouped(spark, docs, size, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("s")
+    least = found.where("c IS NOT NULL").groupBy("root").agg(first).select("s.doc_id", "s.th")
+    found = least.unionByName(found.where("c IS NULL").select("doc_id", "th").distinct()).toDF("__id", "__th")
+    found = materialize(spark, found, "kept")
     rows = docs.withColumn("__hash", F.xxhash64("text"))
     on = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__th"))
-    kept = rows.join(found.hint("shuffle_hash"), on)
-    if not found.where("__n > 1").isEmpty():
-        kept = kept.where("__n = 1").unionByName(kept.where("__n > 1").dropDuplicates(["__id", "__th"]))
+    kept = materialize(spark, rows.join(found.hint("shuffle_hash"), on).drop("__hash"), "kept-rows")
+    twice = kept.groupBy("__id", "__th").agg(F.count("*").alias("__n")).where("__n > 1").drop("__n")
+    if not twice.isEmpty():
+        again = twice.toDF("__i", "__t")
+        same = F.col("__id").eqNullSafe(F.col("__i")) & (F.col("__th") == F.col("__t"))
+        kept = kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["__id", "__th"]))
     return kept.select(*docs.columns)
 
 

@@ -158,3 +158,11 @@ def test_pipeline(spark):
     clean = docs.where("length(text) > 200").join(spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1"), "doc_id", "left_semi")
     ids = {r.doc_id for r in clean.select("doc_id").collect()}
     assert len(ids & good) >= 0.97 * len(ids)
+
+
+def test_one_row_of_groups_with_null_or_repeated_ids(spark):
+    a, b = [" ".join(f"{k}{i}" for i in range(60)) for k in "ab"]
+    data = [(None, a), (None, a + " more"), (None, a + " other"), (7, b), (7, b + " more"), (8, b + " other"), (None, b + " last"), (None, None), (None, None), (9, "")]
+    out = near_dedup.keep_one(spark, spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, (r.text or "")[:1]) for r in out if r.doc_id) == [(7, "b"), (9, "")]
+    assert sorted((r.text or "")[:1] for r in out if r.doc_id is None) == ["", "a"]
