@@ -49,12 +49,15 @@ def either_case(word: str) -> str:
 
 _NAMES = "|".join(either_case(w) for w in ("password", "passwd", "secret", "token", "api")) + "_?" + either_case("key")
 
+#: a private key: header, its own header lines (20 at most), base64 lines and footer; the header alone where no footer follows
+_BEGIN, _END = (rf"-----{w} (?:[A-Z0-9]+ )*PRIVATE KEY-----" for w in ("BEGIN", "END"))
+
 #: in the order in which spans that begin together are listed
 RULES = (
     Rule("assign", rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", rf"""(?:{_NAMES})["']?\x20*[:=]""", group=2, least=8),
     Rule("access", r"AKIA[A-Z0-9]{12,}", r"AKIA[A-Z0-9]{12}"),
     Rule("hex", r"[0-9a-f]{32,}", r"[0-9a-f]{32}"),
-    Rule("pem", r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY-----", r"-----BEGIN "),
+    Rule("pem", _BEGIN + r"(?:[\x20\x09\r\n]*(?:[A-Za-z0-9-]+:\x20[^\r\n]*\r?\n){0,20}[A-Za-z0-9+/=\\\x20\x09\r\n]*" + _END + ")?", r"-----BEGIN ", version=2),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", r"eyJ[A-Za-z0-9_-]{8}"),
 )
 
