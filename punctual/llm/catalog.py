@@ -6,8 +6,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from punctual.llm import decontaminate, language_id, lm_scoring, near_dedup, quality_rules, repeat_spans, rule_ensemble, secret_scan, url_filter
+from punctual.llm import (decontaminate, hard_negatives, language_id, lm_scoring, near_dedup, periodic_runs, quality_rules, repeat_spans,
+                          rule_ensemble, secret_scan, url_filter)
 from punctual.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +80,23 @@ def op8_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
     return url_filter.judge(spark, pages, url_filter.labelled_pages(pages, labels), ["page_id"]).drop("low")
+
+
+@query("op11_rank_bpe")
+def op11_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from punctual.llm import rank_bpe
+
+    content, pattern = rank_bpe.public_ranks()
+    return rank_bpe.encode_decode(table(spark, sf_dir, "documents"), content, pattern)
+
+
+@query("op12_hard_negatives", hard_negatives.ORACLE)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id"), hard_negatives.moved_label(),
+                               F.col("embedding"), F.col("vec_id") % 50 == 0)
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.looped(table(spark, sf_dir, "documents"))
+    return periodic_runs.digest(periodic_runs.detect(docs))
