@@ -345,9 +345,9 @@ def moved_label(vector_id: str = "vec_id", label: str = "label") -> Column:
 
 ORACLE = """
 WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
-                  list_transform(embedding, x -> floor(256 * CAST(x AS DOUBLE))) AS v
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
            FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
-             AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
       FROM e a, e b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
 p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
