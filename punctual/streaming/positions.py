@@ -4,17 +4,15 @@ The polling loop of the original becomes a file stream: new snapshot files
 are picked up by ``readStream`` (``maxFilesPerTrigger`` bounds a batch the
 way the loader's 30-file batches did) and flattened.
 
-The incremental fact (T2) is a ``foreachBatch`` sink. Every grouping of the
-model (nearest stop, first arrival, nearest schedule) is keyed by vehicle,
-so a batch only changes facts of the vehicles that appear in it: positions
-of those vehicles are re-read from the position store, their facts are
-rebuilt and swapped in by delete + insert. The fact is kept in versions per
-day. With ``by_service_date`` the unit is (vehicle, day): the batch's days, a
-literal list, prune the store's and the fact's partitions, so what a batch
-reads and writes does not grow with the stream's history. With the original
-arrival grain a touched vehicle's whole history is re-read and the days it
-appears in are written again. The result equals a full rebuild after every
-batch; replays of an epoch are idempotent.
+The incremental fact (T2) is a ``foreachBatch`` sink. With the original arrival
+grain (no date) a batch is merged into the arrival state of
+:mod:`punctual.streaming.arrival_state`. With ``by_service_date`` the unit is
+(vehicle, day): positions of the batch's days are re-read from the position
+store, the facts of its vehicles on those days are rebuilt and swapped in; the
+fact is kept in versions per day, and the batch's days, a literal list, prune the
+store's and the fact's partitions. Either way what a batch reads and writes
+does not grow with the stream's history, the result equals a full rebuild
+after every batch, and replays of an epoch are idempotent.
 """
 
 from __future__ import annotations
@@ -30,6 +28,7 @@ from ..operators.staging import POSITION_COLS, flatten_positions
 from ..functions.timefns import local_ts
 from ..sinks.materialize import _checkpoint, _exists, write_full
 from ..sources.snapshots import stream_snapshots
+from .arrival_state import fact_table, update_state
 
 def stream_positions(spark: SparkSession, landing: str, max_files: int = 30) -> DataFrame:
     """Streaming staged positions from a folder of snapshot JSON files."""
@@ -37,8 +36,11 @@ def stream_positions(spark: SparkSession, landing: str, max_files: int = 30) ->
 
 
 def read_fact(spark: SparkSession, fact_path: str) -> DataFrame | None:
-    """The streamed fact: of every day the last version written; None before
-    the first batch. The log has one row per batch and day it touched."""
+    """The streamed fact; None before the first batch. By service date: of every
+    day the last version written (the log has one row per batch and day it
+    touched); at the original grain: the last version of the log table."""
+    if fact_table(spark, fact_path).version().number:
+        return fact_table(spark, fact_path).read()
     log = _exists(spark, f"{fact_path}/_log")
     if log is None:
         return None
@@ -53,14 +55,13 @@ def read_fact(spark: SparkSession, fact_path: str) -> DataFrame | None:
 def update_fact(spark: SparkSession, batch: DataFrame, epoch_id: int, store: str,
                 fact_path: str, route_stops: DataFrame, schedule: DataFrame,
                 cfg: PipelineConfig) -> None:
-    """One micro-batch: store its positions, rebuild the facts it can change.
-
-    The rebuild unit is the vehicle (default, the original arrival grain has
-    no date, so a vehicle's whole history is re-read) or, with
-    ``cfg.by_service_date``, the (vehicle, service date) pair: then only the
-    batch's days of the store are read and only they are written again. A
-    version holds the days it changed; the log that names them is appended
-    last, so a failed batch changes nothing and a replay writes the same.
+    """One micro-batch by service date: store its positions, rebuild the facts it
+    can change.
+
+    The rebuild unit is the (vehicle, service date) pair: only the batch's days of
+    the store are read and only they are written again. A version holds the days
+    it changed; the log that names them is appended last, so a failed batch
+    changes nothing and a replay writes the same.
     """
     day = F.coalesce(F.to_date(local_ts("recorded_at", cfg.agency_tz)).cast("string"), F.lit("none"))
     pos = batch.select(*POSITION_COLS).withColumn("service_date", day).withColumn("epoch", F.lit(epoch_id))
@@ -70,43 +71,25 @@ def update_fact(spark: SparkSession, batch: DataFrame, epoch_id: int, store: str
     stored = spark.read.schema(pos.schema).parquet(store)
     own = stored.where(F.col("epoch") == epoch_id)
     days = [r[0] for r in own.select("service_date").distinct().collect()]  # days of one batch
-    unit = ["vehicle_id", "service_date"] if cfg.by_service_date else ["vehicle_id"]
+    unit = ["vehicle_id", "service_date"]
     touched = own.select(*[F.col(c).alias(f"_{c}") for c in unit]).distinct()
-
-    def same(columns):
-        on = F.lit(True)
-        for c, e in zip(unit, columns):
-            on = on & e.eqNullSafe(F.col(f"_{c}"))
-        return on
-
-    history = stored.where(F.col("service_date").isin(days)) if cfg.by_service_date else stored
-    history = history.join(touched, same([F.col(c) for c in unit]), "left_semi")
+    same = F.lit(True)
+    for c in unit:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    history = stored.where(F.col("service_date").isin(days)).join(touched, same, "left_semi")
     cand = arr.proximity_join(history.select(*POSITION_COLS), route_stops, cfg)
-    a = arr.actual_arrivals(arr.nearest_stop(cand), cfg.by_service_date, cfg.agency_tz)
-    fresh = sch.stop_performance(sch.match_schedule(a, schedule, cfg))
+    a = arr.actual_arrivals(arr.nearest_stop(cand), True, cfg.agency_tz)
     arrival_day = F.to_date(local_ts("actual_arrival", cfg.agency_tz)).cast("string")
-    fresh = fresh.withColumn("service_date", arrival_day)
-    old, rewritten = read_fact(spark, fact_path), set(days) if cfg.by_service_date else set()
-    if old is None:
-        out = fresh
-    else:
-        old = old.withColumn("service_date", arrival_day)
-        if cfg.by_service_date:
-            old = old.where(F.col("service_date").isin(days))
-        else:
-            # days in which a touched vehicle has, or had, a fact
-            gone = old.join(touched, same([F.col("vehicle_id")]), "left_semi").select("service_date")
-            fresh = _checkpoint(fresh)
-            hit = gone.union(fresh.select("service_date")).distinct()
-            rewritten = {r[0] for r in hit.collect()}  # one row per day
-            old = old.where(F.col("service_date").isin(sorted(rewritten)))
-        kept = old.join(touched, same([F.col(c) for c in unit]), "left_anti")
-        out = kept.unionByName(fresh)
+    out = sch.stop_performance(sch.match_schedule(a, schedule, cfg)).withColumn("service_date", arrival_day)
+    old = read_fact(spark, fact_path)
+    if old is not None:
+        old = old.withColumn("service_date", arrival_day).where(F.col("service_date").isin(days))
+        out = old.join(touched, same, "left_anti").unionByName(out)
     version = epoch_id + 1
     write_full(out, f"{fact_path}/v={version}", ["service_date"])
     written = spark.read.schema(out.schema).parquet(f"{fact_path}/v={version}")
     rows = {r[0]: r[1] for r in written.groupBy("service_date").count().collect()}
-    log = [(version, d, rows.get(d, 0)) for d in sorted(rewritten | set(rows))]
+    log = [(version, d, rows.get(d, 0)) for d in sorted(set(days) | set(rows))]
     (spark.createDataFrame(log, "version long, day string, rows long")
      .write.mode("append").parquet(f"{fact_path}/_log"))
 
@@ -131,12 +114,15 @@ def stream_incremental(spark: SparkSession, positions: DataFrame, route_stops: D
                        schedule: DataFrame, store: str, fact_path: str, checkpoint: str,
                        cfg: PipelineConfig | None = None,
                        available_now: bool = True) -> StreamingQuery:
-    """Start the incremental fact stream; returns the running query. The
-    timetable is read anew by every batch."""
+    """Start the incremental fact stream; returns the running query. The route
+    stops and the timetable are read once, when the stream starts: a new timetable
+    takes effect with the next start."""
     cfg = cfg or PipelineConfig()
+    route_stops, schedule = _checkpoint(route_stops), _checkpoint(schedule)
+    update = update_fact if cfg.by_service_date else update_state
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
-        update_fact(spark, batch, epoch_id, store, fact_path, route_stops, schedule, cfg)
+        update(spark, batch, epoch_id, store, fact_path, route_stops, schedule, cfg)
 
     w = positions.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
