@@ -40,6 +40,12 @@ def schedule_seconds(stop_times: DataFrame, trips: DataFrame,
                     "trip_id", "stop_sequence"))
 
 
+def timetable_points(schedule: DataFrame) -> DataFrame:
+    """The distinct (route, stop, second, direction, time string) of a timetable,
+    which is all that matching reads of it."""
+    return schedule.select("route_id", "stop_id", "sched_secs", "direction_id", "scheduled_arrival_str").distinct()
+
+
 def _schedule_points(schedule: DataFrame, cfg: PipelineConfig) -> DataFrame:
     """Timetable points (route, stop, second, direction, time string); with
     ``wrap_midnight`` also shifted copies one day earlier / later."""

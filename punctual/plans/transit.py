@@ -75,23 +75,15 @@ def build(spark: SparkSession, sf_dir: str, cfg: PipelineConfig | None = None) -
             "fct_route_reliability": rel.route_reliability(f, cfg.early, cfg.late)}
 
 
-def incremental_fact(spark: SparkSession, inp: Inputs, path: str,
-                     cfg: PipelineConfig | None = None, lookback=None) -> int:
-    """Append the fact past the target's high-water mark.
-
-    Only pings that can produce a fact row newer than the mark are read:
-    every grouping of the model includes the vehicle, so rows past the mark
-    come only from vehicles with pings past the mark, and their whole
-    history gives exactly the rows a full rebuild would. With dated arrivals
-    (``by_service_date``) only days from the mark's day on are read. The
-    first run (no target) is a full build. Returns the rows taken.
-    """
+def _past_mark(spark: SparkSession, inp: Inputs, mark, lookback, cfg: PipelineConfig) -> Inputs:
+    """Inputs with only the pings that can produce a fact row newer than the mark:
+    every grouping of the model includes the vehicle, so rows past the mark come
+    only from vehicles with pings past the mark, and their whole history gives
+    exactly the rows a full rebuild would. With dated arrivals
+    (``by_service_date``) only days from the mark's day on are read."""
     from pyspark.sql import functions as F
 
     from ..functions.timefns import local_ts
-    from ..sinks.materialize import append_incremental, high_water_mark
-    cfg = cfg or PipelineConfig()
-    mark = high_water_mark(spark, path)
     pings = inp.pings
     if mark is not None:
         since = mark - lookback if lookback else mark
@@ -105,28 +97,59 @@ def incremental_fact(spark: SparkSession, inp: Inputs, path: str,
                   .select(F.col("vehicle_id").alias("_active")).distinct())
         # a NULL vehicle is a vehicle like any other
         pings = pings.join(active, F.col("vehicle_id").eqNullSafe(F.col("_active")), "left_semi")
-    restricted = Inputs(inp.stops, inp.trips, inp.stop_times, inp.routes, pings)
+    return Inputs(inp.stops, inp.trips, inp.stop_times, inp.routes, pings)
+
+
+def incremental_fact(spark: SparkSession, inp: Inputs, path: str,
+                     cfg: PipelineConfig | None = None, lookback=None) -> int:
+    """Append the fact past the target's high-water mark (K3, O6), see
+    ``_past_mark``. The first run (no target) is a full build. Returns the rows
+    taken."""
+    from ..sinks.materialize import append_incremental, high_water_mark
+    cfg = cfg or PipelineConfig()
+    mark = high_water_mark(spark, path)
+    restricted = _past_mark(spark, inp, mark, lookback, cfg)
     return append_incremental(spark, fact(restricted, cfg), path, lookback=lookback, since=mark)
 
 
+def upsert_fact(spark: SparkSession, inp: Inputs, path: str, cfg: PipelineConfig | None = None, lookback=None) -> int:
+    """The incremental fact as a log table: rows past the high-water mark (read
+    from the manifests) replace the rows of their keys in whatever file they are,
+    in one atomic commit. Returns the committed version."""
+    from pyspark.sql import functions as F
+
+    from ..streaming.arrival_state import fact_table
+    cfg = cfg or PipelineConfig()
+    table = fact_table(spark, path)
+    mark = table.greatest("actual_arrival")
+    rows = fact(_past_mark(spark, inp, mark, lookback, cfg), cfg)
+    if mark is not None:
+        rows = rows.where(F.col("actual_arrival") > F.lit(mark - lookback if lookback else mark))
+    return table.upsert(rows)
+
+
 def load_build_test(spark: SparkSession, inp: Inputs, landing: str, raw_path: str, out: str,
                     checkpoint: str, cfg: PipelineConfig) -> DataFrame:
     """Load landed snapshots into the raw table, build the fact and the mart
     from it as tables, run the declared tests and raise on any violation
-    (D4); each step runs only after the one before it has succeeded."""
+    (D4); each step runs only after the one before it has succeeded. Both tables
+    are replaced by one atomic commit each: readers see the old one until then."""
     from ..operators import quality as dq
     from ..operators.staging import flatten_positions
-    from ..sinks.materialize import write_full
+    from ..sinks.tablelog import LogTable
+    from ..streaming.arrival_state import fact_table
     from ..sources.snapshots import RAW_SCHEMA
     from ..streaming.positions import load_raw_snapshots
 
     load_raw_snapshots(spark, landing, raw_path, checkpoint).awaitTermination()
     pings = flatten_positions(spark.read.schema(RAW_SCHEMA).parquet(raw_path))
     loaded = Inputs(inp.stops, inp.trips, inp.stop_times, inp.routes, pings)
-    write_full(fact(loaded, cfg), f"{out}/fct_stop_performance")
-    f = spark.read.parquet(f"{out}/fct_stop_performance")
-    write_full(rel.route_reliability(f, cfg.early, cfg.late), f"{out}/fct_route_reliability")
-    m = spark.read.parquet(f"{out}/fct_route_reliability")
+    facts = fact_table(spark, f"{out}/fct_stop_performance")
+    facts.replace(fact(loaded, cfg))
+    f = facts.read()
+    mart_table = LogTable(spark, f"{out}/fct_route_reliability", ["route_id", "stop_name", "direction_id"])
+    mart_table.replace(rel.route_reliability(f, cfg.early, cfg.late))
+    m = mart_table.read()
     results = dq.run_checks(f, "fct_stop_performance", [
         dq.not_null("trip_stop_id"), dq.unique("trip_stop_id"), dq.not_null("stop_name"),
         dq.not_null("delay_minutes"), dq.accepted_range("delay_minutes", -30, 30)])

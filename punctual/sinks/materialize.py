@@ -9,14 +9,18 @@ reads:
   so only those partitions are read, merged by key, checkpointed (lineage
   cut from the files about to be replaced) and rewritten with dynamic
   partition overwrite. History partitions are never read or rewritten.
-* ``scd2_snapshot`` / versioned tables: each run writes a fresh version
-  folder and then appends one row to a small version log; readers resolve
-  the latest committed version, so a failed run leaves the previous one.
+* ``scd2_snapshot``: each run writes a folder of its own and then the next entry
+  of a log, if no other run has; readers resolve the last entry, so a failed
+  run leaves the previous one and of two runs one starts again.
+* :mod:`punctual.sinks.tablelog`: tables whose every change is one atomic commit,
+  with upserts that find the files of their keys whatever their date.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -109,28 +113,20 @@ def append_incremental(spark: SparkSession, new_rows: DataFrame, path: str,
 
 # ------------------------------------------------------------ versioned tables
 
-_LOG = T.StructType([T.StructField("version", T.LongType()),
-                     T.StructField("committed_at", T.TimestampType())])
+def runs_of(spark: SparkSession, path: str) -> list[str]:
+    """Folders of the committed runs, oldest first: the last log entry names them."""
+    from .tablelog import _names, _read, entry
+    taken = [int(n[:-5]) for n in _names(spark, f"{path}/_log") if n.endswith(".json") and n[0] != "."]
+    return json.loads(_read(spark, entry(path, max(taken)))) if taken else []
 
 
-def current_version(spark: SparkSession, path: str) -> int | None:
-    log = _exists(spark, f"{path}/_log")
-    if log is None:
-        return None
-    return log.agg(F.max("version")).first()[0]
-
-
-def read_versioned(spark: SparkSession, path: str) -> DataFrame | None:
-    v = current_version(spark, path)
-    return None if v is None else spark.read.parquet(f"{path}/v={v}")
-
-
-def commit_version(spark: SparkSession, df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
-    v = (current_version(spark, path) or 0) + 1
-    write_full(df, f"{path}/v={v}", partition_by)
-    spark.createDataFrame([(v, dt.datetime.now(dt.timezone.utc).replace(tzinfo=None))], _LOG) \
-        .write.mode("append").parquet(f"{path}/_log")
-    return v
+def commit_run(spark: SparkSession, df: DataFrame, path: str, before: list[str], partition_by: list[str] | None = None) -> bool:
+    """Write ``df`` as a run of its own and commit it after the runs ``before``;
+    False if another writer has committed since they were read."""
+    from .tablelog import create_if_absent, entry
+    run = f"run={uuid.uuid4().hex}"
+    write_full(df, f"{path}/{run}", partition_by)
+    return create_if_absent(spark, entry(path, len(before) + 1), json.dumps([*before, run]))
 
 
 def _null_safe_eq(a: DataFrame, b: DataFrame, cols: list[str]):
@@ -154,33 +150,42 @@ def _assert_unique(df: DataFrame, key: list[str], what: str) -> None:
 def read_scd2(spark: SparkSession, path: str) -> DataFrame | None:
     """The whole history: the open rows of the last run and the rows that each
     run closed."""
-    v = current_version(spark, path)
-    if v is None:
+    runs = runs_of(spark, path)
+    if not runs:
         return None
-    rows = spark.read.option("basePath", path).parquet(*[f"{path}/v={i}" for i in range(1, v + 1)])
-    return rows.where((F.col("state") == "closed") | (F.col("v") == v)).drop("state", "v")
+    rows = spark.read.option("basePath", path).parquet(*[f"{path}/{r}" for r in runs])
+    return rows.where((F.col("state") == "closed") | (F.col("run") == runs[-1].removeprefix("run="))).drop("state", "run")
 
 
 def scd2_snapshot(spark: SparkSession, source: DataFrame, path: str, key: list[str],
-                  check_cols: list[str], ts, invalidate_hard_deletes: bool = False) -> int:
+                  check_cols: list[str], ts, invalidate_hard_deletes: bool = False, tries: int = 20) -> int:
     """Slowly-changing-dimension (type 2) history with the ``check`` strategy.
 
     Each source row version carries ``valid_from`` / ``valid_to``; a change in
     any ``check_cols`` closes the open version at ``ts`` and opens a new one.
     Keys missing from the source stay open unless ``invalidate_hard_deletes``.
     A run writes the open rows and the rows it closed (``state=open`` and
-    ``state=closed`` below ``v=<run>``) in one pass; rows closed by earlier runs
-    are neither read nor written again. Raises if the key is not unique in the
-    source. Returns the committed version number.
+    ``state=closed`` below ``run=<id>``) in one pass; rows closed by earlier runs
+    are neither read nor written again. A run that another one overtakes is
+    computed again from that one's rows. Raises if the key is not unique in the
+    source. Returns the number of committed runs.
     """
     ts = F.lit(ts).cast("timestamp")
-    cols = source.columns
     _assert_unique(source, key, "source")
-    last = current_version(spark, path)
-    if last is None:
+    for _ in range(tries):
+        before = runs_of(spark, path)
+        hist = spark.read.parquet(f"{path}/{before[-1]}").where("state = 'open'").drop("state") if before else None
+        if commit_run(spark, _scd2_rows(source, hist, key, check_cols, ts, invalidate_hard_deletes), path, before, ["state"]):
+            return len(before) + 1
+    raise RuntimeError(f"{path}: other writers were first {tries} times")
+
+
+def _scd2_rows(source: DataFrame, hist: DataFrame | None, key: list[str], check_cols: list[str], ts, invalidate_hard_deletes: bool) -> DataFrame:
+    """Open rows and newly closed rows of a run, from the open rows before it."""
+    cols = source.columns
+    if hist is None:
         out = source.select(*cols, ts.alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"))
     else:
-        hist = spark.read.parquet(f"{path}/v={last}").where("state = 'open'").drop("state")
         h = hist.withColumn("_h", F.lit(True)).alias("h")
         s = source.withColumn("_s", F.lit(True)).alias("s")
         j = h.join(s, _null_safe_eq(h, s, key), "full_outer")
@@ -195,8 +200,7 @@ def scd2_snapshot(spark: SparkSession, source: DataFrame, path: str, key: list[s
         new = F.struct(*[F.col(f"s.{c}").alias(c) for c in cols], ts.alias("valid_from"), never.alias("valid_to"))
         both = F.array(F.when(there, old), F.when(here & (~there | ~same), new))
         out = j.select(F.explode(both).alias("r")).where("r IS NOT NULL").select("r.*")
-    out = out.withColumn("state", F.when(F.col("valid_to").isNull(), "open").otherwise("closed"))
-    return commit_version(spark, out, path, ["state"])
+    return out.withColumn("state", F.when(F.col("valid_to").isNull(), "open").otherwise("closed"))
 
 
 def export_stop_coordinates(stops_raw: DataFrame, path: str) -> None:

@@ -9,12 +9,12 @@ its entry leaves only files that no entry names (``remove_orphans``).
 
 Every commit deals its rows by a hash of the key into 2**p buckets of at most
 about ``rows_per_file`` rows, one file each, and writes a manifest beside them:
-a blocked Bloom filter of each file's keys (bitmaps of 32768 bits, one for
-about 1000 keys, four bits a key) with the number of rows and the least and
-greatest values of the ``stats`` columns. An upsert joins its keys with the
-bitmaps of their own buckets, an equi-join whose rows are keys x commits at most,
-and gets the files that can hold them; a semi-join on those files' keys drops
-false alarms. Only files that hold a key of the batch are read in full and
+a blocked Bloom filter of each file's keys (segments of 512 words of 64 bits, one
+for about 1000 keys, five bits of one word a key) with the number of rows and the
+least and greatest values of the ``stats`` columns. An upsert joins its keys with
+the segments of their own buckets, an equi-join whose rows are keys x commits at
+most, and gets the files that can hold them; a semi-join on those files' keys
+drops false alarms. Only files that hold a key of the batch are read in full and
 written anew, whatever their date, so the key need not contain a partition
 column. ``compact`` merges small commits, which bounds the commits a key is held
 against.
@@ -34,9 +34,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SEGMENT_BITS = 32_768    # of one bitmap, the size of Spark's bitmap functions
+SEGMENT_WORDS = 512
 BITS_PER_KEY = 32
-FILTER = "file string, p int, s int, hp long, seg long, bits binary"
+FILTER = "file string, p int, s int, hp long, seg long, words array<int>, bits array<bigint>"
 
 
 class CommitConflict(RuntimeError):
@@ -189,10 +189,14 @@ class LogTable:
         seg = F.shiftrightunsigned(F.shiftleft(h, p), 64 - s) if s else F.lit(0).cast("long")
         return hp, seg
 
-    def _bits(self) -> Column:
-        """The four places of a key in its bitmap."""
+    def _word(self) -> tuple[Column, Column]:
+        """The word of a key in its segment and its five bits there."""
         g = F.xxhash64(F.lit(1), *self.key)
-        return F.array(*[F.shiftrightunsigned(g, 15 * i).bitwiseAND(SEGMENT_BITS - 1) for i in range(4)])
+        mask = F.lit(0).cast("long")
+        for i in range(5):
+            place = F.shiftrightunsigned(g, 9 + 6 * i).bitwiseAND(63).cast("int")
+            mask = mask.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), place))
+        return g.bitwiseAND(SEGMENT_WORDS - 1).cast("int"), mask
 
     def same_key(self, prefix: str) -> Column:
         on = F.lit(True)
@@ -206,20 +210,18 @@ class LogTable:
             return []
         shapes = [F.struct(F.lit(p).alias("p"), F.lit(s).alias("s"), *[c.alias(n) for c, n in zip(self._places(p, s), ("hp", "seg"))])
                   for p, s in sorted({(r["p"], r["s"]) for r in v.runs})]
-        asked = keys.select(F.explode(F.array(*shapes)).alias("at"), self._bits().alias("want")).select("at.*", "want")
+        word, mask = self._word()
+        asked = keys.select(F.explode(F.array(*shapes)).alias("at"), word.alias("word"), mask.alias("mask")).select("at.*", "word", "mask")
         filters = self.spark.read.schema(FILTER).parquet(*[f"{self.path}/manifest/{r['run']}" for r in v.runs])
-
-        def is_set(bit: Column) -> Column:
-            byte = F.conv(F.hex(F.substring("bits", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-            return byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), bit.bitwiseAND(7).cast("int"))) != 0
-
-        hit = asked.join(filters, ["p", "s", "hp", "seg"]).where(F.forall("want", is_set)).select("file").distinct()
+        at = F.array_position("words", F.col("word")).cast("int")
+        there = F.when(at > 0, F.get("bits", at - 1).bitwiseAND(F.col("mask")) == F.col("mask"))
+        hit = asked.join(filters, ["p", "s", "hp", "seg"]).where(there).select("file").distinct()
         maybe = sorted(r.file for r in self._present(hit, v).collect())
         if not maybe:
             return []
         known = keys.select(*[F.col(c).alias(f"_{c}") for c in self.key])
         held = self._load(maybe, v.schema).select(*self.key, F.col("_metadata.file_path").alias("f"))
-        real = held.join(known, self.same_key("_"), "left_semi").select(F.regexp_extract("f", r"(data/[^/]+/[^/]+/[^/]+)$", 1).alias("f")).distinct()
+        real = held.join(known, self.same_key("_"), "left_semi").select(F.substring_index("f", "/", -4).alias("f")).distinct()
         return sorted(r.f for r in real.collect())
 
     def lookup(self, keys: DataFrame, v: Version | None = None) -> DataFrame | None:
@@ -240,17 +242,23 @@ class LogTable:
             return None
         run = uuid.uuid4().hex
         p = max(0, math.ceil(math.log2(most / self.rows_per_file)))
-        s = max(0, math.ceil(math.log2(most / 2 ** p * BITS_PER_KEY / SEGMENT_BITS)))
+        s = max(0, math.ceil(math.log2(most / 2 ** p * BITS_PER_KEY / (64 * SEGMENT_WORDS))))
         hp, seg = self._places(p, s)
         (rows.withColumn("_hp", hp).repartition(2 ** p, "_hp").sortWithinPartitions("_hp", *self.key)
          .write.partitionBy("_hp").parquet(f"{self.path}/data/{run}"))
         schema = T.StructType([*rows.schema.fields, T.StructField("_hp", T.LongType())])
         written = self.spark.read.schema(schema).parquet(f"{self.path}/data/{run}")
-        name = F.concat(F.lit(f"data/{run}/"), F.regexp_extract("_metadata.file_path", r"([^/]+/[^/]+)$", 1)).alias("file")
-        extremes = [F.struct(F.lit(0).alias("_"), *[f(c).alias(c) for c in self.stats]).alias(n) for f, n in ((F.min, "lo"), (F.max, "hi"))]
-        (written.select(name, F.lit(p).alias("p"), F.lit(s).alias("s"), F.col("_hp").alias("hp"), seg.alias("seg"), F.posexplode(self._bits()).alias("i", "bit"), *self.stats)
-         .groupBy("file", "p", "s", "hp", "seg")
-         .agg(F.bitmap_construct_agg("bit").alias("bits"), F.sum(F.when(F.col("i") == 0, 1).otherwise(0)).alias("rows"), *extremes)
+        name = F.concat(F.lit(f"data/{run}/"), F.substring_index("_metadata.file_path", "/", -2)).alias("file")
+        word, mask = self._word()
+        place = ["file", "p", "s", "hp", "seg"]
+
+        def extremes(of: dict) -> list[Column]:
+            return [F.struct(F.lit(0).alias("_"), *[f(of.get(n, "") + c).alias(c) for c in self.stats]).alias(n) for n, f in (("lo", F.min), ("hi", F.max))]
+
+        (written.select(name, F.lit(p).alias("p"), F.lit(s).alias("s"), F.col("_hp").alias("hp"), seg.alias("seg"), word.alias("word"), mask.alias("mask"), *self.stats)
+         .groupBy(*place, "word").agg(F.bit_or("mask").alias("mask"), F.count(F.lit(1)).alias("n"), *extremes({}))
+         .groupBy(*place).agg(F.sort_array(F.collect_list(F.struct("word", "mask"))).alias("w"), F.sum("n").alias("rows"), *extremes({"lo": "lo.", "hi": "hi."}))
+         .select(*place, F.col("w.word").alias("words"), F.col("w.mask").alias("bits"), "rows", "lo", "hi")
          .write.parquet(f"{self.path}/manifest/{run}"))
         count, files = self.spark.read.parquet(f"{self.path}/manifest/{run}").agg(F.sum("rows"), F.count_distinct("file")).first()
         return {"run": run, "p": p, "s": s, "rows": count, "files": files, "without": []} if count else None

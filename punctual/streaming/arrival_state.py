@@ -98,7 +98,7 @@ def update_state(spark: SparkSession, batch: DataFrame, epoch: int, store: str,
     cand = arr.proximity_join(batch.select(*POSITION_COLS), route_stops, cfg)
     own = _checkpoint(arr.nearest_stop(cand).select("vehicle_id", "trip_id", "recorded_at", *BEST, _hour("recorded_at").alias("hour")))
     hours = [r.hour for r in own.select("hour").distinct().collect()]  # of one batch
-    (own.withColumn("epoch", F.lit(epoch).cast("long")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (own.withColumn("epoch", F.lit(epoch).cast("long")).repartition("hour").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("hour", "epoch").parquet(f"{store}/pings"))
 
     # each ping at the batch's (vehicle, time): its nearest stop before and after

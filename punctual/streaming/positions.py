@@ -118,7 +118,7 @@ def stream_incremental(spark: SparkSession, positions: DataFrame, route_stops: D
     stops and the timetable are read once, when the stream starts: a new timetable
     takes effect with the next start."""
     cfg = cfg or PipelineConfig()
-    route_stops, schedule = _checkpoint(route_stops), _checkpoint(schedule)
+    route_stops, schedule = _checkpoint(route_stops), _checkpoint(sch.timetable_points(schedule))
     update = update_fact if cfg.by_service_date else update_state
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
