@@ -9,12 +9,16 @@ back to all paths. Only DataFrame functions are used.
 A rule is a kind, a pattern, the group whose length counts, the least length
 and a version; a changed version makes the rule unseen for every blob. Matches
 of a rule are leftmost and do not overlap, including those then dropped for
-their length. Spans are in code points, the end exclusive.
+their length. Spans are in code points, the end exclusive. Patterns are written
+so that the matcher neither recurses nor tries a stretch again and again: they
+take time in proportion to the text, near misses of a megabyte too. A web token
+is looked for where a run of its characters and dots begins.
 
 Defined results: a null text is the empty text; an empty text has no finding
 and is still in the ledger; a null path is a path like any other; repeated rows
-give repeated rows; columns other than the keys and the text are not read by
-``scan``. Texts are scanned whole.
+give repeated rows; spans that begin together are listed in rule order; columns
+other than the keys and the text are not read by ``scan``; the table may be
+empty. Texts of any length are scanned whole.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.llm.common import materialize
+from punctual.llm.common import let, materialize
 from punctual.session import scratch_path
 
 
@@ -37,6 +41,12 @@ class Rule:
     group: int = 0
     least: int = 1
     version: int = 1
+    inner: str = ""    # what a match must begin with, which is then the span
+
+    @property
+    def plain(self) -> str:
+        """The pattern without possessive marks, for engines that never go back."""
+        return self.pattern.replace("*+", "*").replace("++", "+")
 
     @property
     def id(self) -> str:
@@ -49,39 +59,57 @@ def either_case(word: str) -> str:
 
 _NAMES = "|".join(either_case(w) for w in ("password", "passwd", "secret", "token", "api")) + "_?" + either_case("key")
 
-#: a private key: header, its own header lines (20 at most), base64 lines and footer; the header alone where no footer follows
-_BEGIN, _END = (rf"-----{w} (?:[A-Z0-9]+ )*PRIVATE KEY-----" for w in ("BEGIN", "END"))
+#: a private key: header and footer with what lies between them, in which no two
+#: dashes follow each other; the header alone where no footer follows. Each place
+#: can be matched in one way only, so nothing is tried twice
+_BEGIN, _END = (rf"-----{w} [A-Z0-9 ]*PRIVATE KEY-----" for w in ("BEGIN", "END"))
+_TOKEN = "[A-Za-z0-9_-]"
 
 #: in the order in which spans that begin together are listed
 RULES = (
     Rule("assign", rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", rf"""(?:{_NAMES})["']?\x20*[:=]""", group=2, least=8),
     Rule("access", r"AKIA[A-Z0-9]{12,}", r"AKIA[A-Z0-9]{12}"),
     Rule("hex", r"[0-9a-f]{32,}", r"[0-9a-f]{32}"),
-    Rule("pem", _BEGIN + r"(?:[\x20\x09\r\n]*(?:[A-Za-z0-9-]+:\x20[^\r\n]*\r?\n){0,20}[A-Za-z0-9+/=\\\x20\x09\r\n]*" + _END + ")?", r"-----BEGIN ", version=2),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+", r"eyJ[A-Za-z0-9_-]{8}"),
+    Rule("pem", _BEGIN + r"(?:[^-]*+(?:-[^-]++)*+" + _END + ")?", r"-----BEGIN ", version=3),
+    Rule("jwt", r"\beyJ[A-Za-z0-9_.-]+", r"eyJ[A-Za-z0-9_-]{8}", version=2,
+         inner=rf"^eyJ{_TOKEN}{{8,}}\.eyJ{_TOKEN}{{8,}}\.{_TOKEN}+"),
 )
 
+BLOCK = 128  # matches added up together
+
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string,rule:string>>"
 
 
 def find(text: Column, rule: Rule, rank: int) -> Column:
     """Spans of one rule: what lies between the matches gives their places."""
-    parts = F.arrays_zip(
-        F.split(text, rule.pattern, -1).alias("gap"),
-        F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)).alias("whole"),
-        F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)).alias("part"))
+    whole = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
+    part = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
+    if rule.inner:
+        part = F.transform(whole, lambda w: F.regexp_extract(w, rule.inner, 0))
+    parts = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), whole.alias("whole"), part.alias("part"))
 
     def add(acc: Column, p: Column) -> Column:
         start = acc["at"] + F.length(p["gap"])
         end = start + F.coalesce(F.length(p["whole"]), F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"),
+        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), (start + F.length(p["part"]) if rule.inner else end).alias("end"),
                         F.lit(rule.kind).alias("kind"), F.lit(rule.id).alias("rule"))
         good = F.length(p["part"]) >= rule.least
         return F.struct(end.alias("at"), F.when(good, F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).alias("found"))
 
+    def shift(s: Column, by: Column) -> Column:
+        return F.struct((s["start"] + by).alias("start"), s["rank"], (s["end"] + by).alias("end"), s["kind"], s["rule"])
+
+    def places(ps: Column) -> Column:
+        # an array that grows by one is copied each time, so matches are added
+        # up in blocks, and the blocks by where they begin
+        first = F.sequence(F.lit(0), F.floor((F.size(ps) - 1) / F.lit(BLOCK)).cast("int"))
+        blocks = F.transform(first, lambda b: F.aggregate(F.slice(ps, b * BLOCK + 1, F.lit(BLOCK)), F.struct(F.lit(0).alias("at"), none.alias("found")), add))
+        return F.aggregate(blocks, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("found")), lambda acc, b: F.struct(
+            (acc["at"] + b["at"]).alias("at"), F.concat(acc["found"], F.array(F.transform(b["found"], lambda s: shift(s, acc["at"])).cast(SPAN))).alias("found")),
+            lambda acc: F.flatten(acc["found"]))
+
     none = F.array().cast(SPAN)
-    found = F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("found")), add, lambda acc: acc["found"])
-    return F.when(text.rlike(rule.gate), found).otherwise(none)
+    return F.when(text.rlike(rule.gate), let(parts, places)).otherwise(none)
 
 
 def address(text: Column) -> Column:
@@ -194,15 +222,16 @@ def new_ledger(spark: SparkSession) -> str:
 
 def _oracle() -> str:
     def spans(rank: int, r: Rule) -> str:
-        p = r.pattern.replace("'", "''")
+        p = r.plain.replace("'", "''")
+        part = f"regexp_extract(m[i], '{r.inner}')" if r.inner else "g[i]"
         return f"""
-    SELECT doc_id, {rank} AS rank, '{r.kind}' AS kind, length(m[i]) AS n, length(g[i]) AS counted,
+    SELECT doc_id, {rank} AS rank, '{r.kind}' AS kind, length({part if r.inner else "m[i]"}) AS n, length({part}) AS counted,
            coalesce(list_sum(list_transform(gap[1:i], lambda x: length(x))), 0)
            + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS start
     FROM (SELECT doc_id, m, g, gap, unnest(range(1, len(m) + 1)) AS i
           FROM (SELECT doc_id, regexp_extract_all(t, '{p}', 0) AS m, regexp_extract_all(t, '{p}', {r.group}) AS g,
                        string_split_regex(t, '{p}') AS gap FROM d))
-    WHERE length(g[i]) >= {r.least}"""
+    WHERE length({part}) >= {r.least}"""
 
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
