@@ -5,9 +5,9 @@ Headways are gaps between consecutive arrivals at the same (route, stop,
 direction). A busy stop must not land in one task, so the ``lag`` window is
 partitioned by (group, time chunk) and the first arrival of each chunk takes
 the last arrival of the group's previous non-empty chunk from a small
-per-chunk table (one row per group and chunk). The group median is a
-``median`` aggregate (partial aggregation, buffers bounded by distinct
-headway values) joined back on the group key.
+per-chunk table (one row per group and chunk). Medians come from a distributed
+selection (:mod:`punctual.operators.quantiles`), so no buffer holds a group's
+values; the group's is joined back on the group key.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..config import (BUNCH_FACTOR, GAP_FACTOR, HEADWAY_HIST_CAP, HEADWAY_MIN_HI,
                       HEADWAY_MIN_LO, MIN_BUNCH_HEADWAYS)
 from ..functions.rounding import round_ratio
+from .quantiles import exact_quantiles
 from .panels import filter_view, share_pct, with_hour
 
 GROUP = ["route_id", "stop_id", "direction_id"]
@@ -54,7 +55,8 @@ def headways(fact: DataFrame, lo: float = HEADWAY_MIN_LO, hi: float = HEADWAY_MI
          .withColumn("headway_us", F.col("_us") - F.coalesce("_prev", "_pmx"))
          .where(F.col("headway_us").isNotNull())
          .where(F.col("headway_us").between(int(lo * US_PER_MIN), int(hi * US_PER_MIN))))
-    med = f.groupBy(*GROUP).agg(F.median("headway_us").alias("_med_us"))
+    bits = int(hi * US_PER_MIN).bit_length()
+    med = exact_quantiles(f, GROUP, "headway_us", [50], bits).withColumnRenamed("p50", "_med_us")
     return (f.join(med, GROUP)
             .select("trip_stop_id", *GROUP, "actual_arrival", "hour", "headway_us",
                     (F.col("headway_us") / F.lit(float(US_PER_MIN))).alias("headway_min"),
