@@ -35,7 +35,8 @@ from punctual.llm.common import batches_of_bytes, byte_codes, materialize, mix,
 
 GRAM = 40
 HOT = 256            # more different runs of one anchor than this are settled by counting windows
-SEGMENT = 1 << 19    # window starts looked at together
+SEGMENT = 1 << 18    # window starts looked at together
+ROOM = 4_000_000     # bytes of text held together when ranges are cut out
 _BASE = 0x9E3779B97F4A7C15 | 1
 _PLACE = np.uint64((1 << 24) - 1)
 _POWERS: list[np.ndarray] = []
@@ -238,8 +239,10 @@ def packed_texts(docs: DataFrame) -> DataFrame:
 
         pack = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
-            z = [pack((t or "").encode("utf-8", "surrogatepass")) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(z, pa.binary())], ["doc_id", "th", "z"])
+            for at, buf, ends in batches_of_bytes(batch.column(2)):
+                z = [pack(buf[a:b]) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+                some = slice(at, at + len(z))
+                yield pa.RecordBatch.from_arrays([batch.column(0)[some], batch.column(1)[some], pa.array(z, pa.binary())], ["doc_id", "th", "z"])
 
     return docs.mapInArrow(run, f"doc_id {kind}, th long, z binary")
 
@@ -382,8 +385,13 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, key: str = "doc_id", te
         import zstandard
 
         unpack = zstandard.ZstdDecompressor().decompress
+        def together(at: int, out: list, ids: pa.Array) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([ids[at:at + len(out)], *(pa.array([r[i] for r in out], types[i]) for i in range(len(names)))], ["doc_id", *names])
+
+        types = [pa.int64()] * 3 + [pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
+        names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"][:6 if full else 4]
         for batch in batches:
-            out = []
+            out, at, size = [], 0, 0
             for z, s, e in zip(*(batch.column(i) for i in (1, 2, 3))):
                 data = unpack(z.as_py())
                 spans: list[list[int]] = []
@@ -393,11 +401,18 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, key: str = "doc_id", te
                     else:
                         spans.append([a, b - 1 + length])
                 ends = [0, *(x for span in spans for x in span), len(data)]
-                kept = b"".join([data[ends[i]:ends[i + 1]] for i in range(0, len(ends), 2)]) if spans else data
-                out.append((len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest(), [{"start": a, "end": b} for a, b in spans], kept))
-            types = [pa.int64()] * 3 + [pa.string(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()]
-            names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "spans", "kept"][:6 if full else 4]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[i] for r in out], types[i]) for i in range(len(names)))], ["doc_id", *names])
+                parts = [data[ends[i]:ends[i + 1]] for i in range(0, len(ends), 2)] if spans else [data]
+                sha = hashlib.sha256()
+                for part in parts:
+                    sha.update(part)
+                removed = sum(b - a for a, b in spans)
+                row = (len(data), removed, len(spans), sha.hexdigest())
+                out.append((*row, [{"start": a, "end": b} for a, b in spans], b"".join(parts)) if full else row)
+                size += len(data)
+                if size >= ROOM:
+                    yield together(at, out, batch.column(0))
+                    out, at, size = [], at + len(out), 0
+            yield together(at, out, batch.column(0))
 
     return rows.mapInArrow(run, schema).withColumnRenamed("doc_id", key)
 
