@@ -71,7 +71,7 @@ RULES = (
     Rule("access", r"AKIA[A-Z0-9]{12,}", r"AKIA[A-Z0-9]{12}"),
     Rule("hex", r"[0-9a-f]{32,}", r"[0-9a-f]{32}"),
     Rule("pem", _BEGIN + r"(?:[^-]*+(?:-[^-]++)*+" + _END + ")?", r"-----BEGIN ", version=3),
-    Rule("jwt", r"\beyJ[A-Za-z0-9_.-]+", r"eyJ[A-Za-z0-9_-]{8}", version=2,
+    Rule("jwt", r"\beyJ[A-Za-z0-9_.-]+", r"eyJ[A-Za-z0-9_-]{8}", version=3,
          inner=rf"^eyJ{_TOKEN}{{8,}}\.eyJ{_TOKEN}{{8,}}\.{_TOKEN}+"),
 )
 
