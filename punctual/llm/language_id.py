@@ -2,19 +2,24 @@
 
 Each language has a probability for every piece of a fixed public vocabulary.
 A word's probability in a language is the sum over all its segmentations into
-pieces, computed by the forward algorithm; a text's is the product over its
-words. The piece probabilities are fitted by expectation-maximisation
-(forward-backward) over all training texts: each round is one Spark pass in
-which a task adds up expected piece counts per language, and only the sums
-(vocabulary x languages, a bounded table) reach the driver.
+pieces, computed by the forward algorithm in logarithms, so it neither
+vanishes for long words nor as the corpus grows; a text's is the product over
+its words. The piece probabilities are fitted by expectation-maximisation
+(forward-backward): one Spark aggregation counts every distinct word of the
+training texts per language, each round is a pass over that table in which a
+task adds up expected piece counts, and only the sums (vocabulary x languages,
+a bounded table) reach the driver.
 
 Words are the maximal runs of letters of the lower-cased text, with the
-vocabulary's word mark in front; a character that no piece covers counts as
-one unknown piece. A run of over 32 letters is scored in parts of 32.
+vocabulary's word mark in front, and are never cut; a character that no piece
+covers counts as one unknown piece.
 
 Defined results: a text that is null or has no letter is ``und`` with score 0;
-without any training text all are; ties between languages go to the first by
-name; repeated rows give repeated rows; other columns are not read.
+a very long run of letters is one word (about 100 bytes of memory a letter);
+without any training text all are ``und``, an empty table stays empty; ties
+between languages go to the first by name; repeated rows give repeated rows and
+count as often; other columns are not read, whatever their names. The number of
+languages is a parameter: ``train`` raises a ValueError over ``most_languages``.
 """
 
 from __future__ import annotations
@@ -24,12 +29,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.llm.common import chunks, mix, ship
+from punctual.llm.common import chunks, materialize, mix, ship
 
 MARK = "▁"
-LONGEST = 32        # letters of a word scored together
-REMEMBER = 200_000  # words that a task keeps in memory
-MAX_LANGUAGES = 500
+REMEMBER = 200_000     # words that a task keeps in memory
+LETTERS = 50_000       # letters of the words that are scored together
+CELLS = 4_000_000      # log-probabilities held at a time
 
 
 def public_pieces(name: str = "piece_bpe_32k.model") -> list[str]:
@@ -89,124 +94,166 @@ class Pieces:
         return out
 
     def lattice(self, words: list[str]):
-        """(words, length, [(start, length, rows, pieces)]) for words of one
-        length: every piece that lies in a word, starts ascending. A character
-        that is no piece is the unknown piece."""
-        m = len(words[0])
-        c = codes(words).reshape(len(words), m)
-        out = []
-        for start in range(m):
-            rows, h = np.arange(len(words)), np.zeros(len(words), np.uint64)
-            for k in range(1, m - start + 1):
-                h = hash_step(h, c[rows, start + k - 1])
-                piece = self.look_up(h)
-                if k == 1:
-                    out.append((start, 1, rows, np.where(piece >= 0, piece, self.size)))
-                elif (is_piece := piece >= 0).any():
-                    out.append((start, k, rows[is_piece], piece[is_piece]))
-                longer = piece > -2
-                rows, h = rows[longer], h[longer]
-                if not len(rows):
-                    break
-        return len(words), m, out
+        """(words, length, place, size, piece) for words of one length: every
+        piece that lies in a word, ``place`` counting through all words. A
+        character that is no piece is the unknown piece."""
+        n, m = len(words), len(words[0])
+        c = codes(words)
+        at, h, found = np.arange(n * m), np.zeros(n * m, np.uint64), []
+        for k in range(1, m + 1):
+            room = at % m + k <= m
+            at, h = at[room], h[room]
+            h = hash_step(h, c[at + k - 1])
+            piece = self.look_up(h)
+            if k == 1:
+                found.append((at, np.where(piece >= 0, piece, self.size)))
+            else:
+                found.append((at[piece >= 0], piece[piece >= 0]))
+            longer = piece > -2
+            at, h = at[longer], h[longer]
+            if not len(at):
+                break
+        size = np.repeat(np.arange(1, len(found) + 1), [len(a) for a, _ in found])
+        return n, m, np.concatenate([a for a, _ in found]), size, np.concatenate([p for _, p in found])
+
+
+def sum_paths(n: int, m: int, here: np.ndarray, there: np.ndarray, row: np.ndarray, log_p: np.ndarray, order: range) -> np.ndarray:
+    """[place, word, language]: log-probability of all paths to each place, in
+    ``order`` of the places from the known first one. Step i leads word row[i]
+    from place there[i] to here[i] with log-probabilities log_p[i]; every place
+    of every word but the first has a step."""
+    out = np.zeros((m + 1, n, log_p.shape[1]))
+    by = np.argsort(here * n + row, kind="stable")
+    ends = np.searchsorted(here[by], np.arange(m + 2))
+    for place in order:
+        step = by[ends[place]:ends[place + 1]]
+        first = np.flatnonzero(np.diff(row[step], prepend=-1))
+        x = out[there[step], row[step]] + log_p[step]
+        most = np.maximum.reduceat(x, first)
+        x -= np.repeat(most, np.diff(first, append=len(step)), axis=0)
+        out[place] = most + np.log(np.add.reduceat(np.exp(x), first))
+    return out
+
+
+def log_forward(lattice, log_prob: np.ndarray) -> np.ndarray:
+    """[place, word, language]: log-probability of all segmentations up to a
+    place. ``log_prob`` is [piece, language], the unknown piece in its last row."""
+    n, m, at, size, piece = lattice
+    start = at % m
+    return sum_paths(n, m, start + size, start, at // m, log_prob[piece], range(1, m + 1))
 
 
 def forward(lattice, prob: np.ndarray) -> np.ndarray:
-    """[word, place, language]: probability of all segmentations up to a place.
-    ``prob`` is [piece, language], with a row for the unknown piece at its end."""
-    n, m, pieces = lattice
-    alpha = np.zeros((m + 1, n, prob.shape[1]))
-    alpha[0] = 1
-    for start, k, rows, piece in pieces:
-        alpha[start + k][rows] += alpha[start][rows] * prob[piece]
-    return alpha.transpose(1, 0, 2)
+    """The same as probabilities, [word, place, language]."""
+    return np.exp(log_forward(lattice, np.log(prob))).transpose(1, 0, 2)
+
+
+def slices(lattice, languages: int):
+    """Ranges of languages whose tables fit in CELLS numbers."""
+    step = max(1, CELLS // len(lattice[2]))
+    return [slice(i, i + step) for i in range(0, languages, step)]
+
+
+def word_logs(lattice, log_prob: np.ndarray) -> np.ndarray:
+    """[word, language]: log-probability of whole words."""
+    parts = [log_forward(lattice, log_prob[:, some])[-1] for some in slices(lattice, log_prob.shape[1])]
+    return np.concatenate(parts, axis=1) if parts else np.zeros((lattice[0], 0))
 
 
 def expected(lattice, prob: np.ndarray, weight: np.ndarray, out: np.ndarray) -> None:
     """Add to ``out`` [piece, language] the expected piece counts of words that
     occur ``weight`` [word, language] times."""
-    n, m, pieces = lattice
-    alpha = forward(lattice, prob).transpose(1, 0, 2)
-    beta = np.zeros_like(alpha)
-    beta[m] = weight / np.maximum(alpha[m], 1e-300)
-    flows = []
-    for start, k, rows, piece in reversed(pieces):
-        flow = prob[piece] * beta[start + k][rows]
-        beta[start][rows] += flow
-        flows.append(alpha[start][rows] * flow)
-    ids = np.concatenate([piece for *_, piece in reversed(pieces)])
-    flow = np.concatenate(flows)
-    for k in range(out.shape[1]):
-        out[:, k] += np.bincount(ids, flow[:, k], len(out))
-
-
-def by_length(words: list[str], part: int = 20_000):
-    """(positions, words) of words of one length, at most ``part`` at a time."""
+    n, m, at, size, piece = lattice
+    row, start = at // m, at % m
+    for some in slices(lattice, prob.shape[1]):
+        if not weight[:, some].any():
+            continue
+        log_p = np.log(prob[:, some])[piece]
+        before = sum_paths(n, m, start + size, start, row, log_p, range(1, m + 1))
+        after = sum_paths(n, m, start, start + size, row, log_p, range(m - 1, -1, -1))
+        share = np.exp(before[start, row] + log_p + after[start + size, row] - before[m][row]) * weight[:, some][row]
+        for k in range(share.shape[1]):
+            out[:, some.start + k] += np.bincount(piece, share[:, k], len(out))
+
+
+def by_length(words: list[str]):
+    """(positions, words) of words of one length, about LETTERS letters at a time."""
     order = sorted(range(len(words)), key=lambda i: len(words[i]))
     at = 0
     while at < len(order):
-        end = at
-        while end < len(order) and end - at < part and len(words[order[end]]) == len(words[order[at]]):
+        end, size = at, len(words[order[at]])
+        while end < len(order) and len(words[order[end]]) == size and (end == at or (end - at + 1) * size <= LETTERS):
             end += 1
         yield order[at:end], [words[i] for i in order[at:end]]
         at = end
 
 
-def letters(find, token: str) -> list[str]:
-    """The words of a token, each with its mark, in parts of LONGEST letters."""
-    return [MARK + w[i:i + LONGEST] for w in find(token) for i in range(0, len(w), LONGEST)]
-
-
-def count_pieces(docs: DataFrame, pieces: list[str], languages: list[str], prob: np.ndarray) -> np.ndarray:
-    """Expected piece counts [piece, language] over all rows (text, lang index)."""
+def count_words(docs: DataFrame) -> DataFrame:
+    """word (with its mark), k, n: how often each word occurs in rows (text, k)."""
 
     def run(batches):
         import regex
+        from collections import Counter
+
+        find = regex.compile(r"\p{L}+").findall
+        seen: dict[int, Counter] = {}
+
+        def rows():
+            for k, tokens in seen.items():
+                words = Counter()
+                for token, n in tokens.items():
+                    for w in find(token):
+                        words[w] += n
+                yield pa.RecordBatch.from_arrays([pa.array([MARK + w for w in words], pa.string()), pa.array([k] * len(words), pa.int32()),
+                                                  pa.array(list(words.values()), pa.int64())], ["word", "k", "n"])
+            seen.clear()
 
-        find, table = regex.compile(r"\p{L}+").findall, Pieces(pieces)
-        total = np.zeros_like(prob)
-        seen: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for at, size in chunks(batch.column(0)):
+                for text, k in zip(batch.column(0).slice(at, size).to_pylist(), batch.column(1).slice(at, size).to_pylist()):
+                    seen.setdefault(k, Counter()).update((text or "").lower().split())
+                if sum(map(len, seen.values())) > REMEMBER:
+                    yield from rows()
+        yield from rows()
+
+    return docs.mapInArrow(run, "word string, k int, n long").groupBy("word", "k").agg(F.sum("n").alias("n"))
 
-        def flush():
-            counts: dict[str, np.ndarray] = {}
-            for token, c in seen.items():
-                for w in letters(find, token):
-                    if w in counts:
-                        counts[w] = counts[w] + c
-                    else:
-                        counts[w] = c
-            words = list(counts)
-            for at, part in by_length(words):
-                expected(table.lattice(part), prob, np.array([counts[words[i]] for i in at]), total)
-            seen.clear()
 
+def count_pieces(words: DataFrame, pieces: list[str], prob: np.ndarray) -> np.ndarray:
+    """Expected piece counts [piece, language] over a table of (word, uses), uses
+    being (k, n) of the languages that have the word."""
+
+    def run(batches):
+        table, total = Pieces(pieces), np.zeros_like(prob)
         for batch in batches:
-            for text, k in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for token in (text or "").lower().split():
-                    if token not in seen:
-                        seen[token] = np.zeros(len(languages))
-                    seen[token][k] += 1
-                if len(seen) > REMEMBER:
-                    flush()
-        flush()
+            words, uses = batch.column(0).to_pylist(), batch.column(1)
+            flat = uses.flatten()
+            row = np.repeat(np.arange(len(words)), np.diff(uses.offsets.to_numpy()))
+            k, n = flat.field(0).to_numpy(), flat.field(1).to_numpy()
+            edge = np.searchsorted(row, np.arange(len(words) + 1))
+            for at, part in by_length(words):
+                weight = np.zeros((len(part), prob.shape[1]))
+                for i, j in enumerate(at):
+                    weight[i, k[edge[j]:edge[j + 1]]] = n[edge[j]:edge[j + 1]]
+                expected(table.lattice(part), prob, weight, total)
         piece, lang = np.nonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(piece), pa.array(lang), pa.array(total[piece, lang])], ["piece", "lang", "n"])
 
-    sums = docs.mapInArrow(run, "piece long, lang long, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n"))
-    out = np.zeros((len(pieces) + 1, len(languages)))
+    sums = words.mapInArrow(run, "piece long, lang long, n double").groupBy("piece", "lang").agg(F.sum("n").alias("n"))
+    out = np.zeros((len(pieces) + 1, prob.shape[1]))
     for piece, lang, n in sums.collect():  # at most vocabulary x languages rows
         out[piece, lang] = n
     return out
 
 
 def train(spark: SparkSession, docs: DataFrame, pieces: list[str], text: str = "text", lang: str = "lang",
-          rounds: int = 2, smooth: float = 0.1) -> tuple[list[str], np.ndarray, np.ndarray]:
+          rounds: int = 2, smooth: float = 0.1, most_languages: int = 500) -> tuple[list[str], np.ndarray, np.ndarray]:
     """(languages, log prior, P(piece) [piece, language]) from all rows of
-    ``docs`` whose language is given."""
+    ``docs`` whose language is given; a ValueError over ``most_languages``."""
     rows = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang")).where("lang IS NOT NULL")
-    shares = sorted(tuple(r) for r in rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect())
-    if len(shares) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    shares = sorted(tuple(r) for r in rows.groupBy("lang").count().limit(most_languages + 1).collect())
+    if len(shares) > most_languages:
+        raise ValueError(f"more than {most_languages} languages")
     languages = [x for x, _ in shares]
     prior = np.log(np.array([n for _, n in shares], float) / max(1, sum(n for _, n in shares)))
     prob = np.full((len(pieces) + 1, len(languages)), 1 / (len(pieces) + 1))
@@ -214,8 +261,10 @@ def train(spark: SparkSession, docs: DataFrame, pieces: list[str], text: str = "
         return languages, prior, prob
     index = F.create_map(*[F.lit(x) for pair in zip(languages, range(len(languages))) for x in pair])
     rows = rows.select("text", index[F.col("lang")].cast("int").alias("k"))
+    uses = count_words(rows).groupBy("word").agg(F.collect_list(F.struct("k", "n")).alias("uses"))  # a language each at most
+    words = materialize(spark, uses, "words")
     for _ in range(rounds):
-        counts = count_pieces(rows, pieces, languages, prob) + smooth
+        counts = count_pieces(words, pieces, prob) + smooth
         prob = counts / counts.sum(axis=0)
     return languages, prior, prob
 
@@ -227,35 +276,44 @@ class Scorer:
         import regex
 
         self.find, self.table = regex.compile(r"\p{L}+").findall, Pieces(pieces)
-        self.prob = prob
+        self.log_prob = np.log(prob)
+        self.most = max(1000, 10 * CELLS // (prob.shape[1] + 1))  # tokens to remember
+        self.forget()
+
+    def forget(self) -> None:
         self.place: dict[str, int] = {}
-        self.rows = np.zeros((0, prob.shape[1] + 1))
+        self.rows = np.zeros((0, self.log_prob.shape[1] + 1))
+        self.chars = 0
 
     def learn(self, tokens: set[str]) -> None:
-        if len(self.place) + len(tokens) > 2 * REMEMBER:
-            self.place.clear()
-            self.rows = self.rows[:0]
+        if len(self.place) + len(tokens) > min(self.most, 2 * REMEMBER) or self.chars > 50 * REMEMBER:
+            self.forget()
         new = [t for t in tokens if t not in self.place]
-        split = [letters(self.find, t) for t in new]
+        split = [[MARK + w for w in self.find(t)] for t in new]
         words = list({w for ws in split for w in ws})
-        value = np.zeros((len(words), self.prob.shape[1] + 1))
+        value = np.zeros((len(words), self.log_prob.shape[1] + 1))
         for at, part in by_length(words):
-            value[at, :-1] = np.log(np.maximum(forward(self.table.lattice(part), self.prob)[:, -1], 1e-300))
+            value[at, :-1] = word_logs(self.table.lattice(part), self.log_prob)
         value[:, -1] = 1  # counts the words
         of = {w: i for i, w in enumerate(words)}
         add = np.zeros((len(new), value.shape[1]))
-        for i, ws in enumerate(split):
-            for w in ws:
-                add[i] += value[of[w]]
-        for i, t in enumerate(new, len(self.rows)):
-            self.place[t] = i
-        self.rows = np.vstack((self.rows, add))
+        which = np.repeat(np.arange(len(new)), [len(ws) for ws in split])
+        np.add.at(add, which, value[[of[w] for ws in split for w in ws]])
+        self.place.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
+        self.chars += sum(map(len, new))
+        self.rows = np.concatenate((self.rows, add))
 
     def totals(self, texts: list[str]) -> np.ndarray:
         """[text, language + 1]: log-probability of the words, and their number."""
         split = [t.lower().split() for t in texts]
         self.learn(set().union(*split))
-        return np.array([self.rows[[self.place[t] for t in ts]].sum(axis=0) if ts else np.zeros(self.rows.shape[1]) for ts in split])
+        out = np.zeros((len(texts), self.rows.shape[1]))
+        step = max(1, CELLS // self.rows.shape[1])
+        for i, tokens in enumerate(split):
+            places = np.fromiter(map(self.place.__getitem__, tokens), np.int64, len(tokens))
+            for at in range(0, len(places), step):
+                out[i] += self.rows[places[at:at + step]].sum(axis=0)
+        return out
 
 
 def predict(docs: DataFrame, model, pieces: list[str], keys: list[str], text: str = "text") -> DataFrame:
@@ -287,11 +345,10 @@ def predict(docs: DataFrame, model, pieces: list[str], keys: list[str], text: st
 
 def identify(spark: SparkSession, docs: DataFrame, held_out: Column) -> DataFrame:
     """Learn from the rows that aren't held out, predict all."""
-    docs = docs.withColumn("__held", held_out)
+    docs = docs.select("doc_id", held_out.alias("held_out"), "text", "lang")
     pieces = public_pieces()
-    model = train(spark, docs.where("NOT __held"), pieces)
-    out = predict(docs.select("doc_id", "__held", "text"), model, pieces, ["doc_id", "__held"])
-    return out.withColumnRenamed("__held", "held_out")
+    model = train(spark, docs.where("NOT held_out"), pieces)
+    return predict(docs, model, pieces, ["doc_id", "held_out"])
 
 
 ship(__name__)
