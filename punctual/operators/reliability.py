@@ -19,15 +19,31 @@ def tenths(col: str = "delay_minutes"):
 def route_reliability(fact: DataFrame, early: float = ON_TIME_EARLY_MIN,
                       late: float = ON_TIME_LATE_MIN) -> DataFrame:
     """Per (route, stop name, direction): arrivals, delay stats, on-time share."""
-    g = (fact.groupBy("route_id", "stop_name", "direction_id")
-         .agg(F.count(F.lit(1)).alias("total_arrivals"),
-              F.sum(tenths()).alias("_s10"),
-              F.min("delay_minutes").alias("_mn"),
-              F.max("delay_minutes").alias("_mx"),
-              F.sum(on_time_flag(F.col("delay_minutes"), early, late)).cast("long")
-              .alias("on_time_count")))
+    return finish_mart(fact.groupBy(*MART_KEY).agg(*mart_sums(early, late)))
+
+
+MART_KEY = ["route_id", "stop_name", "direction_id"]
+
+
+def mart_sums(early: float = ON_TIME_EARLY_MIN, late: float = ON_TIME_LATE_MIN) -> list:
+    """Aggregates of fact rows that the mart is made of; all of them merge."""
+    return [F.count(F.lit(1)).alias("total_arrivals"),
+            F.sum(tenths()).alias("_s10"),
+            F.min("delay_minutes").alias("_mn"),
+            F.max("delay_minutes").alias("_mx"),
+            F.sum(on_time_flag(F.col("delay_minutes"), early, late)).cast("long").alias("on_time_count")]
+
+
+def merge_mart(parts: DataFrame) -> DataFrame:
+    """Aggregates of several parts of the fact as those of their union."""
+    return parts.groupBy(*MART_KEY).agg(
+        F.sum("total_arrivals").alias("total_arrivals"), F.sum("_s10").alias("_s10"), F.min("_mn").alias("_mn"),
+        F.max("_mx").alias("_mx"), F.sum("on_time_count").alias("on_time_count"))
+
+
+def finish_mart(g: DataFrame) -> DataFrame:
     return g.select(
-        "route_id", "stop_name", "direction_id", "total_arrivals",
+        *MART_KEY, "total_arrivals",
         round_ratio(F.col("_s10"), F.col("total_arrivals") * 10, 2).alias("avg_delay_min"),
         F.round("_mn", 2).alias("earliest_min"),
         F.round("_mx", 2).alias("latest_min"),
