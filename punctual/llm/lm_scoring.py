@@ -91,7 +91,10 @@ def most_frequent(counts: DataFrame, size: int) -> list[tuple[int, int]]:
 
 
 class Head:
-    """Counts and classes of the most frequent tokens, found by binary search."""
+    """Counts and classes of the most frequent tokens, found by a table of slots,
+    and by binary search where another token holds the slot."""
+
+    SLOTS = 20  # bits of a hash
 
     def __init__(self, rows: list[tuple[int, int]], classes: int):
         w = np.array([r[0] for r in rows], np.int64).view(np.uint64)
@@ -100,13 +103,18 @@ class Head:
         self.words, self.counts = w[order], n[order]
         self.classes = min(classes, len(rows))  # the id of the shared class
         self.ids = np.minimum(order, self.classes)  # rows come by count
+        self.slot = np.full(1 << self.SLOTS, -1, np.int32)
+        self.slot[self.words >> np.uint64(64 - self.SLOTS)] = np.arange(len(w))
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(is in the table, count, class) of token hashes."""
         if not len(self.words):
             return np.zeros(len(h), bool), np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
-        at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
-        known = self.words[at] == h
+        at = self.slot[h >> np.uint64(64 - self.SLOTS)]
+        known = (self.words[at] == h) & (at >= 0)
+        taken = np.flatnonzero((at >= 0) & ~known)
+        at[taken] = np.minimum(np.searchsorted(self.words, h[taken]), len(self.words) - 1)
+        known[taken] = self.words[at[taken]] == h[taken]
         return known, np.where(known, self.counts[at], 0), np.where(known, self.ids[at], self.classes)
 
 
@@ -145,20 +153,30 @@ class LogBilinear:
         r1, r2 = self.context[one], self.context[two]
         hidden = r1 * self.scale[0] + r2 * self.scale[1]
         t, q = self.target[cls], self.target[noise]
-        up = 1 - sigmoid((hidden * t).sum(axis=1) + self.bias[cls] - log_noise[cls])
-        down = sigmoid(hidden @ q.T + self.bias[noise] - log_noise[noise])
+        up = 1 - sigmoid(np.einsum("ij,ij->i", hidden, t) + self.bias[cls] - log_noise[cls])
+        down = sigmoid(hidden @ q.T + (self.bias - log_noise)[noise])
         g_hidden = up[:, None] * t - down @ q
-        self.move(self.target, np.concatenate((cls, noise)), np.concatenate((up[:, None] * hidden, -(down.T @ hidden))), rate)
-        self.move(self.bias[:, None], np.concatenate((cls, noise)), np.concatenate((up, -down.sum(axis=0)))[:, None], rate)
-        self.move(self.context, np.concatenate((one, two)), np.concatenate((g_hidden * self.scale[0], g_hidden * self.scale[1])), rate)
-        self.move(self.scale, np.array([0, 1]), np.stack(((g_hidden * r1).sum(axis=0), (g_hidden * r2).sum(axis=0))), rate)
-
-    def move(self, part: np.ndarray, at: np.ndarray, rows: np.ndarray, rate: float) -> None:
-        """Gradient step on part[at] (places may repeat) with a step size per
-        parameter: by the root of its squared gradients so far."""
+        places = self.grouped(np.concatenate((cls, noise)))
+        self.move(self.target, places, np.concatenate((up[:, None] * hidden, -(down.T @ hidden))), rate)
+        self.move(self.bias[:, None], places, np.concatenate((up, -(np.ones(len(down), np.float32) @ down)))[:, None], rate)
+        g1, g2 = g_hidden * self.scale[0], g_hidden * self.scale[1]
+        self.move(self.context, self.grouped(np.concatenate((one, two))), np.concatenate((g1, g2)), rate)
+        scales = np.stack((np.einsum("ij,ij->j", g_hidden, r1), np.einsum("ij,ij->j", g_hidden, r2)))
+        self.move(self.scale, self.grouped(np.array([0, 1])), scales, rate)
+
+    def grouped(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(order, first of each group, its place) of rows by their place."""
+        at = at.astype(np.min_scalar_type(self.k + 1))  # short keys have a faster stable sort
         order = np.argsort(at, kind="stable")
-        first = np.flatnonzero(np.concatenate(([True], at[order][1:] != at[order][:-1])))
-        place, sums = at[order][first], np.add.reduceat(rows[order], first, axis=0)
+        at = at[order]
+        first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+        return order, first, at[first].astype(np.int64)
+
+    def move(self, part: np.ndarray, places: tuple, rows: np.ndarray, rate: float) -> None:
+        """Gradient step on the places of ``part`` with a step size per parameter:
+        by the root of its squared gradients so far."""
+        order, first, place = places
+        sums = np.add.reduceat(rows[order], first, axis=0)
         offset = (part.__array_interface__["data"][0] - self.flat.__array_interface__["data"][0]) // 4
         squares = self.squares[offset:offset + part.size].reshape(part.shape)
         squares[place] += sums * sums
@@ -178,11 +196,15 @@ class LogBilinear:
 
     def log_probs(self, one, two, cls, sums: np.ndarray) -> np.ndarray:
         hidden = self.context[one] * self.scale[0] + self.context[two] * self.scale[1]
-        return (hidden * self.target[cls]).sum(axis=1) + self.bias[cls] - sums[one, two]
+        return np.einsum("ij,ij->i", hidden, self.target[cls]) + self.bias[cls] - sums[one, two]
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    out = np.clip(x, -30, 30)
+    np.negative(out, out=out)
+    np.exp(out, out=out)
+    out += 1
+    return np.reciprocal(out, out=out)
 
 
 def train(spark: SparkSession, texts: DataFrame, head: Head, total: int, rounds: int = 2, rate: float = 0.05,
