@@ -277,9 +277,9 @@ def score(spark: SparkSession, docs: DataFrame, held_out: Column, key: str = "do
                 shared = cls == head.classes
                 model_sum = np.bincount(t, by_class + np.where(shared, here - rest_space, 0), n)
                 rare_w, rare_n = [], []
-                bounds = np.searchsorted(t[~known], np.arange(n + 1))
+                rare, bounds = h[~known], np.searchsorted(t[~known], np.arange(n + 1))
                 for i in range(n):
-                    w, c = np.unique_counts(h[~known][bounds[i]:bounds[i + 1]]) if bounds[i] < bounds[i + 1] else (h[:0], t[:0])
+                    w, c = np.unique_counts(rare[bounds[i]:bounds[i + 1]]) if bounds[i] < bounds[i + 1] else (h[:0], t[:0])
                     rare_w.append(w.view(np.int64))
                     rare_n.append(c)
                 yield pa.RecordBatch.from_arrays(
