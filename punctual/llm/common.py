@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import sys
+import uuid
 
 import numpy as np
 from pyspark import cloudpickle
@@ -34,6 +36,22 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sheltered(fn):
+    """For an operator (spark, docs, ...) that returns rows of ``docs``: columns
+    named like its own helpers (``__...``) have other names while it works."""
+
+    @functools.wraps(fn)
+    def run(spark, docs, *args, **options):
+        told = {x for x in (*args, *options.values()) if isinstance(x, str)}  # columns that the caller names
+        other = {c: f"_{uuid.uuid4().hex}" for c in docs.columns if c.startswith("__") and c not in told}
+        if not other:
+            return fn(spark, docs, *args, **options)
+        out = fn(spark, docs.withColumnsRenamed(other), *args, **options)
+        return out.withColumnsRenamed({new: c for c, new in other.items()})
+
+    return run
+
+
 def let(value, body):
     """Bind a column to a lambda variable: ``body`` may use it many times, in
     nested lambdas too, and it is computed once per row."""

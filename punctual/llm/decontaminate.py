@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.llm.common import ship
+from punctual.llm.common import sheltered, ship
 
 FOLD = {**{c: c + 32 for c in range(65, 91)}, **{c: 32 for c in range(9, 14)}}
 GRAM = 4
@@ -159,6 +159,7 @@ def searcher(block: list, rate: float, names: list[str]):
     return run
 
 
+@sheltered
 def drop_matches(spark: SparkSession, docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no item is met; all columns."""
     rows = docs.withColumn("__hash", F.xxhash64("text"))

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.llm.common import LOWER, batches_of_bytes, byte_codes, materialize, mix, ship, word_hashes, word_spans
+from punctual.llm.common import LOWER, batches_of_bytes, byte_codes, materialize, mix, sheltered, ship, word_hashes, word_spans
 
 BANDS, ROWS = 42, 6
 BINS = BANDS * ROWS
@@ -271,6 +271,7 @@ def confirm(spark: SparkSession, pairs: DataFrame, sets: DataFrame, percent: int
     return materialize(spark, good.select(F.col("centre").alias("u"), F.col("c").alias("v")).distinct(), "links")
 
 
+@sheltered
 def keep_one(spark: SparkSession, docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with one row of each group of near duplicates (the least doc_id,
     null last, then the least text hash; one of rows equal in both); all columns.

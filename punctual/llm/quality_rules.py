@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.llm.common import materialize
+from punctual.llm.common import materialize, sheltered
 from punctual.llm.text_stats import with_stats
 
 MAX_RULES = 9  # 3^9 = 19,683 patterns at most
@@ -145,6 +145,7 @@ def verdicts(spark: SparkSession, docs: DataFrame) -> DataFrame:
                       "base_failed", "kept", "p_good")
 
 
+@sheltered
 def keep_good(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept; all columns."""
     judged, _ = judge(spark, docs.withColumn("__hash", F.xxhash64("text")), ["doc_id", "__hash"])

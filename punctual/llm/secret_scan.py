@@ -29,7 +29,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from punctual.llm.common import let, materialize
+from punctual.llm.common import let, materialize, sheltered
 from punctual.session import scratch_path
 
 
@@ -200,6 +200,7 @@ def cut_out(text: Column, spans: Column, mark: str) -> Column:
     return F.aggregate(spans, zero, add, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
 
 
+@sheltered
 def redact(spark: SparkSession, docs: DataFrame, ledger: str, text: str = "text", mark: str = "[secret]", salt: int = 16) -> DataFrame:
     """All rows and columns of ``docs``; the secrets in the text are replaced,
     and ``n_chars``, where there is one, counts the new text. A null text stays null."""
