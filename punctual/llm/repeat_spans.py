@@ -9,9 +9,15 @@ passages by counting. Only where runs share the anchor but differ (at the edges
 of shared passages) are the bytes compared: one copy of each different run goes
 to the task of its anchor, which sorts the suffixes, takes the common prefixes
 of neighbours and, from the previous and next smaller positions in suffix
-order, the longest match that starts earlier (``lpf``). Anchors with very many
-different runs (one common line in very many texts) are settled by counting
-window hashes instead, which needs no group in one task.
+order, the longest match that starts earlier (``lpf``) and, mirrored, the
+longest that starts later. The runs of an anchor with many different
+ones (one common line in very many texts) are first split by further grams: a
+run is cut into four by how far its windows begin before the anchor, and all
+windows of a piece hold the same longer gram around the anchor, by which pieces
+meet again. Pieces whose gram is found once are done, equal ones are settled by
+counting as runs are, and those that still differ are split again (four times at
+most, when the gram is the whole window) until no gram has many different ones.
+So no group in one task grows with the table.
 
 ``keep_first`` keeps the first occurrence (by document id, then place) of each
 repeated string; without it every byte of a repeated string goes. Strings are
@@ -28,13 +34,13 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from punctual.llm.common import batches_of_bytes, byte_codes, materialize, mix, ship
 
 GRAM = 40
-HOT = 256            # more different runs of one anchor than this are settled by counting windows
+HOT = 256            # more different runs of one anchor than this are split by further grams
 SEGMENT = 1 << 18    # window starts looked at together
 ROOM = 4_000_000     # bytes of text held together when ranges are cut out
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -194,8 +200,9 @@ def smaller_before(place: np.ndarray, common: np.ndarray) -> np.ndarray:
 
 
 def factors(buf: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each of ``starts`` (increasing): the longest match of its suffix with
-    one that starts earlier (LPF), and with any other of them; ``length`` at most."""
+    """For each of ``starts`` (increasing): the longest match of its suffix with one
+    of them that starts earlier (LPF), and with any other of them, earlier or later
+    (the greater of LPF and its mirror); ``length`` at most."""
     if not len(starts):
         return starts, starts
     levels = suffix_levels(buf, length)
@@ -204,10 +211,10 @@ def factors(buf: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarra
     common = np.zeros(len(place), np.int64)
     common[1:] = common_prefix(levels, place[1:], place[:-1], length)
     after = np.append(common[1:], 0)
-    lpf, other = np.empty_like(common), np.empty_like(common)
-    lpf[order] = np.maximum(smaller_before(place, common), smaller_before(place[::-1], after[::-1])[::-1])
-    other[order] = np.maximum(common, after)
-    return lpf, other
+    lpf, lff = np.empty_like(common), np.empty_like(common)
+    for out, key in ((lpf, place), (lff, -place)):
+        out[order] = np.maximum(smaller_before(key, common), smaller_before(key[::-1], after[::-1])[::-1])
+    return lpf, np.maximum(lpf, lff)
 
 
 def repeated(blocks: list[bytes], counts: list[int], length: int, keep_first: bool) -> list[list[tuple[int, int]]]:
@@ -307,64 +314,94 @@ def compare(blocks: DataFrame, length: int, keep_first: bool, room: int = 400_00
     return dealt.mapInArrow(run, f"doc_id {kind}, th long, s int, e int")
 
 
-def window_hashes(blocks: DataFrame, length: int) -> DataFrame:
-    """doc_id, th, at (place) and w (hash) of every window of the runs."""
-    kind = dict(blocks.dtypes)["doc_id"]
+def least_gram(buf: np.ndarray, length: int, hashes: Prefix) -> int:
+    """Where the anchor of the first window of ``buf`` begins."""
+    at = np.arange(length - GRAM + 1)
+    return int(np.argmin(mix(hashes.of(at, at + GRAM)) & ~_PLACE))  # ties go to the left
 
-    def run(batches):
-        codes = byte_codes(23)
-        for batch in batches:
-            for i in range(batch.num_rows):
-                buf = np.frombuffer(batch.column(5)[i].as_py(), np.uint8)
-                s = np.arange(batch.column(4)[i].as_py())
-                w = mix(Prefix(buf, codes).of(s, s + length) + np.uint64(length))
-                rows = pa.array(np.full(len(s), i))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(rows), batch.column(1).take(rows), batch.column(2).take(rows),
-                     pa.array((s + batch.column(3)[i].as_py()).astype(np.int32)), pa.array(w.view(np.int64))],
-                    ["doc_id", "th", "a", "at", "w"])
 
-    return (blocks.select("doc_id", "th", "a", "lo", "n", "bytes")
-            .mapInArrow(run, f"doc_id {kind}, th long, a long, at int, w long"))
+def cuts(buf: np.ndarray, n: int, p: int, x: int, y: int, length: int, hashes: Prefix):
+    """(first window, windows, x, y, gram hash, hash) of the pieces of a run of ``n``
+    windows with the anchor at ``p``, which begin x to y bytes before the anchor."""
+    step = -(-(y - x + 1) // 4)
+    for u in range(x, y + 1, step):
+        v = min(y, u + step - 1)
+        i, j = max(0, p - v), min(n - 1, p - u)  # window i begins p - i bytes before the anchor
+        if i <= j:
+            both = hashes.of(np.array([p - u, i]), np.array([p - v + length, j + length]))
+            shape = np.array([u * 1024 + v + 1, (p - i) * 1024 + j - i + 1], np.uint64)
+            gram, whole = mix(both + mix(shape))
+            yield i, j - i + 1, u, v, gram, whole
 
 
-def repeated_ranges(spark: SparkSession, docs: DataFrame, texts: DataFrame, length: int, keep_first: bool, hot: int = HOT) -> DataFrame:
-    """doc_id, th, s, e: windows (by first byte) to remove, as ranges."""
-    runs = scan(docs, length)
-    shared = (runs.groupBy("a").agg(F.count("*").alias("k"), F.min("b").alias("x"), F.max("b").alias("y"))
-              .where("k > 1").select("a", (F.col("x") == F.col("y")).alias("same")))
+def split(blocks: DataFrame, length: int) -> DataFrame:
+    """The pieces of the runs in ``blocks``, as rows like those: a is the hash of the
+    gram that all windows of a piece hold, b that of the piece."""
+    fields = blocks.schema.fieldNames()
+
+    def run(batches):
+        codes = byte_codes(23)
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                buf = np.frombuffer(r["bytes"], np.uint8)
+                hashes = Prefix(buf, codes)
+                p = r["p"] if r["p"] is not None else least_gram(buf, length, hashes)
+                for i, n, x, y, gram, whole in cuts(buf, r["n"], p, r["x"], r["y"], length, hashes):
+                    a = mix(np.array([r["a"]], np.int64).view(np.uint64) + gram).view(np.int64)[0]
+                    out.append(r | {"a": int(a), "b": int(whole.view(np.int64)), "lo": r["lo"] + i, "n": n, "p": p - i,
+                                    "x": x, "y": y, "bytes": r["bytes"][i:i + n - 1 + length]})
+                if len(out) >= 2000:
+                    yield pa.RecordBatch.from_pylist(out, schema=batch.schema)
+                    out = []
+            yield pa.RecordBatch.from_pylist(out, schema=batch.schema)
+
+    return blocks.select(*fields).mapInArrow(run, blocks.schema)
+
+
+def settle(spark: SparkSession, runs: DataFrame, keep_first: bool) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, th, s, e of the windows that counting equal runs settles; one copy of
+    each run that shares its anchor with a different one, with how many there are)."""
+    shared = (runs.groupBy("a").agg(F.count("*").alias("k"), F.min("b").alias("x0"), F.max("b").alias("y0"))
+              .where("k > 1").select("a", (F.col("x0") == F.col("y0")).alias("same")))
     met = materialize(spark, runs.join(shared, "a"), "runs")
-    place = F.struct("doc_id", "th", "lo", "n")
+    spot = ["doc_id", "th", "lo"]
+    place = F.struct(*spot, *(c for c in runs.columns if c not in (*spot, "a", "b")))
     different = met.where("NOT same") if not keep_first else met
     blocks = materialize(spark, different.groupBy("a", "b").agg(F.count("*").alias("k"), F.min(place).alias("at"), F.first("same").alias("same")), "blocks")
-    whole = F.struct("doc_id", "th", F.col("lo").alias("s"), (F.col("lo") + F.col("n")).alias("e"))
+    whole = ["doc_id", "th", F.col("lo").alias("s"), (F.col("lo") + F.col("n")).alias("e")]
 
-    again = blocks.where("k > 1").select("a", "b", "at")
+    again = blocks.where("k > 1").select("a", "b", F.struct(*(F.col(f"at.{c}") for c in spot)).alias("first"))
     copies = met.join(again, ["a", "b"])
     if keep_first:
-        out = copies.where(~place.eqNullSafe(F.col("at"))).select(whole.alias("r")).select("r.*")
+        out = copies.where(~F.struct(*spot).eqNullSafe(F.col("first"))).select(*whole)
     else:
-        out = met.where("same").select(whole.alias("r")).select("r.*").unionByName(copies.select(whole.alias("r")).select("r.*"))
-
-    # runs that share an anchor and differ: their bytes, one copy of each
+        out = met.where("same").select(*whole).unionByName(copies.select(*whole))
     mixed = blocks.where("NOT same")
     crowd = mixed.groupBy("a").agg(F.count("*").alias("different"))
-    listed = (mixed.join(crowd, "a").select("at.*", "a", "b", (F.col("different") > hot).alias("hot"))
-              .groupBy("doc_id", "th").agg(F.collect_list(F.struct("a", "b", "lo", "n", "hot")).alias("runs")))
-
-    def of(is_hot: bool) -> DataFrame:
-        some = listed.withColumn("runs", F.filter("runs", lambda r: r["hot"] == is_hot)).where(F.size("runs") > 0)
-        return block_bytes(at_texts(texts, some, "inner"), length)
-
-    cold = compare(of(False), length, keep_first)
-    windows = window_hashes(of(True), length)
-    spot = F.struct("doc_id", "th", "at")
-    twice = windows.groupBy("a", "w").agg(F.count("*").alias("k"), F.min(spot).alias("first")).where("k > 1")
-    hits = windows.join(twice, ["a", "w"])
-    if keep_first:
-        hits = hits.where(~spot.eqNullSafe(F.col("first")))
-    hits = hits.select("doc_id", "th", F.col("at").alias("s"), (F.col("at") + 1).alias("e"))
-    return out.unionByName(cold).unionByName(hits)
+    return out, mixed.join(crowd, "a").select("at.*", "a", "b", "different")
+
+
+def repeated_ranges(spark: SparkSession, docs: DataFrame, texts: DataFrame, length: int, keep_first: bool, hot: int = HOT) -> DataFrame:
+    """doc_id, th, s, e: windows (by first byte) to remove, as ranges."""
+    out, mixed = settle(spark, scan(docs, length), keep_first)
+
+    def with_bytes(which: Column) -> DataFrame:
+        listed = (mixed.where(which).groupBy("doc_id", "th")
+                  .agg(F.collect_list(F.struct("a", "b", "lo", "n")).alias("runs")))
+        return block_bytes(at_texts(texts, listed, "inner"), length)
+
+    few = F.col("different") <= hot
+    out = out.unionByName(compare(with_bytes(few), length, keep_first))
+    if mixed.where(~few).isEmpty():
+        return out
+    parts = with_bytes(~few).select("*", *(F.lit(v).cast("int").alias(c) for c, v in (("p", None), ("x", 0), ("y", length - GRAM))))
+    while True:
+        equal, mixed = settle(spark, split(parts, length), keep_first)
+        out = out.unionByName(equal).unionByName(compare(mixed.where(few), length, keep_first))
+        parts = mixed.where(~few).drop("different")
+        if parts.isEmpty():
+            return out
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = 200,

@@ -176,6 +176,34 @@ def test_repeat_spans_keep_first(spark, hot, monkeypatch):
         assert n == cover.sum()
 
 
+def test_repeat_spans_of_common_lines(spark, monkeypatch):
+    """A line and a passage in most of the texts, at different neighbours: far more
+    different runs of an anchor than are compared at once."""
+    from punctual.llm import repeat_spans
+
+    monkeypatch.setattr(repeat_spans.repeated_ranges, "__defaults__", (3,))
+    rng = random.Random(12)
+
+    def noise(n):
+        return "".join(rng.choice("abcdefghij ") for _ in range(n))
+    line, passage, ends = noise(110), noise(330), [noise(120) for _ in range(4)]
+    rows = []
+    for i in range(60):
+        text = noise(rng.randint(0, 150)) + (line if i % 3 else rng.choice(ends) + line + rng.choice(ends))
+        rows.append((i, text + noise(rng.randint(0, 9)) + (passage if i % 2 else passage[rng.randint(0, 200):]) + rng.choice(ends)[:rng.randint(0, 120)]))
+    seen = collections.Counter(t[k:k + 200] for _, t in rows for k in range(len(t) - 199))
+    want = []
+    for i, t in rows:
+        gone = np.zeros(len(t), bool)
+        for k in range(len(t) - 199):
+            if seen[t[k:k + 200]] > 1:
+                gone[k:k + 200] = True
+        want.append((i, "".join(c for c, out in zip(t, gone) if not out)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = repeat_spans.remove_repeats(spark, df, keep_first=False).select("doc_id", "kept").collect()
+    assert order((i, bytes(k).decode()) for i, k in got) == order(want)
+
+
 @pytest.mark.parametrize("length", [3, 8, 13, 64, 200])
 def test_longest_previous_factor(length):
     from punctual.llm.repeat_spans import factors
