@@ -1,24 +1,30 @@
 """Language-model scoring with a log-bilinear neural model in numpy.
 
 Counts of every token over all training texts are a Spark aggregation. The
-most frequent words are the model's classes, all others share one class. The
-model predicts a token's class from the two tokens before it: context vectors
-are scaled per place and added, and a class scores by its inner product with
-the sum and a bias. It is trained by noise-contrastive estimation: in each
-round every task walks over all its training texts from the same parameters,
-in minibatches of matrix products against noise classes drawn from the
-unigram, and the parameters are averaged by tokens (a bounded table). The
-scores are normalised: log-sums over all classes are computed for all pairs of
-context classes at once. A word of the shared class then has its smoothed
-unigram share of it.
-
-Counts of the HEAD most frequent words (a fixed, small table) go to the tasks;
-counts of all others are joined to the documents' rare words, per document.
+model tells the most frequent words apart, 4 N^0.4 of N training tokens, so
+their number grows with the corpus (1,750 at 4 million tokens, 6,000 at 85
+million, some 800,000 words or 100 MB of parameters at 100 TB); all others share
+one word. Context vectors of the two tokens before a token are scaled per place
+and added. Words lie in classes of neighbours by count, as many classes as words
+in a class: a class scores by its inner product with the sum and a bias, and so
+does a word against the words of its class. Both are trained by noise-contrastive
+estimation: in each round every task walks over all its training texts from the
+same parameters, in minibatches of matrix products against noise words drawn from
+the unigram (and their classes), and the parameters are averaged by tokens over
+the tasks that moved them, one row a word. Scores are normalised: the probability
+of a word is that of its class among all classes times its own within the class,
+two sums over about the root of the vocabulary. A word of the shared one then has
+its smoothed unigram share of it.
+
+Counts of the HEAD most frequent words (or the model's words, if more) go to the
+tasks; counts of all others are joined to the documents' rare words, per document.
 
 Defined results: a null text is empty and has the one end token; without
 training texts every count is 0; rows repeated with one id and text get the
-same result each; a null id is an id like any other; other columns are not
-read. Words are compared as 64-bit hashes.
+same result each; a null id is an id like any other; ties in count are broken by
+the word's hash; very long texts are scored whole; an empty table gives an empty
+one; other columns are not read. Parameters depend a little on how the input is
+split into tasks, counts and the base score don't. Words are compared as 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -33,11 +39,15 @@ from pyspark.sql import functions as F
 from punctual.llm.common import LOWER, batches_of_bytes, byte_codes, materialize, ship, word_hashes, word_spans
 
 HEAD = 200_000      # words whose counts are sent to the tasks (3.2 MB)
-CLASSES = 500       # words the model tells apart
 DIM = 16
 END = np.uint64(0x51ED270B7A1F39C5)  # the end token's hash
 
 
+def vocabulary(total: int) -> int:
+    """How many words the model tells apart after ``total`` training tokens."""
+    return int(4 * total ** 0.4)
+
+
 def tokens_of(buf: np.ndarray, ends: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash, text) of all tokens, an end token after each text's words."""
     low = LOWER[buf]
@@ -91,23 +101,23 @@ def most_frequent(counts: DataFrame, size: int) -> list[tuple[int, int]]:
 
 
 class Head:
-    """Counts and classes of the most frequent tokens, found by a table of slots,
+    """Counts and model words of the most frequent tokens, found by a table of slots,
     and by binary search where another token holds the slot."""
 
     SLOTS = 20  # bits of a hash
 
-    def __init__(self, rows: list[tuple[int, int]], classes: int):
+    def __init__(self, rows: list[tuple[int, int]], size: int):
         w = np.array([r[0] for r in rows], np.int64).view(np.uint64)
         n = np.array([r[1] for r in rows], np.int64)
         order = np.argsort(w)
         self.words, self.counts = w[order], n[order]
-        self.classes = min(classes, len(rows))  # the id of the shared class
-        self.ids = np.minimum(order, self.classes)  # rows come by count
+        self.shared = min(size, len(rows))  # the id of the shared word
+        self.ids = np.minimum(order, self.shared)  # rows come by count
         self.slot = np.full(1 << self.SLOTS, -1, np.int32)
         self.slot[self.words >> np.uint64(64 - self.SLOTS)] = np.arange(len(w))
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(is in the table, count, class) of token hashes."""
+        """(is in the table, count, word of the model) of token hashes."""
         if not len(self.words):
             return np.zeros(len(h), bool), np.zeros(len(h), np.int64), np.zeros(len(h), np.int64)
         at = self.slot[h >> np.uint64(64 - self.SLOTS)]
@@ -115,88 +125,108 @@ class Head:
         taken = np.flatnonzero((at >= 0) & ~known)
         at[taken] = np.minimum(np.searchsorted(self.words, h[taken]), len(self.words) - 1)
         known[taken] = self.words[at[taken]] == h[taken]
-        return known, np.where(known, self.counts[at], 0), np.where(known, self.ids[at], self.classes)
+        return known, np.where(known, self.counts[at], 0), np.where(known, self.ids[at], self.shared)
 
 
-def contexts(cls: np.ndarray, text: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
-    """The classes of the two tokens before each token of its text."""
-    one, two = np.full(len(cls), begin), np.full(len(cls), begin)
+def contexts(word: np.ndarray, text: np.ndarray, begin: int) -> tuple[np.ndarray, np.ndarray]:
+    """The words of the two tokens before each token of its text."""
+    one, two = np.full(len(word), begin), np.full(len(word), begin)
     same = text[1:] == text[:-1]
-    one[1:][same] = cls[:-1][same]
+    one[1:][same] = word[:-1][same]
     same = text[2:] == text[:-2]
-    two[2:][same] = cls[:-2][same]
+    two[2:][same] = word[:-2][same]
     return one, two
 
 
 class LogBilinear:
-    """Parameters in one float32 array: context vectors (classes and the begin
-    mark), target vectors, a scale per context place, biases."""
-
-    def __init__(self, classes: int, dim: int = DIM, flat: np.ndarray | None = None, unigram: np.ndarray | None = None):
-        self.k, self.dim = classes + 1, dim  # with the shared class
-        sizes = [(self.k + 1) * dim, self.k * dim, 2 * dim, self.k]
-        if flat is None:
-            rng = np.random.default_rng(5)
-            flat = rng.normal(0, 0.1, sum(sizes)).astype(np.float32)
-            flat[sizes[0] + sizes[1]:sizes[0] + sizes[1] + sizes[2]] = 1
-            flat[-self.k:] = np.log(unigram)
-        self.flat, self.squares = flat, np.zeros_like(flat)
-        a, b, c, _ = np.cumsum(sizes)
-        self.context = flat[:a].reshape(-1, dim)
-        self.target = flat[a:b].reshape(-1, dim)
-        self.scale = flat[b:c].reshape(2, dim)
-        self.bias = flat[c:]
-
-    def step(self, one, two, cls, noise, log_noise, rate: float) -> None:
-        """One noise-contrastive step: each example against the same noise
-        classes (``log_noise``: log of noise count * unigram, per class)."""
-        r1, r2 = self.context[one], self.context[two]
-        hidden = r1 * self.scale[0] + r2 * self.scale[1]
-        t, q = self.target[cls], self.target[noise]
-        up = 1 - sigmoid(np.einsum("ij,ij->i", hidden, t) + self.bias[cls] - log_noise[cls])
-        down = sigmoid(hidden @ q.T + (self.bias - log_noise)[noise])
-        g_hidden = up[:, None] * t - down @ q
-        places = self.grouped(np.concatenate((cls, noise)))
-        self.move(self.target, places, np.concatenate((up[:, None] * hidden, -(down.T @ hidden))), rate)
-        self.move(self.bias[:, None], places, np.concatenate((up, -(np.ones(len(down), np.float32) @ down)))[:, None], rate)
-        g1, g2 = g_hidden * self.scale[0], g_hidden * self.scale[1]
-        self.move(self.context, self.grouped(np.concatenate((one, two))), np.concatenate((g1, g2)), rate)
-        scales = np.stack((np.einsum("ij,ij->j", g_hidden, r1), np.einsum("ij,ij->j", g_hidden, r2)))
-        self.move(self.scale, self.grouped(np.array([0, 1])), scales, rate)
-
-    def grouped(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(order, first of each group, its place) of rows by their place."""
+    """Parameters in one float32 table of rows (vector, bias): context vectors of
+    the words and the begin mark, target vectors of the words, vectors of the
+    classes, and two rows of scales, one per context place."""
+
+    def __init__(self, words: int, dim: int = DIM, table: np.ndarray | None = None, unigram: np.ndarray | None = None):
+        self.k, self.dim = words + 1, dim  # with the shared word
+        self.size = math.isqrt(words) + 1  # words of a class
+        self.firsts = np.arange(0, self.k, self.size)
+        self.target = self.k + 1
+        self.classes = self.target + self.k
+        self.scales = self.classes + len(self.firsts)
+        if table is None:
+            table = np.zeros((self.scales + 2, dim + 1), np.float32)
+            table[:, :dim] = np.random.default_rng(5).normal(0, 0.1, (len(table), dim))
+            table[self.target:self.classes, dim] = np.log(unigram)
+            table[self.classes:self.scales, dim] = np.log(np.add.reduceat(unigram, self.firsts))
+            table[self.scales:, :dim] = 1
+        self.table, self.squares, self.noise = table, np.zeros_like(table), (None, None)
+
+    def hidden(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """The sum of the scaled context vectors, and a 1 for the bias."""
+        out = np.ones((len(one), self.dim + 1), np.float32)
+        first, second = self.table[self.scales:, :self.dim]
+        out[:, :-1] = self.table[one, :-1] * first + self.table[two, :-1] * second
+        return out
+
+    def class_noise(self, log_noise: np.ndarray) -> np.ndarray:
+        """``log_noise`` of the classes, for half as many noise classes."""
+        if self.noise[0] is not log_noise:
+            self.noise = log_noise, np.log(np.add.reduceat(np.exp(log_noise), self.firsts) / 2)
+        return self.noise[1]
+
+    def step(self, one, two, word, noise, log_noise, rate: float) -> None:
+        """One noise-contrastive step: each example against the same noise words
+        (``log_noise``: log of noise count * unigram, per word) and its class
+        against the classes of half of them."""
+        hidden = self.hidden(one, two)
+        grad = np.zeros((len(one), self.dim), np.float32)
+        few = noise[:len(noise) // 2] // self.size
+        for base, at, other, rare in ((self.target, word, noise, log_noise), (self.classes, word // self.size, few, self.class_noise(log_noise))):
+            t, q = self.table[base + at], self.table[base + other]
+            up = 1 - sigmoid(np.einsum("ij,ij->i", hidden, t) - rare[at])
+            down = sigmoid(hidden @ q.T - rare[other])
+            grad += up[:, None] * t[:, :-1] - down @ q[:, :-1]
+            self.move(base, np.concatenate((at, other)), np.concatenate((up[:, None] * hidden, -(down.T @ hidden))), rate)
+        first, second = self.table[self.scales:, :-1].copy()
+        scales = np.stack((np.einsum("ij,ij->j", grad, self.table[one, :-1]), np.einsum("ij,ij->j", grad, self.table[two, :-1])))
+        self.move(0, np.concatenate((one, two)), np.concatenate((grad * first, grad * second)), rate)
+        self.move(self.scales, np.array([0, 1]), scales, rate)
+
+    def move(self, base: int, at: np.ndarray, rows: np.ndarray, rate: float) -> None:
+        """Gradient step on the rows ``base + at`` with a step size per parameter:
+        by the root of its squared gradients so far."""
         at = at.astype(np.min_scalar_type(self.k + 1))  # short keys have a faster stable sort
         order = np.argsort(at, kind="stable")
         at = at[order]
         first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        return order, first, at[first].astype(np.int64)
-
-    def move(self, part: np.ndarray, places: tuple, rows: np.ndarray, rate: float) -> None:
-        """Gradient step on the places of ``part`` with a step size per parameter:
-        by the root of its squared gradients so far."""
-        order, first, place = places
+        place, width = base + at[first].astype(np.int64), rows.shape[1]
         sums = np.add.reduceat(rows[order], first, axis=0)
-        offset = (part.__array_interface__["data"][0] - self.flat.__array_interface__["data"][0]) // 4
-        squares = self.squares[offset:offset + part.size].reshape(part.shape)
-        squares[place] += sums * sums
-        part[place] += np.float32(rate) * sums / np.sqrt(squares[place] + np.float32(1e-6))
-
-    def log_sums(self, part: int = 4096) -> np.ndarray:
-        """log of the sum over all classes for every pair of context classes."""
-        n = self.k + 1
-        out = np.empty(n * n, np.float32)
-        first, second = self.context * self.scale[0], self.context * self.scale[1]
-        for at in range(0, n * n, part):
-            i = np.arange(at, min(at + part, n * n))
-            s = (first[i // n] + second[i % n]) @ self.target.T + self.bias
-            most = s.max(axis=1)
-            out[i] = most + np.log(np.exp(s - most[:, None]).sum(axis=1))
-        return out.reshape(n, n)
-
-    def log_probs(self, one, two, cls, sums: np.ndarray) -> np.ndarray:
-        hidden = self.context[one] * self.scale[0] + self.context[two] * self.scale[1]
-        return np.einsum("ij,ij->i", hidden, self.target[cls]) + self.bias[cls] - sums[one, two]
+        squares = self.squares[place, :width] + sums * sums
+        self.squares[place, :width] = squares
+        self.table[place, :width] += np.float32(rate) * sums / np.sqrt(squares + np.float32(1e-6))
+
+    def log_probs(self, one, two, word, part: int = 8192) -> np.ndarray:
+        """Natural log of the normalised probability of each word after its context."""
+        out, kind = np.empty(len(word)), word // self.size
+        order = np.argsort(kind.astype(np.min_scalar_type(self.k)), kind="stable")
+        bounds = np.searchsorted(kind[order], np.arange(len(self.firsts) + 1))
+        hidden = self.hidden(one, two)
+        classes, targets = self.table[self.classes:self.scales], self.table[self.target:self.classes]
+        for at in range(0, len(word), part):
+            some = slice(at, at + part)
+            out[some] = among(hidden[some] @ classes.T, kind[some])
+        for c in np.flatnonzero(np.diff(bounds)):
+            a = self.firsts[c]
+            for at in range(bounds[c], bounds[c + 1], part):
+                some = order[at:min(at + part, bounds[c + 1])]
+                out[some] += among(hidden[some] @ targets[a:a + self.size].T, word[some] - a)
+        return out
+
+
+def among(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Each row's score at ``at`` less the log of the sum over the row; uses up ``scores``."""
+    own = scores[np.arange(len(at)), at]
+    most = scores.max(axis=1)
+    scores -= most[:, None]
+    np.exp(scores, out=scores)
+    return own - most - np.log(scores.sum(axis=1))
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -210,54 +240,58 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def train(spark: SparkSession, texts: DataFrame, head: Head, total: int, rounds: int = 2, rate: float = 0.05,
           batch_size: int = 4096, noises: int = 64) -> LogBilinear:
     """Rounds of noise-contrastive training over all texts, averaged by tokens."""
-    counts = np.zeros(head.classes + 1)
+    counts = np.zeros(head.shared + 1)
     np.add.at(counts, head.ids, head.counts)
     counts[-1] += total - head.counts.sum()
     unigram = (counts + 1) / (counts.sum() + len(counts))
-    model = LogBilinear(head.classes, unigram=unigram)
+    model = LogBilinear(head.shared, unigram=unigram)
+    names = [f"x{i}" for i in range(DIM + 1)]
     for turn in range(rounds):
-        flat, classes, speed = model.flat.copy(), head.classes, rate / (1 + turn)
+        table, words, speed = model.table.copy(), head.shared, rate / (1 + turn)
 
         def run(batches):
-            own = LogBilinear(classes, flat=flat.copy())
+            own = LogBilinear(words, table=table.copy())
             codes, rng, seen = byte_codes(31), np.random.default_rng(turn), 0
             log_noise = (np.log(noises) + np.log(unigram)).astype(np.float32)
             edges = np.cumsum(unigram)
             for batch in batches:
                 for _, buf, ends in batches_of_bytes(batch.column(0)):
                     h, text = tokens_of(buf, ends, codes)
-                    cls = head.find(h)[2]
-                    one, two = contexts(cls, text, classes + 1)
-                    for i in range(0, len(cls), batch_size):
+                    word = head.find(h)[2]
+                    one, two = contexts(word, text, words + 1)
+                    for i in range(0, len(word), batch_size):
                         j = slice(i, i + batch_size)
-                        noise = np.minimum(np.searchsorted(edges, rng.random(noises)), classes)
-                        own.step(one[j], two[j], cls[j], noise, log_noise, speed)
-                    seen += len(cls)
-            if seen:
+                        noise = np.minimum(np.searchsorted(edges, rng.random(noises)), words)
+                        own.step(one[j], two[j], word[j], noise, log_noise, speed)
+                    seen += len(word)
+            moved = np.flatnonzero(own.squares.any(axis=1))
+            for at in range(0, len(moved), 10_000):
+                i = moved[at:at + 10_000]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(own.flat))), pa.array(own.flat.astype(float) * seen), pa.array(np.full(len(own.flat), float(seen)))], ["i", "x", "n"])
+                    [pa.array(i), pa.array(np.full(len(i), float(seen))), *(pa.array(x * float(seen)) for x in own.table[i].T.astype(float))], ["i", "n", *names])
 
-        sums = texts.mapInArrow(run, "i long, x double, n double").groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x"))
-        new = model.flat.copy()
-        for i, x in sums.collect():  # one row per parameter
-            new[i] = x
-        model = LogBilinear(head.classes, flat=new)
+        rows = texts.mapInArrow(run, ", ".join(["i long", "n double", *(f"{x} double" for x in names)]))
+        means = rows.groupBy("i").agg(*((F.sum(x) / F.sum("n")).alias(x) for x in names)).toArrow()  # one row a vector
+        new = model.table.copy()
+        new[means.column("i").to_numpy()] = np.stack([means.column(x).to_numpy() for x in names], axis=1)
+        model = LogBilinear(head.shared, table=new)
     return model
 
 
 def score(spark: SparkSession, docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "text",
-          classes: int = CLASSES, head_size: int = HEAD) -> DataFrame:
+          words: int | None = None, head_size: int = HEAD) -> DataFrame:
     """Learn from the rows that aren't held out; for every row of ``docs``: key,
     held_out, n_tokens, n_known, train_tokens, base_score (smoothed unigram) and
-    score (the model), both log10 probabilities of the whole text."""
+    score (the model), both log10 probabilities of the whole text. ``words``: how
+    many the model tells apart (set by the corpus if not given)."""
     docs = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), held_out.alias("held_out"))
     learn = docs.where("NOT held_out").select("text")
     counts = materialize(spark, count_tokens(learn), "counts")
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    head = Head(most_frequent(counts, head_size), classes)
-    model = train(spark, learn, head, total)
-    flat, sums = model.flat, model.log_sums()
-    top = head.counts[head.ids < head.classes]
+    words = vocabulary(total) if words is None else words
+    head = Head(most_frequent(counts, max(head_size, words)), words)
+    table = train(spark, learn, head, total).table
+    top = head.counts[head.ids < head.shared]
     base_space = math.log10(total + 0.1 * (kinds + 1))
     rest_space = math.log10(int(total - top.sum()) + 0.1 * (kinds - len(top) + 1))
 
@@ -265,17 +299,17 @@ def score(spark: SparkSession, docs: DataFrame, held_out: Column, key: str = "do
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches):
-        codes, own = byte_codes(31), LogBilinear(head.classes, flat=flat)
+        codes, own = byte_codes(31), LogBilinear(head.shared, table=table)
         for batch in batches:
             for at, buf, ends in batches_of_bytes(batch.column(3)):
                 n = len(ends)
                 h, t = tokens_of(buf, ends, codes)
-                known, count, cls = head.find(h)
-                one, two = contexts(cls, t, head.classes + 1)
-                by_class = own.log_probs(one, two, cls, sums) / math.log(10)
+                known, count, word = head.find(h)
+                one, two = contexts(word, t, head.shared + 1)
+                by_word = own.log_probs(one, two, word) / math.log(10)
                 here = np.where(known, np.log10(count + 0.1), 0)
-                shared = cls == head.classes
-                model_sum = np.bincount(t, by_class + np.where(shared, here - rest_space, 0), n)
+                shared = word == head.shared
+                model_sum = np.bincount(t, by_word + np.where(shared, here - rest_space, 0), n)
                 rare_w, rare_n = [], []
                 rare, bounds = h[~known], np.searchsorted(t[~known], np.arange(n + 1))
                 for i in range(n):

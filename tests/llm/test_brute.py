@@ -323,7 +323,7 @@ def test_base_scores(spark, odd):
     want = [(i, (i or 0) % 4 == 0, len(x), sum(c[w] > 0 for w in x), n, sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in x))
             for (i, _), x in zip(rows, tokens)]
     for head in (200_000, 7):
-        got = lm_scoring.score(spark, odd, held, head_size=head, classes=5).collect()
+        got = lm_scoring.score(spark, odd, held, head_size=head, words=5).collect()
         assert all(r.score < 0 for r in got)
         got = order((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 5)) for r in got)
         assert got == order((*w[:5], round(w[5], 5)) for w in want)
@@ -342,11 +342,10 @@ def test_model_is_normalised_and_learns():
     for i in range(2, len(cls) - 512, 256):
         j = np.arange(i, i + 256)
         model.step(cls[j - 1], cls[j - 2], cls[j], rng.choice(6, 16, p=unigram), log_noise, 0.05)
-    sums = model.log_sums()
-    every = np.array([[model.log_probs(np.array([a]), np.array([b]), np.array([k]), sums)[0] for k in range(6)] for a in range(6) for b in range(6)])
+    every = np.array([[model.log_probs(np.array([a]), np.array([b]), np.array([k]))[0] for k in range(6)] for a in range(6) for b in range(6)])
     assert np.allclose(np.exp(every).sum(axis=1), 1, atol=1e-4)
     j = np.arange(2, len(cls))
-    assert model.log_probs(cls[j - 1], cls[j - 2], cls[j], sums).mean() > np.log(unigram)[cls[j]].mean() + 0.5
+    assert model.log_probs(cls[j - 1], cls[j - 2], cls[j]).mean() > np.log(unigram)[cls[j]].mean() + 0.5
 
 
 def test_bpe_equals_the_library(spark, odd):
