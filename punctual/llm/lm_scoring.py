@@ -40,6 +40,7 @@ from punctual.llm.common import LOWER, batches_of_bytes, byte_codes, materialize
 
 HEAD = 200_000      # words whose counts are sent to the tasks (3.2 MB)
 DIM = 16
+PART = 1024         # rows of a matrix product, to stay in a core's cache
 END = np.uint64(0x51ED270B7A1F39C5)  # the end token's hash
 
 
@@ -158,12 +159,14 @@ class LogBilinear:
             table[self.scales:, :dim] = 1
         self.table, self.squares, self.noise = table, np.zeros_like(table), (None, None)
 
-    def hidden(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        """The sum of the scaled context vectors, and a 1 for the bias."""
-        out = np.ones((len(one), self.dim + 1), np.float32)
-        first, second = self.table[self.scales:, :self.dim]
-        out[:, :-1] = self.table[one, :-1] * first + self.table[two, :-1] * second
-        return out
+    def scaled(self) -> tuple[np.ndarray, np.ndarray]:
+        """The context vectors for each of the two places, with half of the bias' 1."""
+        both = []
+        for scale in self.table[self.scales:]:
+            rows = self.table[:self.target] * scale
+            rows[:, -1] = 0.5
+            both.append(rows)
+        return tuple(both)
 
     def class_noise(self, log_noise: np.ndarray) -> np.ndarray:
         """``log_noise`` of the classes, for half as many noise classes."""
@@ -175,39 +178,54 @@ class LogBilinear:
         """One noise-contrastive step: each example against the same noise words
         (``log_noise``: log of noise count * unigram, per word) and its class
         against the classes of half of them."""
-        hidden = self.hidden(one, two)
-        grad = np.zeros((len(one), self.dim), np.float32)
-        few = noise[:len(noise) // 2] // self.size
-        for base, at, other, rare in ((self.target, word, noise, log_noise), (self.classes, word // self.size, few, self.class_noise(log_noise))):
-            t, q = self.table[base + at], self.table[base + other]
-            up = 1 - sigmoid(np.einsum("ij,ij->i", hidden, t) - rare[at])
-            down = sigmoid(hidden @ q.T - rare[other])
-            grad += up[:, None] * t[:, :-1] - down @ q[:, :-1]
-            self.move(base, np.concatenate((at, other)), np.concatenate((up[:, None] * hidden, -(down.T @ hidden))), rate)
-        first, second = self.table[self.scales:, :-1].copy()
-        scales = np.stack((np.einsum("ij,ij->j", grad, self.table[one, :-1]), np.einsum("ij,ij->j", grad, self.table[two, :-1])))
-        self.move(0, np.concatenate((one, two)), np.concatenate((grad * first, grad * second)), rate)
-        self.move(self.scales, np.array([0, 1]), scales, rate)
-
-    def move(self, base: int, at: np.ndarray, rows: np.ndarray, rate: float) -> None:
-        """Gradient step on the rows ``base + at`` with a step size per parameter:
-        by the root of its squared gradients so far."""
-        at = at.astype(np.min_scalar_type(self.k + 1))  # short keys have a faster stable sort
+        n, m, kind, few = len(one), len(noise), word // self.size, noise[:len(noise) // 2] // self.size
+        first, second = self.table[self.scales:].copy()
+        before, earlier = self.table.take(one, axis=0), self.table.take(two, axis=0)
+        hidden = before * first + earlier * second
+        hidden[:, -1] = 1
+        rare = self.class_noise(log_noise)
+        at, other = np.concatenate((self.target + word, self.classes + kind)), np.concatenate((self.target + noise, self.classes + few))
+        t, q = self.table.take(at, axis=0), -self.table.take(other, axis=0)
+        q[:m, -1] += log_noise[noise]
+        q[m:, -1] += rare[few]
+        up = np.concatenate((log_noise[word], rare[kind]))
+        up[:n] -= np.einsum("ij,ij->i", hidden, t[:n])
+        up[n:] -= np.einsum("ij,ij->i", hidden, t[n:])
+        up = (0.5 + 0.5 * np.tanh(up / 2))[:, None]
+        t *= up
+        grad, push = t[:n] + t[n:], np.zeros_like(q)
+        half, all_q = q.T / 2, q.sum(axis=0) / 2
+        for i in range(0, n, PART):  # a logistic function is half a tanh and a half, which need no pass of their own
+            h = hidden[i:i + PART]
+            bend = h @ half
+            np.tanh(bend, out=bend)
+            grad[i:i + PART] += all_q - (bend @ q) / 2
+            push += (h.sum(axis=0) - bend.T @ h) / 2
+        grad[:, -1] = 0
+        scales = np.stack((np.einsum("ij,ij->j", grad, before), np.einsum("ij,ij->j", grad, earlier)))
+        self.move(np.concatenate((at, other, one, two, [self.scales, self.scales + 1])),
+                  np.concatenate((up[:n] * hidden, up[n:] * hidden, -push, grad * first, grad * second, scales)), rate)
+
+    def move(self, at: np.ndarray, rows: np.ndarray, rate: float) -> None:
+        """Gradient step on the rows ``at`` of the table with a step size per
+        parameter: by the root of its squared gradients so far."""
+        at = at.astype(np.min_scalar_type(len(self.table)))  # short keys have a faster stable sort
         order = np.argsort(at, kind="stable")
         at = at[order]
         first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        place, width = base + at[first].astype(np.int64), rows.shape[1]
-        sums = np.add.reduceat(rows[order], first, axis=0)
-        squares = self.squares[place, :width] + sums * sums
-        self.squares[place, :width] = squares
-        self.table[place, :width] += np.float32(rate) * sums / np.sqrt(squares + np.float32(1e-6))
+        place = at[first].astype(np.int64)
+        sums = np.add.reduceat(rows.take(order, axis=0), first, axis=0)
+        squares = self.squares.take(place, axis=0) + sums * sums
+        self.squares[place] = squares
+        self.table[place] += np.float32(rate) * sums / np.sqrt(squares + np.float32(1e-6))
 
-    def log_probs(self, one, two, word, part: int = 8192) -> np.ndarray:
+    def log_probs(self, one, two, word, part: int = PART) -> np.ndarray:
         """Natural log of the normalised probability of each word after its context."""
         out, kind = np.empty(len(word)), word // self.size
         order = np.argsort(kind.astype(np.min_scalar_type(self.k)), kind="stable")
         bounds = np.searchsorted(kind[order], np.arange(len(self.firsts) + 1))
-        hidden = self.hidden(one, two)
+        first, second = self.scaled()
+        hidden = first.take(one, axis=0) + second.take(two, axis=0)
         classes, targets = self.table[self.classes:self.scales], self.table[self.target:self.classes]
         for at in range(0, len(word), part):
             some = slice(at, at + part)
@@ -216,48 +234,68 @@ class LogBilinear:
             a = self.firsts[c]
             for at in range(bounds[c], bounds[c + 1], part):
                 some = order[at:min(at + part, bounds[c + 1])]
-                out[some] += among(hidden[some] @ targets[a:a + self.size].T, word[some] - a)
+                out[some] += among(hidden.take(some, axis=0) @ targets[a:a + self.size].T, word[some] - a)
         return out
 
 
 def among(scores: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Each row's score at ``at`` less the log of the sum over the row; uses up ``scores``."""
-    own = scores[np.arange(len(at)), at]
-    most = scores.max(axis=1)
-    scores -= most[:, None]
-    np.exp(scores, out=scores)
-    return own - most - np.log(scores.sum(axis=1))
+    """Each row's score at ``at`` less the log of the sum of exponentials over the row."""
+    most = scores.max()
+    sums = np.exp(scores - most) @ np.ones(scores.shape[1], np.float32)
+    out = scores[np.arange(len(at)), at] - most
+    low = np.flatnonzero(sums < 1e-20)  # rows far below the greatest score
+    if len(low):
+        top = scores[low].max(axis=1)
+        sums[low] = np.exp(scores[low] - top[:, None]).sum(axis=1)
+        out[low] += most - top
+    return out - np.log(sums)
+
+
+def word_ids(texts: DataFrame, head: Head) -> DataFrame:
+    """words: the model's words of each text, the end token included."""
+
+    def run(batches):
+        codes = byte_codes(31)
+        for batch in batches:
+            for _, buf, ends in batches_of_bytes(batch.column(0)):
+                h, text = tokens_of(buf, ends, codes)
+                places = np.searchsorted(text, np.arange(len(ends) + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(places), pa.array(head.find(h)[2].astype(np.int32)))], ["words"])
+
+    return texts.mapInArrow(run, "words array<int>")
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    out = np.clip(x, -30, 30)
-    np.negative(out, out=out)
-    np.exp(out, out=out)
-    out += 1
-    return np.reciprocal(out, out=out)
+def batches_of_ids(column, limit: int = 300_000):
+    """(words, text of each) of runs of whole rows with about ``limit`` words."""
+    places, values = column.offsets.to_numpy().astype(np.int64), column.values.to_numpy()
+    at = 0
+    while at < len(column):
+        end = max(at + 1, int(np.searchsorted(places, places[at] + limit, side="right")) - 1)
+        yield values[places[at]:places[end]].astype(np.int64), np.repeat(np.arange(end - at), np.diff(places[at:end + 1]))
+        at = end
 
 
 def train(spark: SparkSession, texts: DataFrame, head: Head, total: int, rounds: int = 2, rate: float = 0.05,
           batch_size: int = 4096, noises: int = 64) -> LogBilinear:
-    """Rounds of noise-contrastive training over all texts, averaged by tokens."""
+    """Rounds of noise-contrastive training over all texts, averaged by tokens. The
+    texts are taken apart once; the rounds read the ids of their words."""
     counts = np.zeros(head.shared + 1)
     np.add.at(counts, head.ids, head.counts)
     counts[-1] += total - head.counts.sum()
     unigram = (counts + 1) / (counts.sum() + len(counts))
     model = LogBilinear(head.shared, unigram=unigram)
     names = [f"x{i}" for i in range(DIM + 1)]
+    ids = materialize(spark, word_ids(texts, head), "words")
     for turn in range(rounds):
         table, words, speed = model.table.copy(), head.shared, rate / (1 + turn)
 
         def run(batches):
             own = LogBilinear(words, table=table.copy())
-            codes, rng, seen = byte_codes(31), np.random.default_rng(turn), 0
+            rng, seen = np.random.default_rng(turn), 0
             log_noise = (np.log(noises) + np.log(unigram)).astype(np.float32)
             edges = np.cumsum(unigram)
             for batch in batches:
-                for _, buf, ends in batches_of_bytes(batch.column(0)):
-                    h, text = tokens_of(buf, ends, codes)
-                    word = head.find(h)[2]
+                for word, text in batches_of_ids(batch.column(0)):
                     one, two = contexts(word, text, words + 1)
                     for i in range(0, len(word), batch_size):
                         j = slice(i, i + batch_size)
@@ -270,7 +308,7 @@ def train(spark: SparkSession, texts: DataFrame, head: Head, total: int, rounds:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(i), pa.array(np.full(len(i), float(seen))), *(pa.array(x * float(seen)) for x in own.table[i].T.astype(float))], ["i", "n", *names])
 
-        rows = texts.mapInArrow(run, ", ".join(["i long", "n double", *(f"{x} double" for x in names)]))
+        rows = ids.mapInArrow(run, ", ".join(["i long", "n double", *(f"{x} double" for x in names)]))
         means = rows.groupBy("i").agg(*((F.sum(x) / F.sum("n")).alias(x) for x in names)).toArrow()  # one row a vector
         new = model.table.copy()
         new[means.column("i").to_numpy()] = np.stack([means.column(x).to_numpy() for x in names], axis=1)
