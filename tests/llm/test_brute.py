@@ -413,3 +413,86 @@ def test_forward_sums_all_segmentations():
             up[i] *= 1 + eps
             slope = (np.log(forward(lattice, up)[:, -1]) - np.log(forward(lattice, prob)[:, -1])).sum(axis=0) / eps
             assert np.allclose(counts[i], slope, atol=1e-3)
+
+
+def labelled_points(seed, n=400):
+    rng = np.random.default_rng(seed)
+    x = np.round(rng.normal(size=(n, 4)), 1)  # many ties
+    y = ((x[:, 0] > 0.3) & (x[:, 2] <= 0.5) | (rng.random(n) < 0.1)).astype(float)
+    return x, y
+
+
+def test_trees_against_all_splits():
+    from punctual.llm import rule_ensemble as e
+
+    for seed in range(5):
+        x, y = labelled_points(seed)
+        cuts = [np.unique(c)[:-1:3] for c in x.T]
+        bins = np.stack([np.searchsorted(c, v, side="left") for c, v in zip(cuts, x.T)], axis=1)
+        nodes = e.grow(bins, cuts, y - y.mean(), 3, 7)
+        of = {path: set(rows.tolist()) for path, rows, _ in nodes} | {(): set(range(len(y)))}
+        for path, rows, value in nodes:
+            assert set(np.flatnonzero(e.truth(x, [path])[:, 0]).tolist()) == set(rows.tolist())
+            assert (e.truth(x, [e.simplify(path)]) == e.truth(x, [path])).all()
+            assert math.isclose(value, (y - y.mean())[rows].mean())
+        for parent in {path[:-1] for path, _, _ in nodes}:
+            inside = np.array(sorted(of[parent]))
+            r = (y - y.mean())[inside]
+
+            def loss(f, t):
+                left = x[inside, f] <= t
+                if min(left.sum(), (~left).sum()) < 7:
+                    return math.inf
+                return sum(((part - part.mean()) ** 2).sum() for part in (r[left], r[~left]))
+            f, _, t = next(p[-1] for p in of if p and p[:-1] == parent)
+            assert math.isclose(loss(f, t), min(loss(g, c) for g in range(4) for c in cuts[g]), rel_tol=1e-9)
+
+
+def test_lasso_is_optimal():
+    from punctual.llm import rule_ensemble as e
+
+    x, y = labelled_points(9)
+    rules = [((f, above, t),) for f in range(4) for above in (False, True) for t in (-0.7, 0.3, 0.5)]
+    rules += [tuple(a + b) for a, b in zip(rules[:6], rules[13:])]
+    z = e.truth(x, rules)
+    model = e.lasso(z, y, rules, ("a", "b", "c", "d"), 0.0, 0.01, 5000)
+    weight = dict(model.rules)
+    assert 0 < len(weight) < len(rules)
+    off = model.predict(x) - y
+    assert abs(off.mean()) < 1e-4  # the bias has no penalty
+    for j, rule in enumerate(rules):  # conditions of a minimum of mean loss + penalty * |weights|
+        slope = ((z[:, j] - z[:, j].mean()) * off).mean()
+        if rule in weight:
+            assert abs(slope + 0.01 * np.sign(weight[rule])) < 1e-3
+        else:
+            assert abs(slope) < 0.01 + 1e-3
+
+
+def test_compiled_rules_score_like_the_model(spark):
+    from pyspark.sql import functions as F
+
+    from punctual.llm import rule_ensemble as e
+    from punctual.llm.text_stats import with_stats
+
+    x, y = labelled_points(4)
+    model = e.fit(x, y, ("a", "b", "c", "d"), trees=6)
+    assert model.rules
+    edges = [t for rule, _ in model.rules for _, _, t in rule]
+    x = np.concatenate((x, np.random.default_rng(1).choice(edges, (200, 4))))  # values on the thresholds
+    rows = spark.createDataFrame([(i, *map(float, r)) for i, r in enumerate(x)], "i long, a double, b double, c double, d double")
+    got = np.array([r.score for r in rows.select("i", model.column().alias("score")).orderBy("i").collect()])
+    assert np.allclose(got, model.predict(x), atol=1e-12)
+
+    # whole predictions of the operator, from features taken here
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    scored, model = e.classify(spark, docs, labels, F.col("doc_id") % 3 == 0)
+    stats = with_stats(docs, ["doc_id"]).select("doc_id", *[F.expr(v).cast("double") for v in e.FEATURES.values()])
+    table = {r[0]: list(r[1:]) for r in stats.collect()}
+    want = dict(zip(table, model.predict(np.array(list(table.values())))))
+    known = {r.doc_id: r.quality for r in labels.collect() if r.doc_id % 3 and r.doc_id in table}
+    again = e.fit(*(np.array(v, float) for v in zip(*sorted((table[i], q) for i, q in known.items()))))
+    back = dict(zip(table, again.predict(np.array(list(table.values())))))
+    for r in scored.collect():
+        assert math.isclose(r.score, want[r.doc_id], rel_tol=1e-9) and r.predicted == (r.score >= 0.5)
+        assert math.isclose(r.score, back[r.doc_id], rel_tol=1e-6)
