@@ -10,7 +10,9 @@ tasks; ``multiline=True`` is for pretty-printed input only.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -168,8 +170,34 @@ def stream_snapshots(spark: SparkSession, path: str, max_files: int = 30,
 
 def latest_snapshot(raw: DataFrame, route: str | None = None) -> DataFrame:
     """Entities of the most recent poll, optionally for one route."""
-    last = raw.select(F.max("snapshot_ts")).scalar()
-    r = raw.where(F.col("snapshot_ts") == last)
+    return _of_poll(raw, raw.select(F.max("snapshot_ts")).scalar(), route)
+
+
+def day_folders(spark: SparkSession, path: str) -> list[str]:
+    """The ``date=`` folders of a landing folder, newest day first, from one
+    listing of the folder itself: no file is listed or opened."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+    return [f"{path}/{n}" for n in sorted(names, reverse=True) if re.fullmatch(r"date=\d{4}-\d{2}-\d{2}", n)]
+
+
+def newest_poll(spark: SparkSession, path: str, route: str | None = None, path_glob: str | None = "*.json") -> DataFrame:
+    """``latest_snapshot`` of a landing folder whose documents lie in the folder of
+    their poll's day (as ``land_snapshots`` writes them), reading only the newest
+    day that holds a poll, however long the history is. A day whose documents have
+    no entity or no poll time is passed over for the one before; without any poll
+    the result is empty."""
+    for folder in day_folders(spark, path):
+        raw = read_snapshots(spark, folder, required=False, path_glob=path_glob)
+        last = raw.agg(F.max("snapshot_ts")).first()[0]
+        if last is not None:
+            return _of_poll(raw, F.lit(last), route)
+    return _of_poll(spark.createDataFrame([], RAW_SCHEMA), F.lit(None).cast("timestamp"), route)
+
+
+def _of_poll(raw: DataFrame, time: Column, route: str | None) -> DataFrame:
+    r = raw.where(F.col("snapshot_ts") == time)
     if route is not None:
         r = r.where(F.col("entity.vehicle.trip.routeId") == route)
     v = "entity.vehicle"

@@ -98,6 +98,33 @@ def test_snapshot_json_edge_cases(spark):
         snap.read_snapshots(spark, os.path.join(d, "nope"), required=True)
 
 
+def test_newest_poll_reads_one_day_of_any_history(spark, tmp_path):
+    def land(day, name, ts, vehicle):
+        entity = [] if vehicle is None else [{"id": "e", "vehicle": {"trip": {"routeId": vehicle[-1]}, "vehicle": {"id": vehicle}}}]
+        os.makedirs(tmp_path / day, exist_ok=True)
+        with open(tmp_path / day / name, "w") as fh:
+            fh.write(json.dumps({"header": {"timestamp": ts}, "entity": entity}) + "\n")
+
+    noon = 1704110400  # 2024-01-01 12:00 UTC
+    assert snap.newest_poll(spark, str(tmp_path / "nope")).count() == 0
+    seen = []
+    for day in range(6):
+        for k in range(3):
+            land(f"date=2024-01-0{day + 1}", f"s{k}.json", str(noon + day * 86400 + 60 * k), f"V{day}{k}")
+        land(f"date=2024-01-0{day + 1}", "again.json", str(noon + day * 86400 + 120), f"W{day}5")  # the same poll in two files
+        got = snap.newest_poll(spark, str(tmp_path))
+        every = snap.latest_snapshot(snap.read_snapshots(spark, str(tmp_path)))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, every.collect()))
+        seen.append(len(got.inputFiles()))
+    assert seen == [4] * 6
+    assert [r.vehicle_id for r in snap.newest_poll(spark, str(tmp_path), route="5").collect()] == ["W55"]
+    # newer days without a poll, and folders that are no days
+    land("date=2024-01-07", "empty.json", str(noon + 6 * 86400), None)
+    land("date=2024-01-08", "blank.json", None, "V9")
+    land("date=__HIVE_DEFAULT_PARTITION__", "lost.json", None, "V9")
+    assert sorted(r.vehicle_id for r in snap.newest_poll(spark, str(tmp_path)).collect()) == ["V52", "W55"]
+
+
 def test_quality_checks_count_violations(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), (None, 40.0), ("b", -30.0)],
                                "k string, x double")
