@@ -23,7 +23,7 @@ import json
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -120,33 +120,22 @@ def runs_of(spark: SparkSession, path: str) -> list[str]:
     return json.loads(_read(spark, entry(path, max(taken)))) if taken else []
 
 
-def commit_run(spark: SparkSession, df: DataFrame, path: str, before: list[str], partition_by: list[str] | None = None) -> bool:
+def commit_run(spark: SparkSession, df: DataFrame, path: str, before: list[str], partition_by: list[str] | None = None, check=None) -> bool:
     """Write ``df`` as a run of its own and commit it after the runs ``before``;
-    False if another writer has committed since they were read."""
+    False if another writer has committed since they were read. ``check`` is given
+    the run's folder before that and raises if it must not be committed."""
     from .tablelog import create_if_absent, entry
     run = f"run={uuid.uuid4().hex}"
     write_full(df, f"{path}/{run}", partition_by)
+    if check:
+        check(f"{path}/{run}")
     return create_if_absent(spark, entry(path, len(before) + 1), json.dumps([*before, run]))
 
 
-def _null_safe_eq(a: DataFrame, b: DataFrame, cols: list[str]):
-    cond = None
-    for c in cols:
-        e = a[c].eqNullSafe(b[c])
-        cond = e if cond is None else cond & e
-    return cond
-
-
 class DuplicateKeyError(RuntimeError):
     pass
 
 
-def _assert_unique(df: DataFrame, key: list[str], what: str) -> None:
-    twice = df.groupBy(*key).count().where("count > 1").limit(1).collect()
-    if twice:
-        raise DuplicateKeyError(f"{what}: the key {key} is not unique, e.g. {twice[0].asDict()}")
-
-
 def read_scd2(spark: SparkSession, path: str) -> DataFrame | None:
     """The whole history: the open rows of the last run and the rows that each
     run closed."""
@@ -171,36 +160,53 @@ def scd2_snapshot(spark: SparkSession, source: DataFrame, path: str, key: list[s
     source. Returns the number of committed runs.
     """
     ts = F.lit(ts).cast("timestamp")
-    _assert_unique(source, key, "source")
+
+    def check(run: str) -> None:
+        from .tablelog import _delete, _names
+        if "state=twice" in _names(spark, run):
+            example = spark.read.parquet(f"{run}/state=twice").select(*key).first().asDict()
+            _delete(spark, run)
+            raise DuplicateKeyError(f"source: the key {key} is not unique, e.g. {example}")
+
     for _ in range(tries):
         before = runs_of(spark, path)
         hist = spark.read.parquet(f"{path}/{before[-1]}").where("state = 'open'").drop("state") if before else None
-        if commit_run(spark, _scd2_rows(source, hist, key, check_cols, ts, invalidate_hard_deletes), path, before, ["state"]):
+        if commit_run(spark, _scd2_rows(source, hist, key, check_cols, ts, invalidate_hard_deletes), path, before, ["state"], check):
             return len(before) + 1
     raise RuntimeError(f"{path}: other writers were first {tries} times")
 
 
 def _scd2_rows(source: DataFrame, hist: DataFrame | None, key: list[str], check_cols: list[str], ts, invalidate_hard_deletes: bool) -> DataFrame:
-    """Open rows and newly closed rows of a run, from the open rows before it."""
+    """Open rows and newly closed rows of a run, from the open rows before it. Rows
+    whose key the source repeats have the state ``twice``: they are counted where
+    they are joined, dealt and sorted by the key once. The key is a struct, in which
+    nulls are equal."""
     cols = source.columns
+    never = F.lit(None).cast("timestamp")
+
+    def keyed(df: DataFrame, more: list[str]) -> DataFrame:
+        return df.select(F.struct(*key).alias("_k"), *[c for c in df.columns if c not in key and c in more])
+
+    def of(side: str, c: str):
+        return F.col(f"{side}._k.{c}") if c in key else F.col(f"{side}.{c}")
+
+    s = keyed(source, cols).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("_k"))).alias("s")
     if hist is None:
-        out = source.select(*cols, ts.alias("valid_from"), F.lit(None).cast("timestamp").alias("valid_to"))
+        out = s.select(*[of("s", c).alias(c) for c in cols], ts.alias("valid_from"), never.alias("valid_to"), "_n")
     else:
-        h = hist.withColumn("_h", F.lit(True)).alias("h")
-        s = source.withColumn("_s", F.lit(True)).alias("s")
-        j = h.join(s, _null_safe_eq(h, s, key), "full_outer")
-        there, here = F.col("h._h").isNotNull(), F.col("s._s").isNotNull()
+        h = keyed(hist, [*cols, "valid_from"]).withColumn("_h", F.lit(True)).alias("h")
+        j = h.join(s, F.col("h._k") == F.col("s._k"), "full_outer")
+        there, here = F.col("h._h").isNotNull(), F.col("s._n").isNotNull()
         same = F.lit(True)
         for c in check_cols:
-            same = same & F.col(f"h.{c}").eqNullSafe(F.col(f"s.{c}"))
+            same = same & of("h", c).eqNullSafe(of("s", c))
         closes = there & ((here & ~same) | (~here & F.lit(invalidate_hard_deletes)))
-        never = F.lit(None).cast("timestamp")
-        old = F.struct(*[F.col(f"h.{c}").alias(c) for c in cols], F.col("h.valid_from").alias("valid_from"),
-                       F.when(closes, ts).otherwise(never).alias("valid_to"))
-        new = F.struct(*[F.col(f"s.{c}").alias(c) for c in cols], ts.alias("valid_from"), never.alias("valid_to"))
+        old = F.struct(*[of("h", c).alias(c) for c in cols], F.col("h.valid_from").alias("valid_from"),
+                       F.when(closes, ts).otherwise(never).alias("valid_to"), F.col("s._n").alias("_n"))
+        new = F.struct(*[of("s", c).alias(c) for c in cols], ts.alias("valid_from"), never.alias("valid_to"), F.col("s._n").alias("_n"))
         both = F.array(F.when(there, old), F.when(here & (~there | ~same), new))
         out = j.select(F.explode(both).alias("r")).where("r IS NOT NULL").select("r.*")
-    return out.withColumn("state", F.when(F.col("valid_to").isNull(), "open").otherwise("closed"))
+    return out.withColumn("state", F.when(F.col("_n") > 1, "twice").when(F.col("valid_to").isNull(), "open").otherwise("closed")).drop("_n")
 
 
 def export_stop_coordinates(stops_raw: DataFrame, path: str) -> None:

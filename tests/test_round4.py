@@ -28,3 +28,44 @@ def write_tables(spark, events, orders=((1, 5), (2, 6)), items=((1, 1, 1, 1, "N"
 def test_no_row_has_no_mean(spark, name):
     events = [(i, 1, "view", dt.datetime(2024, 1, 1, 0, 0, i)) for i in range(3)]
     assert E.queries()[name](spark, write_tables(spark, events)).collect() == []
+
+
+def exchanges(df) -> int:
+    """Shuffles of the plan as it is before any of them has run."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning")
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_the_timetable_is_dealt_once_by_trip(spark, no_broadcast):
+    d = write_tables(spark, [(1, 1, "view", dt.datetime(2024, 1, 1))])
+    timetable = fx.stop_times(spark, d).join(fx.trips(spark, d), "trip_id")
+    assert exchanges(timetable) == 3  # line items, and orders for each of the two joins
+
+
+def test_a_snapshot_run_deals_its_source_once(spark, no_broadcast):
+    from pyspark.sql import functions as F
+
+    from punctual.sinks import materialize as mat
+
+    rows = [(None, 1, "a"), ("x", None, "b"), (None, None, None), ("y", 2, "c")]
+    schema = "k1 string, k2 int, v string"
+    source = spark.createDataFrame(rows, schema)
+    path = tempfile.mkdtemp(prefix="punctual-test-") + "/s"
+    mat.scd2_snapshot(spark, source, path, ["k1", "k2"], ["v"], "2024-01-01")
+    hist = spark.read.parquet(f"{path}/{mat.runs_of(spark, path)[-1]}").where("state = 'open'").drop("state")
+    run = mat._scd2_rows(source, hist, ["k1", "k2"], ["v"], F.lit("2024-01-02").cast("timestamp"), False)
+    assert exchanges(run) == 2  # the source and the open rows: nothing more to count keys
+    for again in (source.union(source.where("k1 IS NULL AND k2 IS NULL")), source.union(source.where("k1 = 'y'"))):
+        with pytest.raises(mat.DuplicateKeyError, match="not unique"):
+            mat.scd2_snapshot(spark, again, path, ["k1", "k2"], ["v"], "2024-01-02")
+    mat.scd2_snapshot(spark, spark.createDataFrame([(None, 1, None), ("x", None, "b")], schema), path, ["k1", "k2"], ["v"], "2024-01-03")
+    got = sorted(((r.k1, r.k2, r.v, r.valid_to and r.valid_to.day) for r in mat.read_scd2(spark, path).collect()), key=repr)
+    assert got == sorted([*[(*r, None) for r in rows[1:]], (None, 1, "a", 3), (None, 1, None, None)], key=repr)
