@@ -6,9 +6,11 @@ of its checked columns. A run compares the source with the open rows in two step
 
 1. Both sides are reduced, before any shuffle, to one digest for each of at most
    2**20 ranges of the key's hash (exclusive-or of row hashes, and a count).
-2. Only keys and hashes of the ranges whose digests differ are joined by key.
+2. Only rows of the ranges whose digests differ are joined by key, once, with the
+   file of each open row; the pairs go to scratch files, from which the rows to open,
+   those to close and their files are taken.
 
-Only files that hold a key to close are read in full and written anew; closed
+Only files that hold a key to close are read again and written anew; closed
 rows go to files of their own and are never read by a run. Both are one commit,
 so readers see a run wholly or not at all, and a run that another one overtakes
 is computed again from that one's rows.
@@ -16,11 +18,14 @@ is computed again from that one's rows.
 
 from __future__ import annotations
 
+import json
 import math
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..session import scratch_path
 from .materialize import DuplicateKeyError, _checkpoint
 from .tablelog import LogTable, Version, without
 
@@ -74,24 +79,26 @@ class HistoryTable:
         b = held.groupBy("_range").agg(digest.alias("b"))
         return a.join(b, "_range", "full_outer").where(~F.col("a").eqNullSafe(F.col("b"))).select("_range")
 
-    def _changes(self, source: DataFrame, held: DataFrame) -> DataFrame:
-        """Keys that are only ``here`` (source), only ``there`` (open rows), or in
-        both with other hashes. Raises if the source repeats a key."""
-        cols = [*self.key, "_h1", "_h2"]
-        s = _checkpoint(source.select(*[F.col(c).alias(f"s{c}") for c in cols], F.lit(True).alias("here")))
-        twice = s.groupBy(*[f"s{c}" for c in self.key]).count().where("count > 1").limit(1).collect()
-        if twice:
-            raise DuplicateKeyError(f"source: the key {self.key} is not unique, e.g. {twice[0].asDict()}")
-        h = held.select(*cols, F.lit(True).alias("there"))
-        j = h.join(s, self.table.same_key("s"), "full_outer")
-        same = F.col("_h1").eqNullSafe(F.col("s_h1")) & F.col("_h2").eqNullSafe(F.col("s_h2"))
-        return j.where(~same).select(*[F.when(F.col("there"), F.col(c)).otherwise(F.col(f"s{c}")).alias(c) for c in self.key],
-                                     F.coalesce("here", F.lit(False)).alias("here"), F.coalesce("there", F.lit(False)).alias("there"))
+    def _pairs(self, source: DataFrame, held: DataFrame) -> DataFrame:
+        """Source rows beside the open rows of their keys, both whole, in scratch files:
+        ``_k`` (the key as a struct, in which nulls are equal), ``_s``, ``_h``, and ``_twice``
+        where the source repeats the key. Both sides are dealt by the key once, which
+        counts it, too; hashes are computed anew, not sent."""
+
+        def side(df: DataFrame, name: str) -> DataFrame:
+            rest = [F.col(c) for c in df.columns if c not in (*self.key, "_h1", "_h2")]
+            return df.select(F.struct(*self.key).alias("_k"), F.struct(F.lit(True).alias("_"), *rest).alias(name))
+
+        s = side(source, "_s").withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy("_k")))
+        j = side(held, "_h").join(s, "_k", "full_outer").select("_k", "_s", "_h", (F.col("_n") > 1).alias("_twice"))
+        path = scratch_path(self.table.spark, "history-pairs")
+        j.write.parquet(path)
+        return self.table.spark.read.schema(j.schema).parquet(path)
 
     def capture(self, source: DataFrame, ts, invalidate_hard_deletes: bool = False, txn: tuple[str, int] | None = None, tries: int = 20) -> int:
         """One run: new and changed rows of ``source`` open at ``ts``, the changed
         ones' open versions close at ``ts``; keys missing from the source stay
-        open unless ``invalidate_hard_deletes``. ``source`` is read up to three times
+        open unless ``invalidate_hard_deletes``. ``source`` is read up to twice
         and must give the same rows each time. A run without changes commits
         nothing. Raises if the source repeats a key. Returns the version that
         holds the run."""
@@ -100,32 +107,52 @@ class HistoryTable:
         fresh = source.select("*", ts.alias("valid_from"), never.alias("valid_to"), *[h.alias(n) for n, h in hashes.items()])
         table = self.table
 
-        def semi(df: DataFrame, keys: DataFrame, how: str = "left_semi") -> DataFrame:
-            return df.join(keys.select(*[F.col(c).alias(f"_{c}") for c in self.key]), table.same_key("_"), how)
-
         def plan(v: Version) -> Version | None:
             if txn and v.txns.get(txn[0], -1) >= txn[1]:
                 return None
             schema = v.schema or fresh.schema.json()
+            names = T.StructType.fromJson(json.loads(schema)).names
             now = Version(v.number, schema, self._only(v, "open").runs, v.txns)
             held = sum(r["rows"] for r in now.runs)
             bits = min(MOST_RANGES, max(0, math.ceil(math.log2(max(1, held) / ROWS_A_RANGE))))
-            s, h = self._keyed(fresh, bits), self._keyed(self._load(now), bits)
-            other = F.broadcast(_checkpoint(self._differing(s, h)))  # at most 2**MOST_RANGES longs
-            s, h = s.join(other, "_range", "left_semi").drop("_range"), h.join(other, "_range", "left_semi").drop("_range")
-            changes = _checkpoint(self._changes(s, h))
-            opens = changes.where("here")
-            closes = changes.where("there" if invalidate_hard_deletes else "there AND here")
-            n_opens, n_closes = opens.count(), closes.count()
+            file = F.substring_index("_metadata.file_path", "/", -4) if held else F.lit(None).cast("string")
+            s, h = self._keyed(fresh, bits), self._keyed(self._load(now).select("*", file.alias("_file")), bits)
+            if held:
+                other = F.broadcast(_checkpoint(self._differing(s, h)))  # at most 2**MOST_RANGES longs
+                s, h = s.join(other, "_range", "left_semi"), h.join(other, "_range", "left_semi")
+            pairs = self._pairs(s.drop("_range", "valid_from", "valid_to"), h.drop("_range"))
+            twice = pairs.where("_twice").select("_k.*").first()
+            if twice:
+                raise DuplicateKeyError(f"source: the key {self.key} is not unique, e.g. {twice.asDict()}")
+
+            def hash_of(side: str, i: int) -> Column:
+                cols = [F.col(f"_k.{c}") if c in self.key else F.col(f"{side}.{c}") for c in self.check_cols]
+                return F.xxhash64(F.lit(i), *[x for c in cols for x in (c, c.isNull())])
+
+            here, there = F.col("_s").isNotNull(), F.col("_h").isNotNull()
+            same = here & there & (hash_of("_s", 1) == hash_of("_h", 1)) & (hash_of("_s", 2) == hash_of("_h", 2))
+            pairs = pairs.select("*", (here & ~same).alias("opens"), (there & ~same & (here | F.lit(invalidate_hard_deletes))).alias("closes"))
+
+            def whole(df: DataFrame, side: str, **values: Column) -> DataFrame:
+                """Rows of the history from one side of the pairs."""
+                own = {c: F.col(f"_k.{c}") if c in self.key else F.col(f"{side}.{c}") for c in names if c not in (*values, *hashes)}
+                return df.select(*[(values | own)[c].alias(c) for c in names if c not in hashes]).select("*", *[h.alias(n) for n, h in hashes.items()]).select(*names)
+
+            n_opens, n_closes = pairs.agg(F.count_if("opens"), F.count_if("closes")).first()
             told = v.txns | ({txn[0]: txn[1]} if txn else {})
             if not n_opens and not n_closes:
                 # the first run commits its columns, even without rows
                 return None if v.schema and not txn else Version(v.number + 1, schema, v.runs, told)
-            hit = table.locate(closes.select(*self.key), now)
-            old = table._load(hit, schema)
-            rows = table.files(now).where(F.col("file").isin(hit)).agg(F.sum("rows")).first()[0] if hit else 0
-            runs = {"open": table._write(semi(old, closes, "left_anti").unionByName(semi(s, opens)), rows - n_closes + n_opens),
-                    "closed": table._write(semi(old, closes).withColumn("valid_to", ts), n_closes)}
+            closing = pairs.where("closes")
+            hit = sorted(r.f for r in closing.select(F.col("_h._file").alias("f")).distinct().collect())
+            new = whole(pairs.where("opens"), "_s", valid_from=ts, valid_to=never)
+            n_old = 0
+            if hit:  # the other rows of the files with a closed row: of differing ranges and of equal ones
+                n_old = table.files(now).where(F.col("file").isin(hit)).agg(F.sum("rows")).first()[0]
+                equal = self._keyed(table._load(hit, schema), bits).join(other, "_range", "left_anti").select(*names)
+                new = new.unionByName(whole(pairs.where(there & ~F.col("closes") & F.col("_h._file").isin(hit)), "_h")).unionByName(equal)
+            runs = {"open": table._write(new, n_old - n_closes + n_opens),
+                    "closed": table._write(whole(closing, "_h", valid_to=ts), n_closes)}
             closed = self._only(v, "closed").runs
             return Version(v.number + 1, schema, without(now.runs, hit) + closed + tuple(r | {"state": k} for k, r in runs.items() if r), told)
 
