@@ -123,15 +123,20 @@ def sum_paths(n: int, m: int, here: np.ndarray, there: np.ndarray, row: np.ndarr
     from place there[i] to here[i] with log-probabilities log_p[i]; every place
     of every word but the first has a step."""
     out = np.zeros((m + 1, n, log_p.shape[1]))
-    by = np.argsort(here * n + row, kind="stable")
-    ends = np.searchsorted(here[by], np.arange(m + 2))
+    flat, at = out.reshape(-1, log_p.shape[1]), here * n + row
+    by = np.argsort(at, kind="stable")
+    at, source, log_p = at[by], (there * n + row)[by], log_p[by]
+    first = np.flatnonzero(np.diff(at, prepend=-1))  # of the steps to one place of one word
+    many = np.diff(first, append=len(at))
+    ends = np.searchsorted(at, np.arange(m + 2) * n)
+    groups = np.searchsorted(first, ends)
     for place in order:
-        step = by[ends[place]:ends[place + 1]]
-        first = np.flatnonzero(np.diff(row[step], prepend=-1))
-        x = out[there[step], row[step]] + log_p[step]
-        most = np.maximum.reduceat(x, first)
-        x -= np.repeat(most, np.diff(first, append=len(step)), axis=0)
-        out[place] = most + np.log(np.add.reduceat(np.exp(x), first))
+        a, b, some = ends[place], ends[place + 1], slice(groups[place], groups[place + 1])
+        x = flat[source[a:b]]
+        x += log_p[a:b]
+        most = np.maximum.reduceat(x, first[some] - a)
+        x -= np.repeat(most, many[some], axis=0)
+        out[place] = most + np.log(np.add.reduceat(np.exp(x, out=x), first[some] - a))
     return out
 
 
@@ -165,6 +170,14 @@ def expected(lattice, prob: np.ndarray, weight: np.ndarray, out: np.ndarray) ->
     occur ``weight`` [word, language] times."""
     n, m, at, size, piece = lattice
     row, start = at // m, at % m
+    if prob.shape[1] > 1 and (prob == prob[:, :1]).all():  # before the first round: one table does for all languages
+        log_p = np.log(prob[:, :1])[piece]
+        before = sum_paths(n, m, start + size, start, row, log_p, range(1, m + 1))
+        after = sum_paths(n, m, start, start + size, row, log_p, range(m - 1, -1, -1))
+        share = np.exp(before[start, row] + log_p + after[start + size, row] - before[m][row])[:, 0]
+        for k in np.flatnonzero(weight.any(axis=0)):
+            out[:, k] += np.bincount(piece, share * weight[row, k], len(out))
+        return
     for some in slices(lattice, prob.shape[1]):
         if not weight[:, some].any():
             continue
@@ -297,8 +310,11 @@ class Scorer:
         value[:, -1] = 1  # counts the words
         of = {w: i for i, w in enumerate(words)}
         add = np.zeros((len(new), value.shape[1]))
-        which = np.repeat(np.arange(len(new)), [len(ws) for ws in split])
-        np.add.at(add, which, value[[of[w] for ws in split for w in ws]])
+        size = np.array([len(ws) for ws in split], np.int64)
+        which, place = np.repeat(np.arange(len(new)), size), np.array([of[w] for ws in split for w in ws], np.int64)
+        nth = np.arange(len(which)) - np.repeat(np.cumsum(size) - size, size)
+        add[which[nth == 0]] = value[place[nth == 0]]  # most tokens have one word
+        np.add.at(add, which[nth > 0], value[place[nth > 0]])
         self.place.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
         self.chars += sum(map(len, new))
         self.rows = np.concatenate((self.rows, add))

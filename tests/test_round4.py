@@ -69,3 +69,24 @@ def test_a_snapshot_run_deals_its_source_once(spark, no_broadcast):
     mat.scd2_snapshot(spark, spark.createDataFrame([(None, 1, None), ("x", None, "b")], schema), path, ["k1", "k2"], ["v"], "2024-01-03")
     got = sorted(((r.k1, r.k2, r.v, r.valid_to and r.valid_to.day) for r in mat.read_scd2(spark, path).collect()), key=repr)
     assert got == sorted([*[(*r, None) for r in rows[1:]], (None, 1, "a", 3), (None, 1, None, None)], key=repr)
+
+
+def test_the_first_round_sums_paths_once_for_all_languages(monkeypatch):
+    import numpy as np
+
+    from punctual.llm import language_id as L
+
+    pieces = ["▁", "a", "ab", "b", "▁a"]
+    lattice = L.Pieces(pieces).lattice(["▁abab", "▁bbab", "▁xabb"])
+    weight = np.array([[1.0, 0, 2], [3, 0, 0], [0, 0, 5]])
+    prob = np.full((len(pieces) + 1, 3), 1 / (len(pieces) + 1))
+    whole = np.zeros_like(prob)
+    for k in range(3):  # each language alone
+        one = np.zeros((len(prob), 1))
+        L.expected(lattice, prob[:, [k]], weight[:, [k]], one)
+        whole[:, k] = one[:, 0]
+    widths, sum_paths = [], L.sum_paths
+    monkeypatch.setattr(L, "sum_paths", lambda *a: widths.append(a[5].shape[1]) or sum_paths(*a))
+    out = np.zeros_like(prob)
+    L.expected(lattice, prob, weight, out)
+    assert widths == [1, 1] and (out == whole).all()
