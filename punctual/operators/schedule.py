@@ -46,9 +46,10 @@ def timetable_points(schedule: DataFrame) -> DataFrame:
     return schedule.select("route_id", "stop_id", "sched_secs", "direction_id", "scheduled_arrival_str").distinct()
 
 
-def _schedule_points(schedule: DataFrame, cfg: PipelineConfig) -> DataFrame:
+def _schedule_points(schedule: DataFrame, cfg: PipelineConfig, distinct: bool = False) -> DataFrame:
     """Timetable points (route, stop, second, direction, time string); with
-    ``wrap_midnight`` also shifted copies one day earlier / later."""
+    ``wrap_midnight`` also shifted copies one day earlier / later. ``distinct``: the
+    timetable's points are distinct already."""
     # rows whose time does not parse keep sched_secs NULL: the as-of scan
     # never pairs them (no NULL-time partition holds arrivals). Filtering them
     # here would be pushed below the joins into the scan and parse every
@@ -64,11 +65,11 @@ def _schedule_points(schedule: DataFrame, cfg: PipelineConfig) -> DataFrame:
         s = s.unionByName(later).unionByName(earlier)
     # a point is met by many trips: distinct points bound every as-of bucket by
     # the seconds of its time span, however large the timetable grows
-    return s.distinct()
+    return s if distinct and not cfg.wrap_midnight else s.distinct()
 
 
 def match_schedule(arrivals: DataFrame, schedule: DataFrame,
-                   cfg: PipelineConfig | None = None) -> DataFrame:
+                   cfg: PipelineConfig | None = None, distinct_points: bool = False) -> DataFrame:
     """Nearest scheduled time per arrival on the same route and stop, within
     ``window_s`` seconds; ties -> earlier time, then lower direction.
 
@@ -81,7 +82,7 @@ def match_schedule(arrivals: DataFrame, schedule: DataFrame,
          .select("vehicle_id", "route_id", "trip_id", "stop_id", "stop_name",
                  "actual_arrival",
                  second_of_day(F.col("actual_arrival"), cfg.agency_tz).alias("actual_secs")))
-    pts = _schedule_points(schedule, cfg)
+    pts = _schedule_points(schedule, cfg, distinct_points)
     m = nearest_asof(a, pts, keys=["route_id", "stop_id"], left_t="actual_secs",
                      right_t="sched_secs",
                      right_payload=["direction_id", "scheduled_arrival_str"],

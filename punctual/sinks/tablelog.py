@@ -11,10 +11,10 @@ Every commit deals its rows by a hash of the key into 2**p buckets of at most
 about ``rows_per_file`` rows, one file each, and writes a manifest beside them:
 a blocked Bloom filter of each file's keys (segments of 512 words of 64 bits, one
 for about 1000 keys, five bits of one word a key) with the number of rows and the
-least and greatest values of the ``stats`` columns. An upsert joins its keys with
-the segments of their own buckets, an equi-join whose rows are keys x commits at
-most, and gets the files that can hold them; a semi-join on those files' keys
-drops false alarms. Only files that hold a key of the batch are read in full and
+least and greatest values of the ``stats`` columns. An upsert joins hashes of its keys
+with the segments of their own buckets, an equi-join whose rows are keys x commits at
+most, and gets the files that can hold them and the hashes that let them pass; only
+rows and keys of these hashes are compared whole, which drops false alarms. Only files that hold a key of the batch are read in full and
 written anew, whatever their date, so the key need not contain a partition
 column. ``compact`` merges small commits, which bounds the commits a key is held
 against.
@@ -34,6 +34,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import scratch_path
+from .materialize import landed
+
 SEGMENT_WORDS = 512
 BITS_PER_KEY = 32
 FILTER = "file string, p int, s int, hp long, seg long, words array<int>, bits array<bigint>"
@@ -127,6 +130,10 @@ class LogTable:
                  rows_per_file: int = 1_000_000):
         self.spark, self.path, self.key = spark, path.rstrip("/"), key
         self.stats, self.rows_per_file = stats or [], rows_per_file
+        self.scratch: str | None = None  # a folder of the caller's for files of one call
+
+    def _scratch(self) -> str:
+        return f"{self.scratch}/{uuid.uuid4().hex}" if self.scratch else scratch_path(self.spark, "log-scratch")
 
     # -------------------------------------------------------- reading
 
@@ -182,16 +189,16 @@ class LogTable:
 
     # -------------------------------------------------------- keys
 
-    def _places(self, p: int, s: int) -> tuple[Column, Column]:
-        """Bucket of a key among 2**p and bitmap of its file among 2**s."""
-        h = F.xxhash64(*self.key)
+    def _places(self, p: int, s: int, h: Column | None = None) -> tuple[Column, Column]:
+        """Bucket of a key (or its hash) among 2**p and bitmap of its file among 2**s."""
+        h = F.xxhash64(*self.key) if h is None else h
         hp = F.shiftrightunsigned(h, 64 - p) if p else F.lit(0).cast("long")
         seg = F.shiftrightunsigned(F.shiftleft(h, p), 64 - s) if s else F.lit(0).cast("long")
         return hp, seg
 
-    def _word(self) -> tuple[Column, Column]:
-        """The word of a key in its segment and its five bits there."""
-        g = F.xxhash64(F.lit(1), *self.key)
+    def _word(self, g: Column | None = None) -> tuple[Column, Column]:
+        """The word of a key (or its second hash) in its segment and its five bits there."""
+        g = F.xxhash64(F.lit(1), *self.key) if g is None else g
         mask = F.lit(0).cast("long")
         for i in range(5):
             place = F.shiftrightunsigned(g, 9 + 6 * i).bitwiseAND(63).cast("int")
@@ -204,34 +211,58 @@ class LogTable:
             on = on & F.col(c).eqNullSafe(F.col(f"{prefix}{c}"))
         return on
 
-    def locate(self, keys: DataFrame, v: Version) -> list[str]:
-        """Files of a version that hold a key of ``keys`` (columns of the key)."""
+    def _hashes(self) -> list[Column]:
+        """Two hashes of a key, which give its bucket, segment, word and bits."""
+        return [F.xxhash64(*self.key).alias("_h"), F.xxhash64(F.lit(1), *self.key).alias("_g")]
+
+    def _suspects(self, keys: DataFrame, v: Version, path: str) -> tuple[list[str], DataFrame | None]:
+        """Files whose filters don't rule out a key of ``keys``, and the hashes of such
+        keys, kept at ``path``: of absent ones a chance of about 3e-4 each. Only hashes
+        meet the filters."""
         if not v.runs:
-            return []
-        shapes = [F.struct(F.lit(p).alias("p"), F.lit(s).alias("s"), *[c.alias(n) for c, n in zip(self._places(p, s), ("hp", "seg"))])
+            return [], None
+        h, g = F.col("_h"), F.col("_g")
+        shapes = [F.struct(F.lit(p).alias("p"), F.lit(s).alias("s"), *[c.alias(n) for c, n in zip(self._places(p, s, h), ("hp", "seg"))])
                   for p, s in sorted({(r["p"], r["s"]) for r in v.runs})]
-        word, mask = self._word()
-        asked = keys.select(F.explode(F.array(*shapes)).alias("at"), word.alias("word"), mask.alias("mask")).select("at.*", "word", "mask")
+        word, mask = self._word(g)
+        asked = keys.select(*self._hashes()).select(F.explode(F.array(*shapes)).alias("at"), "_h", "_g", word.alias("word"), mask.alias("mask")).select("at.*", "_h", "_g", "word", "mask")
         filters = self.spark.read.schema(FILTER).parquet(*[f"{self.path}/manifest/{r['run']}" for r in v.runs])
         at = F.array_position("words", F.col("word")).cast("int")
         there = F.when(at > 0, F.get("bits", at - 1).bitwiseAND(F.col("mask")) == F.col("mask"))
-        hit = asked.join(filters, ["p", "s", "hp", "seg"]).where(there).select("file").distinct()
-        maybe = sorted(r.file for r in self._present(hit, v).collect())
-        if not maybe:
-            return []
-        known = keys.select(*[F.col(c).alias(f"_{c}") for c in self.key])
-        held = self._load(maybe, v.schema).select(*self.key, F.col("_metadata.file_path").alias("f"))
-        real = held.join(known, self.same_key("_"), "left_semi").select(F.substring_index("f", "/", -4).alias("f")).distinct()
-        return sorted(r.f for r in real.collect())
+        hit = landed(asked.join(filters, ["p", "s", "hp", "seg"]).where(there).select("file", "_h", "_g"), path)
+        files = sorted(r.file for r in self._present(hit.select("file").distinct(), v).collect())
+        return files, hit.select("_h", "_g").distinct()
+
+    def _held(self, keys: DataFrame, suspects: DataFrame, rows: DataFrame) -> DataFrame:
+        """Rows whose key is among ``keys``. Rows and keys are reduced to those with a
+        suspect's hashes first, few unless most keys are there, then compared whole."""
+        def few(df: DataFrame, columns: list) -> DataFrame:
+            return df.select(*columns, *self._hashes()).join(suspects, ["_h", "_g"], "left_semi").drop("_h", "_g")
+
+        known = few(keys, [F.col(c) for c in self.key]).select(*[F.col(c).alias(f"_{c}") for c in self.key])
+        return few(rows, [F.col(c) for c in rows.columns]).join(known, self.same_key("_"), "left_semi")
+
+    def locate(self, keys: DataFrame, v: Version) -> list[str]:
+        """Files of a version that hold a key of ``keys`` (columns of the key)."""
+        path = self._scratch()
+        try:
+            maybe, suspects = self._suspects(keys, v, path)
+            if not maybe:
+                return []
+            rows = self._load(maybe, v.schema).select(*self.key, F.col("_metadata.file_path").alias("_f"))
+            real = self._held(keys, suspects, rows).select(F.substring_index("_f", "/", -4).alias("f")).distinct()
+            return sorted(r.f for r in real.collect())
+        finally:
+            _delete(self.spark, path)
 
     def lookup(self, keys: DataFrame, v: Version | None = None) -> DataFrame | None:
-        """The rows of a version whose key is among ``keys``, from the files that
-        hold them; None before the first commit."""
+        """The rows of a version whose key is among ``keys``, from the files whose
+        filters don't rule them out; None before the first commit."""
         v = v or self.version()
         if v.schema is None:
             return None
-        known = keys.select(*[F.col(c).alias(f"_{c}") for c in self.key])
-        return self._load(self.locate(keys, v), v.schema).join(known, self.same_key("_"), "left_semi")
+        maybe, suspects = self._suspects(keys, v, self._scratch())
+        return self._held(keys, suspects, self._load(maybe, v.schema)) if maybe else self._load([], v.schema)
 
     # -------------------------------------------------------- writing
 
@@ -244,21 +275,22 @@ class LogTable:
         p = max(0, math.ceil(math.log2(most / self.rows_per_file)))
         s = max(0, math.ceil(math.log2(most / 2 ** p * BITS_PER_KEY / (64 * SEGMENT_WORDS))))
         hp, seg = self._places(p, s)
-        (rows.withColumn("_hp", hp).repartition(2 ** p, "_hp").sortWithinPartitions("_hp", *self.key)
+        # a task a bucket: a hash of the bucket would leave tasks empty and give others two
+        (rows.withColumn("_hp", hp).repartitionById(2 ** p, F.col("_hp").cast("int")).sortWithinPartitions("_hp")
          .write.partitionBy("_hp").parquet(f"{self.path}/data/{run}"))
         schema = T.StructType([*rows.schema.fields, T.StructField("_hp", T.LongType())])
         written = self.spark.read.schema(schema).parquet(f"{self.path}/data/{run}")
         name = F.concat(F.lit(f"data/{run}/"), F.substring_index("_metadata.file_path", "/", -2)).alias("file")
         word, mask = self._word()
-        place = ["file", "p", "s", "hp", "seg"]
+        place = ["file", "hp", "seg"]
 
         def extremes(of: dict) -> list[Column]:
             return [F.struct(F.lit(0).alias("_"), *[f(of.get(n, "") + c).alias(c) for c in self.stats]).alias(n) for n, f in (("lo", F.min), ("hi", F.max))]
 
-        (written.select(name, F.lit(p).alias("p"), F.lit(s).alias("s"), F.col("_hp").alias("hp"), seg.alias("seg"), word.alias("word"), mask.alias("mask"), *self.stats)
-         .groupBy(*place, "word").agg(F.bit_or("mask").alias("mask"), F.count(F.lit(1)).alias("n"), *extremes({}))
+        (written.select(name, F.col("_hp").alias("hp"), seg.alias("seg"), word.alias("word"), mask.alias("mask"), *self.stats)
+         .repartition("hp", "seg").groupBy(*place, "word").agg(F.bit_or("mask").alias("mask"), F.count(F.lit(1)).alias("n"), *extremes({}))
          .groupBy(*place).agg(F.sort_array(F.collect_list(F.struct("word", "mask"))).alias("w"), F.sum("n").alias("rows"), *extremes({"lo": "lo.", "hi": "hi."}))
-         .select(*place, F.col("w.word").alias("words"), F.col("w.mask").alias("bits"), "rows", "lo", "hi")
+         .select("file", F.lit(p).alias("p"), F.lit(s).alias("s"), "hp", "seg", F.col("w.word").alias("words"), F.col("w.mask").alias("bits"), "rows", "lo", "hi")
          .write.parquet(f"{self.path}/manifest/{run}"))
         count, files = self.spark.read.parquet(f"{self.path}/manifest/{run}").agg(F.sum("rows"), F.count_distinct("file")).first()
         return {"run": run, "p": p, "s": s, "rows": count, "files": files, "without": []} if count else None
@@ -293,36 +325,51 @@ class LogTable:
 
         return self._commit(plan, tries)
 
-    def upsert(self, rows: DataFrame, deletes: DataFrame | None = None, txn: tuple[str, int] | None = None, tries: int = 20) -> int:
+    def upsert(self, rows: DataFrame, deletes: DataFrame | None = None, txn: tuple[str, int] | None = None, tries: int = 20,
+               stable: bool = False, held: tuple[int, DataFrame] | None = None, notes: dict | None = None) -> int:
         """Replace all rows whose key is in ``rows`` or ``deletes`` by ``rows``.
 
         ``txn`` (application, batch number) makes a replayed batch change
-        nothing. The batch is computed once; if another writer commits first,
-        only the files to rewrite are looked up again, and written again if
-        they are others. Returns the version that holds the batch.
+        nothing. The batch is computed once (``stable``: ``rows`` are read from files
+        and needn't be); if another writer commits first, only the files to rewrite
+        are looked up again, and written again if they are others. ``held`` (version,
+        keys) tells which keys of the batch that version holds at most: only they are
+        looked up if it is still the last. ``notes`` are kept beside the last batches.
+        Returns the version that holds the batch.
         """
-        from .materialize import _checkpoint
-        rows = _checkpoint(rows)
-        count, keys = rows.count(), rows.select(*self.key)
-        if deletes is not None:
-            keys = _checkpoint(keys.union(deletes.select(*self.key)).distinct())
-        known = keys.select(*[F.col(c).alias(f"_{c}") for c in self.key])
-        held, run = None, None
+        base, kept = self._scratch(), None
+        if not stable:
+            rows = landed(rows, f"{base}/rows")
+        count, found, run = rows.count(), None, None
+
+        def keys() -> DataFrame:
+            nonlocal kept
+            if kept is None:
+                kept = rows.select(*self.key)
+                if deletes is not None:
+                    kept = landed(kept.union(deletes.select(*self.key)).distinct(), f"{base}/keys")
+            return kept
 
         def plan(v: Version) -> Version | None:
-            nonlocal held, run
+            nonlocal found, run
             if txn and v.txns.get(txn[0], -1) >= txn[1]:
                 return None
-            hit = self.locate(keys, v)
-            if hit != held:
+            told = held is not None and held[0] == v.number
+            some = held[1].select(*self.key) if told else keys()
+            hit = [] if told and some.isEmpty() else self.locate(some, v)
+            if hit != found:
                 out, most = rows, count
                 if hit:
+                    known = some.select(*[F.col(c).alias(f"_{c}") for c in self.key])
                     out = self._load(hit, v.schema).join(known, self.same_key("_"), "left_anti").unionByName(rows)
                     most += self.files(v).where(F.col("file").isin(hit)).agg(F.sum("rows")).first()[0]
-                held, run = hit, self._write(out, most)
-            return Version(v.number + 1, v.schema or rows.schema.json(), without(v.runs, hit) + ((run,) if run else ()), self._told(v, txn))
+                found, run = hit, self._write(out, most)
+            return Version(v.number + 1, v.schema or rows.schema.json(), without(v.runs, hit) + ((run,) if run else ()), self._told(v, txn) | (notes or {}))
 
-        return self._commit(plan, tries)
+        try:
+            return self._commit(plan, tries)
+        finally:
+            _delete(self.spark, base)
 
     def compact(self, small: int | None = None, tries: int = 20) -> int:
         """Merge the commits with fewer than ``small`` rows (``rows_per_file`` by

@@ -13,6 +13,11 @@ their whole history, three tables carry what history decides:
 * the fact: a log table keyed by (vehicle, stop, arrival time). Only keys whose
   arrival appeared, moved or went are matched to the timetable and replaced.
 
+Old pings of the batch's hours are held against it by hashes first, so only the few
+that it tells again, or that share a time with it, are dealt whole. The fact holds
+no key but those of arrivals, so while only the stream writes it (each batch notes
+the version it left) only keys of arrivals known before are searched for in it.
+
 What a batch reads depends on its own hours and keys, not on the stream's age.
 Two rare cases read more, and only then: an arrival that a late ping moves to an
 earlier time needs the hour of its old time (other trips of the vehicle may
@@ -26,6 +31,10 @@ failed anywhere is computed again from the same state.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +43,9 @@ from ..operators import arrivals as arr
 from ..operators import schedule as sch
 from ..operators.joins import broadcast_if_small
 from ..operators.staging import POSITION_COLS
-from ..sinks.materialize import _checkpoint
-from ..sinks.tablelog import LogTable, _path
+from ..session import scratch_path
+from ..sinks.materialize import landed
+from ..sinks.tablelog import LogTable, _delete, _path
 
 ARRIVAL = ["vehicle_id", "route_id", "trip_id", "stop_id", "stop_name"]
 FACT_KEY = ["vehicle_id", "stop_id", "actual_arrival"]
@@ -89,71 +99,124 @@ def _first(nearest: DataFrame) -> DataFrame:
     return arr.actual_arrivals(nearest).select(*ARRIVAL, "actual_arrival", "closest_distance_m")
 
 
+def _few(df: DataFrame, keys: DataFrame, columns: list[str], land: Callable[[DataFrame], DataFrame]) -> DataFrame | None:
+    """Rows of ``df`` whose ``columns`` are among those of ``keys``, null-safe; None
+    without any. Hashes of the columns are dealt first, 8 bytes a row; only rows and
+    keys whose hashes meet are dealt and compared whole."""
+    h = F.xxhash64(*columns)
+    met = land(df.select(h.alias("_h")).join(keys.select(h.alias("_h")), "_h", "left_semi").distinct())
+    if met.isEmpty():
+        return None
+    some, known = (x.withColumn("_h", h).join(met, "_h", "left_semi").drop("_h") for x in (df, keys.select(*columns)))
+    out = land(_among(some, known, columns))
+    return None if out.isEmpty() else out
+
+
 def update_state(spark: SparkSession, batch: DataFrame, epoch: int, store: str, fact_path: str, route_stops: DataFrame,
-                 schedule: DataFrame, cfg: PipelineConfig, app: str = "fact") -> None:
-    """One micro-batch: merge its pings into the state, replace the facts it changes."""
+                 schedule: DataFrame, cfg: PipelineConfig, app: str = "fact", distinct_points: bool = False) -> None:
+    """One micro-batch: merge its pings into the state, replace the facts it changes.
+    ``distinct_points``: the timetable's points are known to be distinct. What
+    several steps read is computed once, into scratch files that go with the batch."""
     arrivals, facts = arrival_table(spark, store), fact_table(spark, fact_path)
     if arrivals.version().txns.get(app, -1) >= epoch:
         return
+    base = arrivals.scratch = facts.scratch = scratch_path(spark, "batch")
+    try:
+        _merge(spark, batch, epoch, store, arrivals, facts, route_stops, schedule, cfg, app, distinct_points,
+               lambda df: landed(df, f"{base}/{uuid.uuid4().hex}"))
+    finally:
+        _delete(spark, base)
+    for table in (facts, arrivals):
+        if len(table.version().runs) > MERGE_RUNS:
+            table.compact()
+
+
+def _merge(spark: SparkSession, batch: DataFrame, epoch: int, store: str, arrivals: LogTable, facts: LogTable, route_stops: DataFrame,
+           schedule: DataFrame, cfg: PipelineConfig, app: str, distinct_points: bool, land: Callable[[DataFrame], DataFrame]) -> None:
+    last, fact = arrivals.version(), facts.version()
     cand = arr.proximity_join(batch.select(*POSITION_COLS), route_stops, cfg)
-    own = _checkpoint(arr.nearest_stop(cand).select("vehicle_id", "trip_id", "recorded_at", *BEST, _hour("recorded_at").alias("hour")))
+    own = land(arr.nearest_stop(cand).select("vehicle_id", "trip_id", "recorded_at", *BEST, _hour("recorded_at").alias("hour")))
     hours = [r.hour for r in own.select("hour").distinct().collect()]  # of one batch
-    (own.withColumn("epoch", F.lit(epoch).cast("long")).repartition("hour").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (own.withColumn("epoch", F.lit(epoch).cast("long")).hint("rebalance", "hour").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("hour", "epoch").parquet(f"{store}/pings"))
 
-    # each ping at the batch's (vehicle, time): its nearest stop before and after
-    told = _among(_pings(spark, store, epoch - 1, hours), own.select("vehicle_id", "recorded_at").distinct(), ["vehicle_id", "recorded_at"])
-    both = told.withColumn("old", F.lit(True)).select("vehicle_id", "trip_id", "recorded_at", "old", F.struct(*BEST).alias("b")).unionByName(
-        own.select("vehicle_id", "trip_id", "recorded_at", F.lit(False).alias("old"), F.struct(*BEST).alias("b")))
-    pings = _checkpoint(both.groupBy("vehicle_id", "trip_id", "recorded_at").agg(
-        F.min("b").alias("after"), F.min(F.when(F.col("old"), F.col("b"))).alias("before"), F.max(~F.col("old")).alias("mine")))
-
-    def key(of: str) -> list[Column]:
-        return [F.col(c) if c in ("vehicle_id", "trip_id") else F.col(f"{of}.{c}").alias(c) for c in ARRIVAL]
-
-    other = ~_same({f"before.{c}": f"after.{c}" for c in ("route_id", "stop_id", "stop_name")})
-    lost = pings.where(F.col("mine") & F.col("before").isNotNull() & other).select(*key("before")).distinct()
-    gains = _first(pings.where("mine").select(*key("after"), "recorded_at", F.col("after.distance_m").alias("distance_m")))
-    keys = pings.select(*key("after")).union(lost).distinct()
-    old = arrivals.lookup(keys)
-    empty = spark.createDataFrame([], gains.schema)
-    old = empty if old is None else _checkpoint(old)
-
-    kept = _among(old, lost, ARRIVAL, "left_anti").unionByName(_among(gains, lost, ARRIVAL, "left_anti"))
-    now = kept.groupBy(*ARRIVAL).agg(F.min("actual_arrival").alias("actual_arrival"), F.min("closest_distance_m").alias("closest_distance_m"))
-    if lost.limit(1).count():
+    # the batch's pings with their nearest stop before and after; others at its (vehicle, time)
+    ping = ["vehicle_id", "trip_id", "recorded_at"]
+    told = _few(_pings(spark, store, epoch - 1, hours), own, ["vehicle_id", "recorded_at"], land)
+    mine, others, lost = own, None, None
+    if told is not None:
+        told = land(_nearest(told))
+        others = _among(told, own, ping, "left_anti")
+        before = told.select(*[F.col(c).alias(f"_{c}") for c in ping], F.struct(*BEST).alias("before"))
+        both = own.join(before, _same({c: f"_{c}" for c in ping}), "left").select(*ping, "before", F.least(F.struct(*BEST), "before").alias("after"))
+        mine = land(both.select(*ping, "after.*", "before"))
+        other = ~_same({f"before.{c}": c for c in ("route_id", "stop_id", "stop_name")})
+        was = [F.col(c) if c in ping else F.col(f"before.{c}").alias(c) for c in ARRIVAL]
+        lost = land(mine.where(F.col("before").isNotNull() & other).select(*was).distinct())
+        lost = None if lost.isEmpty() else lost
+
+    # the batch's arrivals beside the state's: there now, there before, first times and least distances
+    gains = land(_first(mine))
+    keys = gains.select(*ARRIVAL)
+    old = arrivals.lookup(keys if lost is None else keys.union(lost), last)
+    old = None if old is None else land(old)
+    old = None if old is None or old.isEmpty() else old
+
+    def beside(now: DataFrame, was: DataFrame | None, how: str, again: bool) -> DataFrame:
+        now = now.select(*ARRIVAL, F.struct("actual_arrival", "closest_distance_m").alias("n"))
+        if was is None:
+            both = now.withColumn("w", F.lit(None).cast(now.schema["n"].dataType))
+        else:
+            was = was.select(*[F.col(c).alias(f"_{c}") for c in ARRIVAL], F.struct("actual_arrival", "closest_distance_m").alias("w"))
+            both = now.join(was, _same({c: f"_{c}" for c in ARRIVAL}), how)
+        key = [F.when(F.col("n").isNull(), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if how == "full_outer" and was is not None else F.col(c) for c in ARRIVAL]
+        # an arrival told of before keeps what is less of both, unless its pings are all read again
+        less = [F.col(f"n.{c}").alias(c) if again else F.least(f"n.{c}", f"w.{c}").alias(c) for c in ("actual_arrival", "closest_distance_m")]
+        return both.select(*key, *less, F.col("w.actual_arrival").alias("was"), F.col("w.closest_distance_m").alias("was_m"),
+                           F.col("n").isNotNull().alias("here"), F.col("w").isNotNull().alias("there"), F.lit(again).alias("again"))
+
+    diff = beside(gains, old, "left", False)
+    if lost is not None:
         trips = lost.select("vehicle_id", "trip_id").distinct()
         again = _first(_nearest(_among(_pings(spark, store, epoch), trips, ["vehicle_id", "trip_id"])))
-        touched = gains.select(*ARRIVAL).union(lost).distinct()
-        now = (_among(now, lost, ARRIVAL, "left_anti")
-               .unionByName(_among(_among(again, touched, ARRIVAL), lost, ARRIVAL)))
-    now = _checkpoint(now)
-
-    # arrivals that appeared, moved or went
-    was = old.select(*[F.col(c).alias(f"_{c}") for c in old.columns])
-    diff = _checkpoint(now.withColumn("here", F.lit(True)).join(was.withColumn("_here", F.lit(True)), _same({c: f"_{c}" for c in ARRIVAL}), "full_outer"))
-    moved = diff.where(~F.col("actual_arrival").eqNullSafe(F.col("_actual_arrival")) | F.col("here").isNull() | F.col("_here").isNull())
-    changed = moved.where("here").select(*FACT_KEY).union(moved.where("_here").select(*[f"_{c}" for c in FACT_KEY]))
-    changed = _checkpoint(changed.distinct())
-    writes = diff.where(F.col("here") & ~(F.col("_here").isNotNull() & _same({c: f"_{c}" for c in ("actual_arrival", "closest_distance_m")}))).select(*now.columns)
-    gone = diff.where("here is null").select(*[F.col(f"_{c}").alias(c) for c in ARRIVAL])
-
-    # all arrivals at the changed (vehicle, stop, time): other trips may share them
-    at = [r.hour for r in changed.select(_hour("actual_arrival").alias("hour")).distinct().collect()]  # the batch's hours, and those of moved arrivals
-    times = changed.select("vehicle_id", F.col("actual_arrival").alias("recorded_at")).distinct()
-    peers = _nearest(_among(_pings(spark, store, epoch, at), times, ["vehicle_id", "recorded_at"]))
-    unknown = _among(peers.select(*ARRIVAL).distinct(), now, ARRIVAL, "left_anti")
-    unknown = _checkpoint(_among(unknown, gone, ARRIVAL, "left_anti"))
-    known = now
-    if unknown.limit(1).count():
-        more = arrivals.lookup(unknown)
-        known = known if more is None else known.unionByName(more.select(*now.columns))
-    due = _checkpoint(_among(known, changed, FACT_KEY))
+        anew = beside(_among(again, lost, ARRIVAL), None if old is None else _among(old, lost, ARRIVAL), "full_outer", True)
+        diff = _among(diff, lost, ARRIVAL, "left_anti").unionByName(anew)
+    diff = land(diff)
+    now = [*ARRIVAL, "actual_arrival", "closest_distance_m"]
+
+    # arrivals that appeared, moved or went, and the facts they change
+    moves = ~F.col("here") | ~F.col("there") | ~F.col("actual_arrival").eqNullSafe(F.col("was"))
+    moved = diff.where(moves)
+    before = moved.where("there").select("vehicle_id", "stop_id", F.col("was").alias("actual_arrival"))
+    changed = moved.where("here").select(*FACT_KEY).union(before)
+
+    # all arrivals at the changed (vehicle, stop, time): other trips may share them.
+    # The batch's own times have been read; moved arrivals can have others
+    peers = [] if others is None else [others.select(*ARRIVAL)]
+    late = moved.where("there or again").select("vehicle_id", F.explode(F.array("was", "actual_arrival")).alias("recorded_at"))
+    late = land(late.distinct())
+    if not late.isEmpty():
+        at = [r.hour for r in late.select(_hour("recorded_at").alias("hour")).distinct().collect()]  # hours of moved arrivals
+        more = _few(_pings(spark, store, epoch, at), late, ["vehicle_id", "recorded_at"], land)
+        peers += [] if more is None else [_nearest(more).select(*ARRIVAL)]
+    rest = [] if old is None and lost is None else [diff.where(F.col("here") & ~moves).select(*now)]
+    if peers:
+        asked = land(reduce(DataFrame.union, peers).distinct())
+        unknown = land(_among(asked, _among(diff.select(*ARRIVAL), asked, ARRIVAL), ARRIVAL, "left_anti"))
+        more = None if unknown.isEmpty() else arrivals.lookup(unknown, last)
+        rest += [] if more is None else [more.select(*now)]
+    rest = _few(reduce(DataFrame.union, rest), changed, FACT_KEY, land) if rest else None
+    due = moved.where("here").select(*now)
+    due = due if rest is None else due.union(rest)
     served = broadcast_if_small(due.select(F.col("route_id").alias("_r"), F.col("stop_id").alias("_s")).distinct(), cfg.scale.broadcast_max_bytes)
     timetable = schedule.join(served, (F.col("route_id") == F.col("_r")) & (F.col("stop_id") == F.col("_s")), "left_semi")
-    fresh = sch.stop_performance(sch.match_schedule(due, timetable, cfg))
-    facts.upsert(fresh, deletes=changed, txn=(app, epoch))
-    arrivals.upsert(writes, deletes=gone, txn=(app, epoch))
-    for table in (facts, arrivals):
-        if len(table.version().runs) > MERGE_RUNS:
-            table.compact()
+    fresh = sch.stop_performance(sch.match_schedule(due, timetable, cfg, distinct_points))
+
+    # while only this stream has written the fact, it holds no key but those of arrivals before
+    held = before if rest is None else before.union(rest.select(*FACT_KEY))
+    note, done = f"{app}'s fact", fact.txns.get(app, -1) >= epoch
+    alone = fact.number == last.txns.get(note, 0)
+    number = facts.upsert(fresh, deletes=changed, txn=(app, epoch), held=(fact.number, held) if alone else None)
+    writes = F.col("here") & ~(F.col("there") & F.col("actual_arrival").eqNullSafe(F.col("was")) & F.col("closest_distance_m").eqNullSafe(F.col("was_m")))
+    arrivals.upsert(diff.where(writes).select(*now), deletes=diff.where("not here").select(*ARRIVAL), txn=(app, epoch), stable=True,
+                    held=(last.number, diff.where(F.col("there") & (writes | ~F.col("here")))), notes={note: number if alone and not done else -1})

@@ -17,6 +17,8 @@ after every batch, and replays of an epoch are idempotent.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -26,7 +28,8 @@ from ..operators import arrivals as arr
 from ..operators import schedule as sch
 from ..operators.staging import POSITION_COLS, flatten_positions
 from ..functions.timefns import local_ts
-from ..sinks.materialize import _checkpoint, _exists, write_full
+from ..session import scratch_path
+from ..sinks.materialize import _exists, landed, write_full
 from ..sources.snapshots import stream_snapshots
 from .arrival_state import fact_table, update_state
 
@@ -118,8 +121,9 @@ def stream_incremental(spark: SparkSession, positions: DataFrame, route_stops: D
     stops and the timetable are read once, when the stream starts: a new timetable
     takes effect with the next start."""
     cfg = cfg or PipelineConfig()
-    route_stops, schedule = _checkpoint(route_stops), _checkpoint(sch.timetable_points(schedule))
-    update = update_fact if cfg.by_service_date else update_state
+    route_stops = landed(route_stops, scratch_path(spark, "route_stops"))
+    schedule = landed(sch.timetable_points(schedule), scratch_path(spark, "timetable_points"))
+    update = update_fact if cfg.by_service_date else partial(update_state, distinct_points=True)
 
     def handle(batch: DataFrame, epoch_id: int) -> None:
         update(spark, batch, epoch_id, store, fact_path, route_stops, schedule, cfg)
